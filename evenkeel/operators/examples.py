@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import chat as C
 from evenkeel.functions import patterns as P
-from evenkeel.operators.ranking import BUCKET, ORDER, seeded_positions
+from evenkeel.operators.ranking import BUCKET, ORDER, bucketed, seeded_positions
 
 BATCH_SIZE = 8
 SHUFFLE_SEED = 42
@@ -77,28 +77,44 @@ def training_batches(df: DataFrame, key: str, size: int = BATCH_SIZE, seed: int
                      pad_id: int = C.HASH_TOKENIZER.pad_id, side: str = "right") -> DataFrame:
     """Rows in seeded order, in batches padded to their longest row.
 
-    Adds `batch` and `position` (from 0 and 1) and `attention_mask`. `key` must
-    name one row. The examples are shuffled once, by digest bucket: a batch
-    inside a bucket finds its width there, and only the first and last batch of
-    a bucket are looked up, in a table of 2 * 65,536 rows at most.
+    Adds `position` (from 1), `batch` (from 0) and `attention_mask`. `key` must
+    name one row. The keys alone are ranked first, to cut the order into shards
+    that start where a batch starts. The examples are then shuffled once, and
+    a batch finds its width inside its shard.
     """
-    placed = (seeded_positions(df, key, seed)
-              .withColumn("batch", F.floor((F.col("position") - 1) / size))
-              .withColumn("_size", F.size("input_ids")))
-    in_bucket = Window.partitionBy(BUCKET)
-    here = Window.partitionBy(BUCKET, "batch")
-    local = (placed.withColumn("_width", F.max("_size").over(here))
-             .withColumn("_first", F.min("batch").over(in_bucket))
-             .withColumn("_last", F.max("batch").over(in_bucket)))
-    at_edge = (F.col("batch") == F.col("_first")) | (F.col("batch") == F.col("_last"))
-    edges = (local.filter(at_edge).groupBy("batch").agg(F.max("_width").alias("_shared")))
-    width = F.coalesce("_shared", "_width")
-    wide = local.join(F.broadcast(edges), "batch", "left").withColumn("_to", width)
+    sharded = in_batch_shards(df, key, size, seed)
+    in_shard = Window.partitionBy("_shard").orderBy(ORDER, key)
+    placed = sharded.withColumn("position", F.col("_start") + F.row_number().over(in_shard) - 1)
+    batched = (placed.withColumn("batch", F.floor((F.col("position") - 1) / size))
+               .withColumn("_size", F.size("input_ids")))
+    width = F.max("_size").over(Window.partitionBy("_shard", "batch"))
+    to = F.col("_width")
     ones = F.array_repeat(F.lit(1), F.col("_size"))
-    return (wide.withColumn("attention_mask", C.padded(ones, F.col("_to"), 0, side))
-            .withColumn("input_ids", C.padded(F.col("input_ids"), F.col("_to"), pad_id, side))
-            .withColumn("labels", C.padded(F.col("labels"), F.col("_to"), P.IGNORED_LABEL, side))
-            .drop("_size", "_width", "_first", "_last", "_shared", "_to", BUCKET, ORDER))
+    return (batched.withColumn("_width", width)
+            .withColumn("attention_mask", C.padded(ones, to, 0, side))
+            .withColumn("input_ids", C.padded(F.col("input_ids"), to, pad_id, side))
+            .withColumn("labels", C.padded(F.col("labels"), to, P.IGNORED_LABEL, side))
+            .drop("_size", "_width", "_shard", "_start", ORDER))
+
+
+def in_batch_shards(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """Add the digest order, `_shard` and the position `_start` of its first row.
+
+    A digest bucket starts a shard at its first row whose position opens
+    a batch; the rows before it belong to the shard before.
+    """
+    ranked = seeded_positions(df.select(key), key, seed)
+    opens = F.when((F.col("position") - 1) % size == 0, F.struct("position", ORDER))
+    starts = ranked.groupBy(BUCKET).agg(F.min(opens).alias("own"))
+    # 65,536 buckets at most, in one small window and one broadcast.
+    earlier = F.last("own", ignorenulls=True).over(
+        Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))
+    shards = starts.select(BUCKET, "own", earlier.alias("earlier"))
+    first_of_own = F.col("own").isNotNull() & (F.col(ORDER) >= F.col("own")[ORDER])
+    start = F.when(first_of_own, F.col("own.position")).otherwise(F.col("earlier.position"))
+    return (bucketed(df, key, seed).join(F.broadcast(shards), BUCKET)
+            .withColumn("_start", start).withColumn("_shard", F.col("_start"))
+            .drop("own", "earlier", BUCKET))
 
 
 def token_stats(texts: DataFrame, text: Column, tokenizer: C.HashTokenizer = C.HASH_TOKENIZER,

@@ -18,13 +18,15 @@ one of them. The result is exact for any quota and any skew.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.order import digest_bucket, row_digest, seeded_order
 from evenkeel.sources.staging import (
     BROADCAST_BYTES,
-    key_table_bytes,
+    key_bytes,
     staged,
 )
 
@@ -36,35 +38,51 @@ REPEAT_PORTION = 65_536
 ORDER, TIE, BUCKET = "_order", "_tie", "_bucket"
 
 
-def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> DataFrame:
-    """Rows per (group, digest bucket), staged: it serves the counts and the draw."""
+@dataclass(frozen=True)
+class Histogram:
+    """Rows per (group, digest bucket), staged once for the counts and the draw."""
+
+    group: str
+    key: str
+    seed: int
+    buckets: DataFrame
+    smallest: int
+    key_bytes: int
+
+    @property
+    def counts(self) -> DataFrame:
+        """Rows per group, column `n`."""
+        return self.buckets.groupBy(self.group).agg(F.sum("rows").alias("n"))
+
+
+def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> Histogram:
     order = seeded_order(F.col(key), seed)
     counts = (df.select(group, digest_bucket(order, GROUP_DIGITS).alias(BUCKET))
               .groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows")))
-    return staged(counts, "histogram")
-
+    buckets = staged(counts, "histogram")
+    sizes = buckets.groupBy(group).agg(F.sum("rows").alias("n")).agg(
+        F.coalesce(F.min("n"), F.lit(0)).alias("smallest"), key_bytes(group).alias("bytes")).first()
+    return Histogram(group, key, seed, buckets, sizes["smallest"], sizes["bytes"])
 
-def group_counts(histogram: DataFrame, group: str) -> DataFrame:
-    """Rows per group, column `n`."""
-    return histogram.groupBy(group).agg(F.sum("rows").alias("n"))
 
-
-def draw(df: DataFrame, group: str, key: str, histogram: DataFrame, quotas: DataFrame,
-         seed: int = 0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame | None = None,
+         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Exactly `quota` rows of each group, the first ones in seeded order.
 
-    `quotas` has one row (group, quota) per group. A group smaller than its
-    quota is kept whole; a group without quota gives nothing.
+    `quota` is a column over the histogram's rows, or over `buckets`: the same
+    rows with more columns. A group smaller than its quota is kept whole,
+    a group with quota zero gives nothing.
     """
-    columns = df.columns
+    columns, group = df.columns, histogram.group
     # Digest of the row in seeded order. The tie digest is written into the
     # conditions, where it is worked out for equal keys only.
-    order = seeded_order(F.col(key), seed)
+    order = seeded_order(F.col(histogram.key), histogram.seed)
     tie = row_digest(columns)
     keyed = df.withColumn(ORDER, order).withColumn(BUCKET, digest_bucket(F.col(ORDER), GROUP_DIGITS))
 
-    last = _last_buckets(histogram, group, quotas).withColumnRenamed("cut_bucket", BUCKET)
-    small = key_table_bytes(group_counts(histogram, group), group) <= broadcast_bytes
+    counted = histogram.buckets if buckets is None else buckets
+    last = _last_buckets(counted.select(group, BUCKET, "rows", quota.alias("quota")), group)
+    small = histogram.key_bytes <= broadcast_bytes
     if small:
         # Nothing is shuffled: work out the row digest behind the join.
         ranked = keyed.join(F.broadcast(last), [group, BUCKET]).withColumn(TIE, tie)
@@ -76,7 +94,7 @@ def draw(df: DataFrame, group: str, key: str, histogram: DataFrame, quotas: Data
     if small:
         near = keyed.join(F.broadcast(cuts.drop("cut_bucket")), group)
     else:
-        up_to_cut = (histogram.select(group, BUCKET).join(cuts, group)
+        up_to_cut = (histogram.buckets.select(group, BUCKET).join(cuts, group)
                      .filter(F.col(BUCKET) <= F.col("cut_bucket")).drop("cut_bucket"))
         near = keyed.join(up_to_cut, [group, BUCKET])
 
@@ -102,14 +120,13 @@ def sample_by_website(df: DataFrame, n: int | None = None, group: str = "website
     """
     known = df.filter(F.col(group).isNotNull())
     histogram = group_histogram(known, group, key, seed)
-    counts = group_counts(histogram, group)
-    smallest = counts.agg(F.min("n").alias("n")).first()["n"]
     if n is None:
-        n = smallest or 0
-    elif smallest is not None and smallest < n:
-        raise ValueError(f"cannot draw {n} rows from a website with {smallest}")
-    quotas = counts.select(group, F.lit(n).cast("long").alias("quota"))
-    return draw(known, group, key, histogram, quotas, seed, broadcast_bytes)
+        n = histogram.smallest
+    elif histogram.buckets.isEmpty():
+        return known
+    elif histogram.smallest < n:
+        raise ValueError(f"cannot draw {n} rows from a website with {histogram.smallest}")
+    return draw(known, histogram, F.lit(n).cast("long"), broadcast_bytes=broadcast_bytes)
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
@@ -124,17 +141,16 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
             .drop("_times", "_portion", "_copy"))
 
 
-def _last_buckets(histogram: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
+def _last_buckets(counted: DataFrame, group: str) -> DataFrame:
     """Bucket in which a group reaches its quota, and the rows needed from it."""
     in_group = Window.partitionBy(group).orderBy(BUCKET)
     # At most 16**GROUP_DIGITS rows per group: bounded whatever the group's size.
     upto = F.sum("rows").over(in_group.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("rows").over(Window.partitionBy(group))
-    reached = histogram.withColumn("upto", upto).withColumn("total", total).join(quotas, group)
-    quota = F.least(F.col("quota"), F.col("total"))
+    reached = counted.withColumn("upto", upto).withColumn("total", total)
+    quota = F.least("quota", "total")
     return (reached.filter((F.col("upto") >= quota) & (F.col("upto") - F.col("rows") < quota))
-            .select(group, F.col(BUCKET).alias("cut_bucket"),
-                    (quota - (F.col("upto") - F.col("rows"))).alias("need")))
+            .select(group, BUCKET, (quota - (F.col("upto") - F.col("rows"))).alias("need")))
 
 
 def _cuts(ranked: DataFrame, group: str) -> DataFrame:

@@ -33,19 +33,16 @@ def balance_dataset(keyed: DataFrame, k: int = balance.EVAL_WEBSITES, seed: int
     """
     known = keyed.filter(F.col("website").isNotNull())
     histogram = sampling.group_histogram(known, "website", "link", seed)
-    counts = sampling.group_counts(histogram, "website")
     # k rows at most.
-    held_out = balance.smallest_websites(counts, k).select("website", F.lit(False).alias("_train"))
-    split = counts.join(F.broadcast(held_out), "website", "left").select(
-        "website", "n", F.coalesce("_train", F.lit(True)).alias("train"))
-    smallest = {r["train"]: r["n"] for r in split.groupBy("train").agg(F.min("n").alias("n"))
-                .collect()}
-    quota = F.when(F.col("train"), smallest.get(True, 0)).otherwise(smallest.get(False, 0))
-    drawn = sampling.draw(known, "website", "link", histogram,
-                          split.select("website", quota.cast("long").alias("quota")), seed,
-                          broadcast_bytes)
-    flagged = drawn.join(F.broadcast(held_out), "website", "left")
-    return flagged.select(*keyed.columns, F.coalesce("_train", F.lit(True)).alias("train"))
+    held_out = F.broadcast(balance.smallest_websites(histogram.counts, k)
+                           .select("website", F.lit(False).alias("_train")))
+    train = F.coalesce("_train", F.lit(True))
+    split = histogram.counts.join(held_out, "website", "left").groupBy(train.alias("train"))
+    smallest = {r["train"]: r["n"] for r in split.agg(F.min("n").alias("n")).collect()}
+    quota = F.when(train, smallest.get(True, 0)).otherwise(smallest.get(False, 0)).cast("long")
+    drawn = sampling.draw(known, histogram, quota,
+                          histogram.buckets.join(held_out, "website", "left"), broadcast_bytes)
+    return drawn.join(held_out, "website", "left").select(*keyed.columns, train.alias("train"))
 
 
 def prepare_dataset(recipes: DataFrame, k: int = balance.EVAL_WEBSITES, seed: int = 0,

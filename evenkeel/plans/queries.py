@@ -126,8 +126,9 @@ def split_report(spark, d):
 
 @query
 def clean_html(spark, d):
-    df = S.table(spark, d, "pages").select("page_id", F.col("page_id").alias("link_hash"), "html")
-    return pages.page_table(df).withColumnRenamed("link_hash", "page_id")
+    df = S.texts(spark, d, "pages", "page_id")
+    return pages.page_table(df.withColumnRenamed("page_id", "link_hash")).withColumnRenamed(
+        "link_hash", "page_id")
 
 
 @query
@@ -284,13 +285,13 @@ def chat_json_roundtrip(spark, d):
 
 def _rendered(spark, d):
     """A prompt per page, with the text of its document as the answer."""
-    docs = S.table(spark, d, "documents").select(F.col("doc_id").alias("page_id"),
+    docs = S.texts(spark, d, "documents", "doc_id").select(F.col("doc_id").alias("page_id"),
                                                  F.col("text").alias("response"))
-    table = S.table(spark, d, "pages").select("page_id", F.col("page_id").alias("link_hash"), "html")
-    prompts = examples.chat_render(
-        pages.page_table(table).select(
-            F.col("link_hash").alias("page_id"),
-            F.array(C.message("user", F.col("html_data"))).alias("input"))).drop("input")
+    cleaned = pages.page_table(S.texts(spark, d, "pages", "page_id")
+                               .withColumnRenamed("page_id", "link_hash"))
+    prompts = examples.chat_render(cleaned.select(
+        F.col("link_hash").alias("page_id"),
+        F.array(C.message("user", F.col("html_data"))).alias("input"))).drop("input")
     return prompts.join(docs, "page_id")
 
 
@@ -321,7 +322,7 @@ def training_batches(spark, d):
 
 @query
 def token_stats(spark, d):
-    return examples.token_stats(S.table(spark, d, "pages"), F.col("html"))
+    return examples.token_stats(S.texts(spark, d, "pages", "page_id"), F.col("html"))
 
 
 @query

@@ -13,15 +13,28 @@ from evenkeel.functions import links as L
 from evenkeel.functions import patterns as P
 from evenkeel.operators import crawl
 from evenkeel.operators import links as link_ops
+from evenkeel.sources.tables import spread
 
 # Fixed values of the stand-ins.
 KINDS = {"error": "failed", "purchase": "saved", "signup": "responded"}
+SCHEMAS = {
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+}
 VERBS = ("are", "be", "is", "was")
 PARTICLES = ("at", "by", "for", "from", "in", "of", "on", "to", "with")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose text is worked on: its few splits are spread."""
+    return spread(table(spark, sf_dir, name), key)
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +60,8 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, directions): the lines of a document as a JSON list."""
     steps = F.split("text", "\n", -1)
-    return table(spark, sf_dir, "documents").select("doc_id", F.to_json(steps).alias("directions"))
+    docs = texts(spark, sf_dir, "documents", "doc_id")
+    return docs.select("doc_id", F.to_json(steps).alias("directions"))
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Key tables up to this many bytes of row data may be broadcast.
@@ -45,12 +45,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def key_table_bytes(df: DataFrame, key: str) -> int:
-    """Upper estimate of the memory that a table with one row per key needs."""
+def key_bytes(key: str) -> Column:
+    """Aggregate: upper estimate of the memory for a table with one row per key."""
     size = F.octet_length(F.col(key).cast("string"))
-    return df.agg((F.coalesce(F.sum(size), F.lit(0)) + ROW_OVERHEAD * F.count(F.lit(1)))
-                  .alias("b")).first()["b"]
-
-
-def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if size_bytes <= limit else df
+    return F.coalesce(F.sum(size), F.lit(0)) + ROW_OVERHEAD * F.count(F.lit(1))

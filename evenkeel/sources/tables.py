@@ -31,6 +31,15 @@ ATTEMPTS = T.StructType([T.StructField("run", T.StringType()),
                          T.StructField("bytes", T.LongType())])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a few unsplittable files, spread over the cores by key.
+
+    A table with splits enough, as any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 def read_recipes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Source recipes from CSV with a header, all columns as text.
 
