@@ -83,12 +83,16 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     counted = histogram.buckets if buckets is None else buckets
     last = _last_buckets(counted.select(group, BUCKET, "rows", quota.alias("quota")), group)
     small = histogram.key_bytes <= broadcast_bytes
+    row = [group, BUCKET, ORDER, TIE]
+    copies = F.count(F.lit(1)).alias("copies")
     if small:
         # Nothing is shuffled: work out the row digest behind the join.
-        ranked = keyed.join(F.broadcast(last), [group, BUCKET]).withColumn(TIE, tie)
+        ranked = (keyed.join(F.broadcast(last), [group, BUCKET]).withColumn(TIE, tie)
+                  .groupBy(*row, "need").agg(copies))
     else:
-        # Rows are shuffled: send digests instead of the rows.
-        ranked = keyed.select(group, BUCKET, ORDER, tie.alias(TIE)).join(last, [group, BUCKET])
+        # Rows are shuffled: send digests instead of rows, copies as a count.
+        ranked = (keyed.withColumn(TIE, tie).groupBy(*row).agg(copies)
+                  .join(last, [group, BUCKET]))
     cuts = staged(_cuts(ranked, group), "cuts")
 
     if small:
@@ -155,10 +159,9 @@ def _last_buckets(counted: DataFrame, group: str) -> DataFrame:
 
 def _cuts(ranked: DataFrame, group: str) -> DataFrame:
     """Digest of the last row to keep per group; `take` of its `copies` belong."""
-    collapsed = ranked.groupBy(group, BUCKET, "need", ORDER, TIE).agg(F.count(F.lit(1)).alias("copies"))
     in_bucket = Window.partitionBy(group, BUCKET).orderBy(ORDER, TIE)
     upto = F.sum("copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
-    return (collapsed.withColumn("upto", upto)
+    return (ranked.withColumn("upto", upto)
             .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("copies") < F.col("need")))
             .select(group, F.col(BUCKET).alias("cut_bucket"), F.col(ORDER).alias("cut_order"),
                     F.col(TIE).alias("cut_tie"),

@@ -37,7 +37,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A table with splits enough, as any large one, is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 4 <= cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def read_recipes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 import pyarrow as pa
 
@@ -18,30 +16,28 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def rows(table: pa.Table) -> list[tuple]:
-    names = sorted(table.column_names)
-    return sorted(zip(*[[_plain(v) for v in table[n].to_pylist()] for n in names]),
-                  key=lambda r: [(v is None, str(v)) for v in r]) if names else []
-
-
-def _plain(value):
-    return float(f"{value:.12g}") if isinstance(value, float) and math.isfinite(value) else value
-
-
 def types(table: pa.Table) -> dict[str, str]:
     return {f.name: str(f.type).removeprefix("large_") for f in table.schema}
 
 
 def compare(frame, db: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, list[str]]:
     """Row count and the differences found (none when both agree)."""
-    ours, theirs = frame.toArrow(), db.sql(sql).to_arrow_table()
+    ours = frame.toArrow()
+    theirs = db.sql(sql).to_arrow_table()
     problems = []
     if types(ours) != types(theirs):
         problems.append(f"schema: {types(ours)} != {types(theirs)}")
     if ours.num_rows != theirs.num_rows:
         problems.append(f"rows: {ours.num_rows} != {theirs.num_rows}")
     if sorted(ours.column_names) == sorted(theirs.column_names):
-        different = [(a, b) for a, b in zip(rows(ours), rows(theirs)) if a != b]
-        if different:
-            problems.append(f"values: {len(different)} rows differ, first {different[0]!r:.600}")
+        # As bags: doubles to twelve digits, the rest exactly.
+        columns = ", ".join(f'printf(\'%.12g\', "{n}") AS "{n}"' if kind == "double" else f'"{n}"'
+                            for n, kind in sorted(types(ours).items()))
+        db.register("ours", ours)
+        db.register("theirs", theirs)
+        for one, other in (("ours", "theirs"), ("theirs", "ours")):
+            extra = db.sql(f"SELECT {columns} FROM {one} EXCEPT ALL SELECT {columns} FROM {other}")
+            found = extra.fetchall()
+            if found:
+                problems.append(f"values: {len(found)} rows only in {one}, e.g. {found[0]!r:.600}")
     return ours.num_rows, problems
