@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions import patterns as P
+from evenkeel.sources.staging import staged
 
 TICK_SECONDS = 60
 BYTES_PER_MB = 1e6
@@ -50,7 +51,11 @@ def counter_points(ticks: DataFrame) -> DataFrame:
 
 
 def fill_gaps(points: DataFrame, seconds: int = TICK_SECONDS) -> DataFrame:
-    """Zero points for silent ticks, from a counter's first tick to the run's last."""
+    """Zero points for silent ticks, from a counter's first tick to the run's last.
+
+    The points are staged, so that the log is read once.
+    """
+    points = staged(points, "points")
     ends = points.groupBy("run").agg(F.max("tick").alias("last"))
     starts = points.groupBy("run", "counter").agg(F.min("tick").alias("first"))
     every = starts.join(ends, "run").select(

@@ -47,8 +47,9 @@ def queue_positions(df: DataFrame, arrival: str, key: str, seed: int = 0) -> Dat
     sum over the whole queue runs over its minutes.
     """
     minute = F.date_trunc("minute", F.col(arrival))
-    marked = bucketed(df, key, seed, digits=3).withColumn("_minute", minute)
-    counts = staged(marked.groupBy("_minute", BUCKET).agg(F.count(F.lit(1)).alias("rows")), "queue")
+    # Staged, so that what leads to the queue is worked out once.
+    marked = staged(bucketed(df, key, seed, digits=3).withColumn("_minute", minute), "queue")
+    counts = marked.groupBy("_minute", BUCKET).agg(F.count(F.lit(1)).alias("rows"))
     minutes = counts.groupBy("_minute").agg(F.sum("rows").alias("rows"))
     before_minute = F.sum("rows").over(Window.orderBy("_minute").rowsBetween(*BEFORE))
     in_minute = Window.partitionBy("_minute").orderBy(BUCKET)

@@ -3,8 +3,10 @@
 A window over whole groups would send a dominant website to one task, so the
 draw works on digest buckets instead:
 
-1. count rows per (group, digest bucket) - a small table, combined map-side;
-2. find per group the bucket in which the quota is reached;
+1. count rows per group, and from that choose buckets for each group: about as
+   many as a bucket then has rows, so that steps 2 and 3 stay small;
+2. count rows per (group, bucket) and find the bucket in which a group
+   reaches its quota;
 3. rank only the rows of that one bucket, copies collapsed, which gives the
    digest of the last row to keep;
 4. keep the rows up to that digest: a filter behind a broadcast of one row per
@@ -23,15 +25,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.functions.order import digest_bucket, row_digest, seeded_order
+from evenkeel.functions.order import row_digest, seeded_order
 from evenkeel.sources.staging import (
     BROADCAST_BYTES,
     key_bytes,
     staged,
 )
 
-# 16**3 buckets per group: the ranked bucket holds about 1/4096 of a group.
-GROUP_DIGITS = 3
+# Hex digits by group size: a bucket of n rows in a group of about n**2.
+DIGITS_BELOW = ((16, 0), (16**3, 1), (16**5, 2), (16**7, 3))
+MAX_DIGITS = 4
+# Groups that get buckets of their own choice, the largest ones first.
+SIZED_GROUPS = 200_000
 # Copies of one row are repeated in portions of this size.
 REPEAT_PORTION = 65_536
 
@@ -40,29 +45,53 @@ ORDER, TIE, BUCKET = "_order", "_tie", "_bucket"
 
 @dataclass(frozen=True)
 class Histogram:
-    """Rows per (group, digest bucket), staged once for the counts and the draw."""
+    """Rows per group (`counts`) and per (group, bucket) (`buckets`), both staged."""
 
     group: str
     key: str
     seed: int
+    counts: DataFrame
     buckets: DataFrame
+    sizing: DataFrame
+    other_digits: int
     smallest: int
     key_bytes: int
 
-    @property
-    def counts(self) -> DataFrame:
-        """Rows per group, column `n`."""
-        return self.buckets.groupBy(self.group).agg(F.sum("rows").alias("n"))
+    def bucketed(self, df: DataFrame) -> DataFrame:
+        """Add the digest order and its bucket."""
+        return _bucketed(df, self.group, self.key, self.seed, self.sizing, self.other_digits)
 
 
 def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> Histogram:
-    order = seeded_order(F.col(key), seed)
-    counts = (df.select(group, digest_bucket(order, GROUP_DIGITS).alias(BUCKET))
-              .groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows")))
-    buckets = staged(counts, "histogram")
-    sizes = buckets.groupBy(group).agg(F.sum("rows").alias("n")).agg(
-        F.coalesce(F.min("n"), F.lit(0)).alias("smallest"), key_bytes(group).alias("bytes")).first()
-    return Histogram(group, key, seed, buckets, sizes["smallest"], sizes["bytes"])
+    counts = staged(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "counts")
+    sizes = counts.agg(F.coalesce(F.min("n"), F.lit(0)).alias("smallest"),
+                       F.count(F.lit(1)).alias("groups"), key_bytes(group).alias("bytes"),
+                       F.floor(F.coalesce(F.avg("n"), F.lit(0))).alias("mean")).first()
+    largest = counts
+    if sizes["groups"] > SIZED_GROUPS:
+        largest = counts.orderBy(F.desc("n"), group).limit(SIZED_GROUPS)
+    sizing = largest.select(group, _digits(F.col("n")).alias("_digits"))
+    other = next((d for below, d in DIGITS_BELOW if sizes["mean"] < below), MAX_DIGITS)
+    marked = _bucketed(df.select(group, key), group, key, seed, sizing, other)
+    buckets = staged(marked.groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows")), "buckets")
+    return Histogram(group, key, seed, counts, buckets, sizing, other, sizes["smallest"],
+                     sizes["bytes"])
+
+
+def _digits(n: Column) -> Column:
+    digits = F.lit(MAX_DIGITS)
+    for below, value in reversed(DIGITS_BELOW):
+        digits = F.when(n < below, value).otherwise(digits)
+    return digits
+
+
+def _bucketed(df: DataFrame, group: str, key: str, seed: int, sizing: DataFrame,
+              other_digits: int) -> DataFrame:
+    # SIZED_GROUPS rows at most: broadcast.
+    digits = F.coalesce("_digits", F.lit(other_digits))
+    return (df.withColumn(ORDER, seeded_order(F.col(key), seed))
+            .join(F.broadcast(sizing), group, "left")
+            .withColumn(BUCKET, F.substring(F.col(ORDER), F.lit(1), digits)).drop("_digits"))
 
 
 def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame | None = None,
@@ -78,19 +107,20 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     # conditions, where it is worked out for equal keys only.
     order = seeded_order(F.col(histogram.key), histogram.seed)
     tie = row_digest(columns)
-    keyed = df.withColumn(ORDER, order).withColumn(BUCKET, digest_bucket(F.col(ORDER), GROUP_DIGITS))
-
     counted = histogram.buckets if buckets is None else buckets
     last = _last_buckets(counted.select(group, BUCKET, "rows", quota.alias("quota")), group)
-    small = histogram.key_bytes <= broadcast_bytes
     row = [group, BUCKET, ORDER, TIE]
     copies = F.count(F.lit(1)).alias("copies")
+    small = histogram.key_bytes <= broadcast_bytes
     if small:
         # Nothing is shuffled: work out the row digest behind the join.
-        ranked = (keyed.join(F.broadcast(last), [group, BUCKET]).withColumn(TIE, tie)
+        keyed = df.withColumn(ORDER, order)
+        ranked = (keyed.join(F.broadcast(last), group)
+                  .filter(F.col(ORDER).startswith(F.col(BUCKET))).withColumn(TIE, tie)
                   .groupBy(*row, "need").agg(copies))
     else:
         # Rows are shuffled: send digests instead of rows, copies as a count.
+        keyed = histogram.bucketed(df)
         ranked = (keyed.withColumn(TIE, tie).groupBy(*row).agg(copies)
                   .join(last, [group, BUCKET]))
     cuts = staged(_cuts(ranked, group), "cuts")
@@ -110,7 +140,7 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     if cuts.filter(~whole).isEmpty():
         return drawn
     # Some quota ends among copies of one row: one row per group, repeated.
-    split = near.filter(~whole & at_cut).groupBy(*columns, "take").agg(F.count(F.lit(1)).alias("m"))
+    split = near.filter(~whole & at_cut).groupBy(*columns, "take").agg(copies)
     return drawn.unionByName(repeat_rows(split, F.col("take")).select(columns))
 
 
@@ -126,7 +156,7 @@ def sample_by_website(df: DataFrame, n: int | None = None, group: str = "website
     histogram = group_histogram(known, group, key, seed)
     if n is None:
         n = histogram.smallest
-    elif histogram.buckets.isEmpty():
+    elif histogram.counts.isEmpty():
         return known
     elif histogram.smallest < n:
         raise ValueError(f"cannot draw {n} rows from a website with {histogram.smallest}")
@@ -148,7 +178,7 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
 def _last_buckets(counted: DataFrame, group: str) -> DataFrame:
     """Bucket in which a group reaches its quota, and the rows needed from it."""
     in_group = Window.partitionBy(group).orderBy(BUCKET)
-    # At most 16**GROUP_DIGITS rows per group: bounded whatever the group's size.
+    # At most 16**MAX_DIGITS rows per group: bounded whatever the group's size.
     upto = F.sum("rows").over(in_group.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("rows").over(Window.partitionBy(group))
     reached = counted.withColumn("upto", upto).withColumn("total", total)

@@ -6,11 +6,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import links as L
-from evenkeel.functions import patterns as P
 from evenkeel.operators import crawl
 from evenkeel.operators import links as link_ops
 from evenkeel.sources.tables import spread
@@ -66,11 +65,8 @@ def directions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cached page files, and some files that belong to no link."""
-    pages = page_links(spark, sf_dir)
-    cached = pages.filter("page_id % 5 = 0").select(L.page_file(F.col("link_hash")).alias("file_name"))
-    stray = pages.filter("page_id % 17 = 0").select(
-        F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(P.PAGE_SUFFIX)).alias("file_name"))
-    return cached.unionByName(stray)
+    return _names(page_links(spark, sf_dir), {"page_id % 5 = 0": L.page_file(F.col("link_hash")),
+                                              "page_id % 17 = 0": F.format_string("page-%d.html", "page_id")})
 
 
 def failed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,14 +76,16 @@ def failed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cache_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cache half way through a migration: old names, new names, both, strays."""
-    pages = page_links(spark, sf_dir)
-    old = pages.filter("page_id % 3 != 0 or page_id % 5 = 0").select(
-        L.legacy_file(F.col("link")).alias("file_name"))
-    new = pages.filter("page_id % 3 = 0 or page_id % 5 = 0").select(
-        L.page_file(F.col("link_hash")).alias("file_name"))
-    stray = pages.filter("page_id % 17 = 0").select(
-        F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(P.PAGE_SUFFIX)).alias("file_name"))
-    return old.unionByName(new).unionByName(stray)
+    return _names(page_links(spark, sf_dir), {
+        "page_id % 3 != 0 or page_id % 5 = 0": L.legacy_file(F.col("link")),
+        "page_id % 3 = 0 or page_id % 5 = 0": L.page_file(F.col("link_hash")),
+        "page_id % 17 = 0": F.format_string("page-%d.html", "page_id")})
+
+
+def _names(pages: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """`file_name` of each rule that a page meets, in one scan."""
+    names = F.array(*[F.when(F.expr(condition), name) for condition, name in rules.items()])
+    return pages.select(F.explode(F.array_compact(names)).alias("file_name"))
 
 
 def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,23 +19,25 @@ ROW_OVERHEAD = 128
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`.
+    """The folder named in `spark.checkpoint.dir`, else the context's own.
 
-    Only a local session (tests) may do without the setting; it then gets a
-    new temporary folder.
+    Only a local session (tests) may do without either; it then gets a new
+    temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="evenkeel-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="evenkeel-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/evenkeel/{label}-{uuid.uuid4().hex}"
+    """A new path in the folder of this application, which may go when it has ended."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/evenkeel/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
