@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.sources.staging import BROADCAST_BYTES, key_bytes, staged
+from evenkeel.sources.staging import BROADCAST_BYTES, key_bytes, staged_with_facts
 
 EVAL_WEBSITES = 16
 # Portions into which a website's rows are spread when its count is joined on.
@@ -59,8 +59,10 @@ def with_website_counts(df: DataFrame, key: str, group: str = "website",
     The counts are broadcast if they are small. Otherwise both sides get a salt,
     so that a dominant website is joined by many tasks.
     """
-    counts = staged(website_counts(df, group).filter(F.col(group).isNotNull()), "counts")
-    if counts.agg(key_bytes(group).alias("b")).first()["b"] <= broadcast_bytes:
+    known = df.filter(F.col(group).isNotNull())
+    counts, sizes = staged_with_facts(website_counts(known, group), "counts",
+                                      key_bytes(group).alias("bytes"))
+    if sizes["bytes"] <= broadcast_bytes:
         return df.join(F.broadcast(counts), group)
     salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
     salted = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

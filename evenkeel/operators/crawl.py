@@ -39,14 +39,15 @@ def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
              .join(dead, "link_hash", "left"))
     status = (F.when(F.col("_cached"), "cached").when(F.col("_failed"), "known_failed")
               .otherwise("pending"))
-    plan = known.select("link", "link_hash", L.fetch_url(F.col("link")).alias("url"),
-                        seeded_order(F.col("link"), seed).alias("crawl_order"),
-                        status.alias("status"))
+    classed = known.select("link", "link_hash", status.alias("status"))
+    if limit is not None:
+        classed = staged(classed, "crawl-plan")
+    plan = classed.select("link", "link_hash", L.fetch_url(F.col("link")).alias("url"),
+                          seeded_order(F.col("link"), seed).alias("crawl_order"), "status")
     if limit is None:
         return plan
-    plan = staged(plan, "crawl-plan")
     budget = max(limit - listing.count(), 0)
-    last = _last_of_budget(plan.filter(F.col("status") == "pending"), budget)
+    last = _last_of_budget(plan.filter(F.col("status") == "pending").select("crawl_order"), budget)
     over = (F.col("status") == "pending") & (F.col("crawl_order") > last)
     return plan.withColumn("status", F.when(over, "backlog").otherwise(F.col("status")))
 

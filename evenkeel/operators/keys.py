@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions import links as L
+from evenkeel.sources.staging import staged
 
 CONFLICT_EXAMPLES = 10
 RENAME_EXAMPLES = 3
@@ -83,7 +84,7 @@ def key_migration_plan(listing: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def key_migration_report(plan: DataFrame) -> DataFrame:
     """Files per action, one row."""
-    def files(action: str):
+    def files(action: str) -> Column:
         return F.count_if(F.col("action") == action).alias(action)
 
     return plan.agg(F.count(F.lit(1)).alias("files"), files("rename"), files("already_migrated"),
@@ -91,11 +92,16 @@ def key_migration_report(plan: DataFrame) -> DataFrame:
 
 
 def key_migration_examples(plan: DataFrame) -> DataFrame:
-    """First conflicts and renames for the report."""
-    def first(action: str, n: int) -> DataFrame:
-        return plan.filter(F.col("action") == action).orderBy("file_name").limit(n)
+    """First conflicts and renames for the report, from one pass over the plan.
 
-    return first("conflict", CONFLICT_EXAMPLES).unionByName(first("rename", RENAME_EXAMPLES))
+    Each task passes on its first few rows only.
+    """
+    wanted = F.when(F.col("action") == "conflict", CONFLICT_EXAMPLES).when(
+        F.col("action") == "rename", RENAME_EXAMPLES)
+    place = F.row_number().over(Window.partitionBy("action").orderBy("file_name"))
+    return (plan.filter(F.col("action").isin("conflict", "rename")).withColumn("_place", place)
+            .filter(F.col("_place") <= max(CONFLICT_EXAMPLES, RENAME_EXAMPLES))
+            .filter(F.col("_place") <= wanted).drop("_place"))
 
 
 def migrate_keys(pages: DataFrame, plan: DataFrame) -> DataFrame:
@@ -103,7 +109,7 @@ def migrate_keys(pages: DataFrame, plan: DataFrame) -> DataFrame:
 
     Two files that would get one target stop the migration.
     """
-    renames = plan.filter(F.col("action") == "rename")
+    renames = staged(plan.filter(F.col("action") == "rename"), "renames")
     clashes = renames.groupBy("new_name").count().filter(F.col("count") > 1)
     if not clashes.isEmpty():
         raise KeyAuditError("two files map to the same target name")

@@ -30,6 +30,7 @@ from evenkeel.sources.staging import (
     BROADCAST_BYTES,
     key_bytes,
     staged,
+    staged_with_facts,
 )
 
 # Hex digits by group size: a bucket of n rows in a group of about n**2.
@@ -37,6 +38,7 @@ DIGITS_BELOW = ((16, 0), (16**3, 1), (16**5, 2), (16**7, 3))
 MAX_DIGITS = 4
 # Groups that get buckets of their own choice, the largest ones first.
 SIZED_GROUPS = 200_000
+SIZED_NAME_BYTES = 128
 # Copies of one row are repeated in portions of this size.
 REPEAT_PORTION = 65_536
 
@@ -63,14 +65,16 @@ class Histogram:
 
 
 def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> Histogram:
-    counts = staged(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "counts")
-    sizes = counts.agg(F.coalesce(F.min("n"), F.lit(0)).alias("smallest"),
-                       F.count(F.lit(1)).alias("groups"), key_bytes(group).alias("bytes"),
-                       F.floor(F.coalesce(F.avg("n"), F.lit(0))).alias("mean")).first()
+    counts, sizes = staged_with_facts(
+        df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "counts",
+        F.coalesce(F.min("n"), F.lit(0)).alias("smallest"), F.count(F.lit(1)).alias("groups"),
+        key_bytes(group).alias("bytes"), F.floor(F.coalesce(F.avg("n"), F.lit(0))).alias("mean"))
     largest = counts
     if sizes["groups"] > SIZED_GROUPS:
         largest = counts.orderBy(F.desc("n"), group).limit(SIZED_GROUPS)
-    sizing = largest.select(group, _digits(F.col("n")).alias("_digits"))
+    # Long names go with the other groups, which bounds the broadcast in bytes as well.
+    sizing = largest.filter(F.octet_length(F.col(group).cast("string")) <= SIZED_NAME_BYTES).select(
+        group, _digits(F.col("n")).alias("_digits"))
     other = next((d for below, d in DIGITS_BELOW if sizes["mean"] < below), MAX_DIGITS)
     marked = _bucketed(df.select(group, key), group, key, seed, sizing, other)
     buckets = staged(marked.groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows")), "buckets")
@@ -87,7 +91,7 @@ def _digits(n: Column) -> Column:
 
 def _bucketed(df: DataFrame, group: str, key: str, seed: int, sizing: DataFrame,
               other_digits: int) -> DataFrame:
-    # SIZED_GROUPS rows at most: broadcast.
+    # SIZED_GROUPS rows with a name of SIZED_NAME_BYTES at most: broadcast.
     digits = F.coalesce("_digits", F.lit(other_digits))
     return (df.withColumn(ORDER, seeded_order(F.col(key), seed))
             .join(F.broadcast(sizing), group, "left")
@@ -110,38 +114,38 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     counted = histogram.buckets if buckets is None else buckets
     last = _last_buckets(counted.select(group, BUCKET, "rows", quota.alias("quota")), group)
     row = [group, BUCKET, ORDER, TIE]
-    copies = F.count(F.lit(1)).alias("copies")
+    copies = F.count(F.lit(1)).alias("_copies")
     small = histogram.key_bytes <= broadcast_bytes
     if small:
         # Nothing is shuffled: work out the row digest behind the join.
         keyed = df.withColumn(ORDER, order)
         ranked = (keyed.join(F.broadcast(last), group)
                   .filter(F.col(ORDER).startswith(F.col(BUCKET))).withColumn(TIE, tie)
-                  .groupBy(*row, "need").agg(copies))
+                  .groupBy(*row, "_need").agg(copies))
     else:
         # Rows are shuffled: send digests instead of rows, copies as a count.
         keyed = histogram.bucketed(df)
         ranked = (keyed.withColumn(TIE, tie).groupBy(*row).agg(copies)
                   .join(last, [group, BUCKET]))
-    cuts = staged(_cuts(ranked, group), "cuts")
+    whole = F.col("_take") == F.col("_copies")
+    cuts, found = staged_with_facts(_cuts(ranked, group), "cuts", F.max(~whole).alias("split"))
 
     if small:
-        near = keyed.join(F.broadcast(cuts.drop("cut_bucket")), group)
+        near = keyed.join(F.broadcast(cuts.drop("_cut_bucket")), group)
     else:
         up_to_cut = (histogram.buckets.select(group, BUCKET).join(cuts, group)
-                     .filter(F.col(BUCKET) <= F.col("cut_bucket")).drop("cut_bucket"))
+                     .filter(F.col(BUCKET) <= F.col("_cut_bucket")).drop("_cut_bucket"))
         near = keyed.join(up_to_cut, [group, BUCKET])
 
-    at_cut = (F.col(ORDER) == F.col("cut_order")) & (tie == F.col("cut_tie"))
-    before_cut = (F.col(ORDER) < F.col("cut_order")) | (
-        (F.col(ORDER) == F.col("cut_order")) & (tie < F.col("cut_tie")))
-    whole = F.col("take") == F.col("copies")
+    at_cut = (F.col(ORDER) == F.col("_cut_order")) & (tie == F.col("_cut_tie"))
+    before_cut = (F.col(ORDER) < F.col("_cut_order")) | (
+        (F.col(ORDER) == F.col("_cut_order")) & (tie < F.col("_cut_tie")))
     drawn = near.filter(before_cut | (whole & at_cut)).select(columns)
-    if cuts.filter(~whole).isEmpty():
+    if not found["split"]:
         return drawn
     # Some quota ends among copies of one row: one row per group, repeated.
-    split = near.filter(~whole & at_cut).groupBy(*columns, "take").agg(copies)
-    return drawn.unionByName(repeat_rows(split, F.col("take")).select(columns))
+    split = near.filter(~whole & at_cut).groupBy(*columns, "_take").agg(copies)
+    return drawn.unionByName(repeat_rows(split, F.col("_take")).select(columns))
 
 
 def sample_by_website(df: DataFrame, n: int | None = None, group: str = "website",
@@ -184,15 +188,15 @@ def _last_buckets(counted: DataFrame, group: str) -> DataFrame:
     reached = counted.withColumn("upto", upto).withColumn("total", total)
     quota = F.least("quota", "total")
     return (reached.filter((F.col("upto") >= quota) & (F.col("upto") - F.col("rows") < quota))
-            .select(group, BUCKET, (quota - (F.col("upto") - F.col("rows"))).alias("need")))
+            .select(group, BUCKET, (quota - (F.col("upto") - F.col("rows"))).alias("_need")))
 
 
 def _cuts(ranked: DataFrame, group: str) -> DataFrame:
     """Digest of the last row to keep per group; `take` of its `copies` belong."""
     in_bucket = Window.partitionBy(group, BUCKET).orderBy(ORDER, TIE)
-    upto = F.sum("copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("_copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
     return (ranked.withColumn("upto", upto)
-            .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("copies") < F.col("need")))
-            .select(group, F.col(BUCKET).alias("cut_bucket"), F.col(ORDER).alias("cut_order"),
-                    F.col(TIE).alias("cut_tie"),
-                    (F.col("need") - (F.col("upto") - F.col("copies"))).alias("take"), "copies"))
+            .filter((F.col("upto") >= F.col("_need")) & (F.col("upto") - F.col("_copies") < F.col("_need")))
+            .select(group, F.col(BUCKET).alias("_cut_bucket"), F.col(ORDER).alias("_cut_order"),
+                    F.col(TIE).alias("_cut_tie"),
+                    (F.col("_need") - (F.col("upto") - F.col("_copies"))).alias("_take"), "_copies"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Key tables up to this many bytes of row data may be broadcast.
@@ -47,6 +47,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_with_facts(df: DataFrame, label: str, *facts: Column) -> tuple[DataFrame, dict]:
+    """`staged`, with aggregates that are taken while the table is written.
+
+    A stage that is run again may count rows twice: use counts and sums as
+    upper bounds only; minima and maxima are exact.
+    """
+    seen = Observation()
+    return staged(df.observe(seen, *facts), label), seen.get
+
+
 def key_bytes(key: str) -> Column:
     """Aggregate: upper estimate of the memory for a table with one row per key."""
     size = F.octet_length(F.col(key).cast("string"))

@@ -13,6 +13,7 @@ from evenkeel.functions import text as X
 RECIPE_COLUMNS = ("title", "ingredients", "directions", "link")
 # Small row groups bound the memory for pages; a page is wide.
 PAGE_GROUP_BYTES = 16 * 1024 * 1024
+BATCHES_PER_BLOCK = 1_000
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()),
                         T.StructField("content", T.StringType())])
@@ -40,16 +41,22 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
-def read_recipes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Source recipes from CSV with a header, all columns as text.
+def read_recipes(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multiline: bool = True) -> DataFrame:
+    """Source recipes from CSV with a header.
 
+    Without `schema` all columns are text and the four that matter are kept.
+    A schema may name a `_corrupt_record` column for lines that do not fit.
     `multiline` accepts line breaks inside quotes, but then one task reads
     a whole file: split the source into many files, or turn it off when no
     field holds a raw line break.
     """
-    return (spark.read.option("header", True).option("multiLine", multiline)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-            .csv(path).select(*RECIPE_COLUMNS))
+    reader = (spark.read.option("header", True).option("multiLine", multiline)
+              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+    if schema is None:
+        return reader.csv(path).select(*RECIPE_COLUMNS)
+    return (reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("enforceSchema", False).csv(path))
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -126,6 +133,14 @@ def stream_training(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(TRAINING).parquet(path)
 
 
+def write_batches(batches: DataFrame, path: str, per_block: int = BATCHES_PER_BLOCK,
+                  mode: str = "errorifexists") -> None:
+    """Training batches in their order: folders of consecutive batches, sorted inside."""
+    blocks = batches.withColumn("block", F.floor(F.col("batch") / per_block))
+    (blocks.repartition("block").sortWithinPartitions("block", "batch", "position")
+     .write.mode(mode).option("compression", "zstd").partitionBy("block").parquet(path))
+
+
 def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
     """Metric points (run, tick, step, tag, value), one folder per run."""
     points.write.mode(mode).partitionBy("run").parquet(path)

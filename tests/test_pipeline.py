@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.functions import links as L
 from evenkeel.operators import balance, crawl, examples, links, pages
@@ -44,6 +45,23 @@ def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
     assert (row.title, row.ingredients, row.link) == ("a\nb", 'i "x", y', "l.com/")
 
 
+def test_csv_with_a_schema(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text("title,n\na,1\nb,x\n")
+    schema = T.StructType.fromDDL("title string, n int, _corrupt_record string")
+    rows = tables.read_recipes(spark, str(path), schema).collect()
+    assert [tuple(r) for r in rows] == [("a", 1, None), ("b", None, "b,x")]
+
+
+def test_written_batches_are_in_order(spark, tmp_path):
+    df = spark.range(100).select("id", F.array("id").alias("input_ids"), F.array("id").alias("labels"))
+    batches = examples.training_batches(df, "id", 8)
+    tables.write_batches(batches, f"{tmp_path}/b", per_block=5)
+    for block in range(3):
+        got = spark.read.parquet(f"{tmp_path}/b/block={block}").collect()
+        assert [r.position for r in got] == list(range(block * 40 + 1, min(block * 40 + 40, 100) + 1))
+
+
 def test_whole_pipeline(spark, source, tmp_path):
     recipes = tables.read_recipes(spark, source)
     prepared = pipeline.prepare_dataset(recipes)
@@ -134,6 +152,23 @@ def test_staging_uses_the_session_folder(spark):
     assert folder in df.inputFiles()[0] and staged.count() == 5
 
 
+def test_staging_without_a_setting(spark, monkeypatch):
+    class Unset:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master, folder = "local[2]", None
+            getCheckpointDir = classmethod(lambda cls: cls.folder)
+            setCheckpointDir = classmethod(lambda cls, path: setattr(cls, "folder", path))
+
+    first = staging.shared_dir(Unset)
+    assert first == staging.shared_dir(Unset)
+    Unset.sparkContext.folder, Unset.sparkContext.master = None, "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Unset)
+
+
 def test_spread(spark):
     one = spark.range(10).coalesce(1)
     assert tables.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
