@@ -95,6 +95,12 @@ def example_labels(prompt_ids: Column, response_ids: Column) -> Column:
     return F.concat(repeated(P.IGNORED_LABEL, F.size(prompt_ids)), response_ids)
 
 
+def masked_labels(input_ids: Column, prompt_size: Column) -> Column:
+    """The same labels from joined ids and the length of their prompt."""
+    answer = F.slice(input_ids, prompt_size + 1, F.greatest(F.size(input_ids) - prompt_size, F.lit(0)))
+    return F.concat(repeated(P.IGNORED_LABEL, prompt_size), answer)
+
+
 def padded(values: Column, width: Column, fill: int, side: str = "right") -> Column:
     pad = repeated(fill, width - F.size(values))
     return F.concat(values, pad) if side == "right" else F.concat(pad, values)

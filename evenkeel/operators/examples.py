@@ -73,12 +73,20 @@ def label_mask(df: DataFrame) -> DataFrame:
             .drop("prompt_ids", "response_ids"))
 
 
+def join_examples(df: DataFrame) -> DataFrame:
+    """Add `input_ids` and `prompt_size`: what labels are made of, at half their size."""
+    prompt = F.col("prompt_ids")
+    return (df.withColumn("input_ids", C.example_ids(prompt, F.col("response_ids")))
+            .withColumn("prompt_size", F.size(prompt)).drop("prompt_ids", "response_ids"))
+
+
 def training_batches(df: DataFrame, key: str, size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED,
                      pad_id: int = C.HASH_TOKENIZER.pad_id, side: str = "right") -> DataFrame:
     """Rows in seeded order, in batches padded to their longest row.
 
-    Adds `position` (from 1), `batch` (from 0) and `attention_mask`. `key` must
-    name one row. The keys alone are ranked first, to cut the order into shards
+    Adds `position` (from 1), `batch` (from 0) and `attention_mask`, and `labels`
+    where `df` has a `prompt_size` instead: they are then made behind the
+    shuffle. `key` must name one row. The keys alone are ranked first, to cut the order into shards
     that start where a batch starts. The examples are then shuffled once, and
     a batch finds its width inside its shard.
     """
@@ -90,8 +98,11 @@ def training_batches(df: DataFrame, key: str, size: int = BATCH_SIZE, seed: int
     width = F.max("_size").over(Window.partitionBy("_shard", "batch"))
     to = F.col("_width")
     ones = F.array_repeat(F.lit(1), F.col("_size"))
-    return (batched.withColumn("_width", width)
-            .withColumn("attention_mask", C.padded(ones, to, 0, side))
+    labelled = batched.withColumn("_width", width)
+    if "labels" not in df.columns:
+        labels = C.masked_labels(F.col("input_ids"), F.col("prompt_size"))
+        labelled = labelled.withColumn("labels", labels).drop("prompt_size")
+    return (labelled.withColumn("attention_mask", C.padded(ones, to, 0, side))
             .withColumn("input_ids", C.padded(F.col("input_ids"), to, pad_id, side))
             .withColumn("labels", C.padded(F.col("labels"), to, P.IGNORED_LABEL, side))
             .drop("_size", "_width", "_shard", "_start", ORDER))

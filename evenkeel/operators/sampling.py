@@ -47,7 +47,10 @@ ORDER, TIE, BUCKET = "_order", "_tie", "_bucket"
 
 @dataclass(frozen=True)
 class Histogram:
-    """Rows per group (`counts`) and per (group, bucket) (`buckets`), both staged."""
+    """Rows per group (`counts`) and per (group, bucket) (`buckets`).
+
+    `small`: one row per group may be broadcast.
+    """
 
     group: str
     key: str
@@ -57,14 +60,15 @@ class Histogram:
     sizing: DataFrame
     other_digits: int
     smallest: int
-    key_bytes: int
+    small: bool
 
     def bucketed(self, df: DataFrame) -> DataFrame:
         """Add the digest order and its bucket."""
         return _bucketed(df, self.group, self.key, self.seed, self.sizing, self.other_digits)
 
 
-def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> Histogram:
+def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0,
+                    broadcast_bytes: int = BROADCAST_BYTES) -> Histogram:
     counts, sizes = staged_with_facts(
         df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "counts",
         F.coalesce(F.min("n"), F.lit(0)).alias("smallest"), F.count(F.lit(1)).alias("groups"),
@@ -77,9 +81,11 @@ def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0) -> Histo
         group, _digits(F.col("n")).alias("_digits"))
     other = next((d for below, d in DIGITS_BELOW if sizes["mean"] < below), MAX_DIGITS)
     marked = _bucketed(df.select(group, key), group, key, seed, sizing, other)
-    buckets = staged(marked.groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows")), "buckets")
-    return Histogram(group, key, seed, counts, buckets, sizing, other, sizes["smallest"],
-                     sizes["bytes"])
+    small = sizes["bytes"] <= broadcast_bytes
+    buckets = marked.groupBy(group, BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+    if not small:
+        buckets = staged(buckets, "buckets")  # read twice by the draw
+    return Histogram(group, key, seed, counts, buckets, sizing, other, sizes["smallest"], small)
 
 
 def _digits(n: Column) -> Column:
@@ -98,8 +104,8 @@ def _bucketed(df: DataFrame, group: str, key: str, seed: int, sizing: DataFrame,
             .withColumn(BUCKET, F.substring(F.col(ORDER), F.lit(1), digits)).drop("_digits"))
 
 
-def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame | None = None,
-         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def draw(df: DataFrame, histogram: Histogram, quota: Column,
+         buckets: DataFrame | None = None) -> DataFrame:
     """Exactly `quota` rows of each group, the first ones in seeded order.
 
     `quota` is a column over the histogram's rows, or over `buckets`: the same
@@ -115,8 +121,7 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     last = _last_buckets(counted.select(group, BUCKET, "rows", quota.alias("quota")), group)
     row = [group, BUCKET, ORDER, TIE]
     copies = F.count(F.lit(1)).alias("_copies")
-    small = histogram.key_bytes <= broadcast_bytes
-    if small:
+    if histogram.small:
         # Nothing is shuffled: work out the row digest behind the join.
         keyed = df.withColumn(ORDER, order)
         ranked = (keyed.join(F.broadcast(last), group)
@@ -130,7 +135,7 @@ def draw(df: DataFrame, histogram: Histogram, quota: Column, buckets: DataFrame
     whole = F.col("_take") == F.col("_copies")
     cuts, found = staged_with_facts(_cuts(ranked, group), "cuts", F.max(~whole).alias("split"))
 
-    if small:
+    if histogram.small:
         near = keyed.join(F.broadcast(cuts.drop("_cut_bucket")), group)
     else:
         up_to_cut = (histogram.buckets.select(group, BUCKET).join(cuts, group)
@@ -157,14 +162,14 @@ def sample_by_website(df: DataFrame, n: int | None = None, group: str = "website
     that is an error, as nothing can be drawn twice.
     """
     known = df.filter(F.col(group).isNotNull())
-    histogram = group_histogram(known, group, key, seed)
+    histogram = group_histogram(known, group, key, seed, broadcast_bytes)
     if n is None:
         n = histogram.smallest
     elif histogram.counts.isEmpty():
         return known
     elif histogram.smallest < n:
         raise ValueError(f"cannot draw {n} rows from a website with {histogram.smallest}")
-    return draw(known, histogram, F.lit(n).cast("long"), broadcast_bytes=broadcast_bytes)
+    return draw(known, histogram, F.lit(n).cast("long"))
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:

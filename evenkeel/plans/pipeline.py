@@ -32,7 +32,7 @@ def balance_dataset(keyed: DataFrame, k: int = balance.EVAL_WEBSITES, seed: int
     histogram; the rows themselves are read for the draw only.
     """
     known = keyed.filter(F.col("website").isNotNull())
-    histogram = sampling.group_histogram(known, "website", "link", seed)
+    histogram = sampling.group_histogram(known, "website", "link", seed, broadcast_bytes)
     # k rows at most.
     held_out = F.broadcast(balance.smallest_websites(histogram.counts, k)
                            .select("website", F.lit(False).alias("_train")))
@@ -41,7 +41,7 @@ def balance_dataset(keyed: DataFrame, k: int = balance.EVAL_WEBSITES, seed: int
     smallest = {r["train"]: r["n"] for r in split.agg(F.min("n").alias("n")).collect()}
     quota = F.when(train, smallest.get(True, 0)).otherwise(smallest.get(False, 0)).cast("long")
     drawn = sampling.draw(known, histogram, quota,
-                          histogram.buckets.join(held_out, "website", "left"), broadcast_bytes)
+                          histogram.buckets.join(held_out, "website", "left"))
     return drawn.join(held_out, "website", "left").select(*keyed.columns, train.alias("train"))
 
 
@@ -66,8 +66,8 @@ def merge_pages(dataset: DataFrame, page_table: DataFrame, seed: int = 0,
 
 def tokenized_examples(training: DataFrame, template: C.ChatTemplate = C.CHATML,
                        tokenizer: C.HashTokenizer = C.HASH_TOKENIZER) -> DataFrame:
-    """`input_ids` and `labels` from a training table whose `input` is one message."""
+    """`input_ids` and `prompt_size` from a training table whose `input` is one message."""
     listed = training.withColumn("input", F.array("input"))
     rendered = examples.chat_render(listed, "input", template).drop("input")
     tokens = examples.tokenize_examples(rendered, tokenizer).drop("prompt", "response")
-    return examples.label_mask(tokens)
+    return examples.join_examples(tokens)

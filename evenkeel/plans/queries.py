@@ -313,7 +313,7 @@ def label_mask(spark, d):
 
 @query
 def training_batches(spark, d):
-    batches = examples.training_batches(examples.label_mask(_tokens(spark, d)), "page_id")
+    batches = examples.training_batches(examples.join_examples(_tokens(spark, d)), "page_id")
     return batches.select(
         "page_id", "position", "batch", F.size("input_ids").cast("bigint").alias("width"),
         F.md5(joined("input_ids")).alias("input_ids"), F.md5(joined("labels")).alias("labels"),

@@ -49,6 +49,9 @@ def test_labels_and_padding(spark):
                                "k int, prompt_ids array<int>, response_ids array<int>")
     got = {r.k: (r.input_ids, r.labels) for r in examples.label_mask(df).collect()}
     assert got == {1: ([1, 2, 3], [-100, -100, 3]), 2: ([4], [4]), 3: ([5], [-100])}
+    joined = examples.join_examples(df).select("k", "input_ids", C.masked_labels(
+        F.col("input_ids"), F.col("prompt_size")).alias("labels"))
+    assert {r.k: (r.input_ids, r.labels) for r in joined.collect()} == got
     wide = df.select("k", C.padded(F.col("prompt_ids"), F.lit(3), 0).alias("r"),
                      C.padded(F.col("prompt_ids"), F.lit(3), -100, "left").alias("l"))
     assert wide.filter("k = 1").first()[1:] == ([1, 2, 0], [-100, 1, 2])

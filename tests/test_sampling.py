@@ -56,9 +56,9 @@ def test_exact_draw(spark, n, limit):
 def test_quota_that_ends_among_copies(spark, limit):
     rows = [("copy", "a")] * 500 + [(f"l{i}", "a") for i in range(20)] + [("z", "b")] * 9
     df = frame(spark, rows)
-    histogram = sampling.group_histogram(df, "website", "link")
+    histogram = sampling.group_histogram(df, "website", "link", broadcast_bytes=limit)
     for n in (3, 250, 519, 520, 10_000):
-        got = sampling.draw(df, histogram, F.lit(n).cast("long"), broadcast_bytes=limit)
+        got = sampling.draw(df, histogram, F.lit(n).cast("long"))
         assert bag(got) == brute(rows, lambda _, size: n), n
 
 
@@ -67,9 +67,9 @@ def test_quota_that_ends_among_copies(spark, limit):
                 max_size=60), st.integers(0, 20), st.integers(0, 3), st.booleans())
 def test_any_rows_any_quota(spark, rows, n, seed, small):
     df = frame(spark, rows).filter("website is not null")
-    histogram = sampling.group_histogram(df, "website", "link", seed)
-    got = sampling.draw(df, histogram, F.lit(n).cast("long"),
-                        broadcast_bytes=sampling.BROADCAST_BYTES if small else 0)
+    histogram = sampling.group_histogram(df, "website", "link", seed,
+                                         sampling.BROADCAST_BYTES if small else 0)
+    got = sampling.draw(df, histogram, F.lit(n).cast("long"))
     assert bag(got) == brute(rows, lambda _, size: n, seed)
 
 
