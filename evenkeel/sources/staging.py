@@ -16,21 +16,23 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Fixed cost counted per row next to its key: numbers, digests and headers.
 ROW_OVERHEAD = 128
+# Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str | None] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in `spark.checkpoint.dir`, else the context's own.
 
-    Only a local session (tests) may do without either; it then gets a new
-    temporary folder.
+    Only a local session (tests) may do without either; it then gets one
+    temporary folder per application. The session's settings stay as they are.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="evenkeel-"))
-        folder = context.getCheckpointDir()
+        folder = _LOCAL.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="evenkeel-")
+        _LOCAL[context.applicationId] = folder
     return folder.rstrip("/")
 
 
@@ -40,6 +42,18 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/evenkeel/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder through the file system that holds it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that this application has staged; call it once its results are written."""
+    delete(spark, f"{shared_dir(spark)}/evenkeel/{spark.sparkContext.applicationId}")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back."""
     path = new_path(df.sparkSession, label)

@@ -6,9 +6,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from evenkeel.plans.oracles import SQL
+from evenkeel.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
