@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import mixing, packing, simhash, tables
+from evenkeel.llm import language, mixing, packing, quality, simhash, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,21 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.documents(spark, sf_dir).select("doc_id", "text", "source")
     return mixing.mix_sources(docs).documents.select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text")
+    learned = tables.labels(spark, sf_dir).filter(~tables.in_fold("doc_id", 3, 1))
+    model = quality.fit(quality.training_rows(docs, learned, "quality"))
+    return tables.scored(docs.withColumn("score", quality.score(F.col("text"), model)),
+                         tables.in_fold("doc_id", 3, 1))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(~tables.in_fold("doc_id", 4, 2)))
+    found = docs.select("doc_id", tables.in_fold("doc_id", 4, 2).alias("held_out"),
+                        language.predict(F.col("text"), model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")

@@ -45,3 +45,9 @@ def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     For the fit of a model alone; the rows that compete are narrow.
     """
     return rows.orderBy(F.xxhash64(F.col(key), F.lit(7)), key).limit(limit)
+
+
+def scored(docs: DataFrame, held_out: Column) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of documents with a score from 0 to 1."""
+    return docs.select("doc_id", held_out.alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
