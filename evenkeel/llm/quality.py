@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.spans import LOWER, SPACE, hash_spans, mix, slices, sums, words
-from evenkeel.llm.tables import bounded_sample
 
 BITS = 18
 # Labelled texts that the model is fitted on, at most.
@@ -97,8 +96,8 @@ def score(text: Column, model: Model) -> Column:
     return compute(text)
 
 
-def fit(rows: DataFrame, bits: int = BITS, limit: int = MAX_TRAINING, epochs: int = EPOCHS) -> Model:
-    """Fit on `limit` rows at most of (doc_id, text, label), chosen by a hash of doc_id.
+def fit(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> Model:
+    """Fit on (doc_id, text, label), a bounded sample of labelled rows.
 
     Runs jobs when called: n-grams are counted where the texts are; one task
     then follows the regularised leader over the bounded sample, in the order
@@ -138,13 +137,6 @@ def fit(rows: DataFrame, bits: int = BITS, limit: int = MAX_TRAINING, epochs: in
     return Model(np.frombuffer(found[0]["weights"], "<f4"), found[0]["bias"], bits)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int = MAX_TRAINING) -> DataFrame:
-    """(doc_id, text, label) of at most `limit` labelled documents: a bounded side, broadcast."""
-    chosen = bounded_sample(labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-                            .select("doc_id", F.col(label).alias("label")), "doc_id", limit)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-
 def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int,
                   epochs: int) -> tuple[np.ndarray, float]:
     """Weights and bias after `epochs` passes of per-coordinate FTRL with L1 and L2 terms."""

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import language, mixing, packing, quality, simhash, tables
+from evenkeel.llm import charmodel, language, mixing, packing, quality, simhash, tables, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,7 +49,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.documents(spark, sf_dir).select("doc_id", "text")
     learned = tables.labels(spark, sf_dir).filter(~tables.in_fold("doc_id", 3, 1))
-    model = quality.fit(quality.training_rows(docs, learned, "quality"))
+    model = quality.fit(tables.training_rows(docs, learned, "quality", quality.MAX_TRAINING))
     return tables.scored(docs.withColumn("score", quality.score(F.col("text"), model)),
                          tables.in_fold("doc_id", 3, 1))
 
@@ -61,3 +61,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select("doc_id", tables.in_fold("doc_id", 4, 2).alias("held_out"),
                         language.predict(F.col("text"), model).alias("found"))
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text")
+    learned = tables.labels(spark, sf_dir).filter(~tables.in_fold("doc_id", 5, 0))
+    sample = tables.training_rows(docs, learned, "toxic", toxicity.MAX_TRAINING)
+    model = toxicity.fit(sample, charmodel.count(docs))
+    return tables.scored(docs.withColumn("score", toxicity.score(F.col("text"), model)),
+                         tables.in_fold("doc_id", 5, 0))

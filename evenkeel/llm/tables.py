@@ -51,3 +51,11 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, score, predicted) of documents with a score from 0 to 1."""
     return docs.select("doc_id", held_out.alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str,
+                  limit: int) -> DataFrame:
+    """(doc_id, text, label) of at most `limit` labelled documents: a bounded side, broadcast."""
+    chosen = bounded_sample(labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+                            .select("doc_id", F.col(label).alias("label")), "doc_id", limit)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
