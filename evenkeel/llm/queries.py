@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import charmodel, language, mixing, packing, quality, simhash, tables, toxicity
+from evenkeel.llm import charmodel, imatch, language, mixing, packing, quality, simhash, tables, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(sample, charmodel.count(docs))
     return tables.scored(docs.withColumn("score", toxicity.score(F.col("text"), model)),
                          tables.in_fold("doc_id", 5, 0))
+
+
+@query
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text")
+    return imatch.edited(docs, imatch.lexicon(docs))
