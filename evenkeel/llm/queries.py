@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import charmodel, imatch, language, mixing, packing, quality, simhash, tables, toxicity
+from evenkeel.llm import charmodel, embeddings, imatch, language, mixing, packing, quality, simhash, tables, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.documents(spark, sf_dir).select("doc_id", "text")
     return imatch.edited(docs, imatch.lexicon(docs))
+
+
+@query
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.schema("vec_id bigint, embedding array<float>, label int").parquet(
+        f"{sf_dir}/embeddings.parquet")
+    return embeddings.near_duplicates(vectors)
