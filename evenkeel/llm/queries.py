@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import charmodel, embeddings, imatch, language, mixing, packing, quality, simhash, tables, toxicity
+from evenkeel.llm import (
+    charmodel,
+    embeddings,
+    imatch,
+    language,
+    licenses,
+    mixing,
+    oracles,
+    packing,
+    quality,
+    revisits,
+    simhash,
+    tables,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +98,45 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.schema("vec_id bigint, embedding array<float>, label int").parquet(
         f"{sf_dir}/embeddings.parquet")
     return embeddings.near_duplicates(vectors)
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(tables.documents(spark, sf_dir), licenses.registry(spark))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Records made of each page: a response, and three later or simultaneous revisits."""
+    when = F.lit(1_700_000_000) + F.col("page_id") % 1000 * 3600
+    digest = F.md5("html")
+
+    def record(number: int, url, ts, kind: str, payload, **fields):
+        names = [x for name, value in fields.items() for x in (F.lit(name.replace("_", "-")), value)]
+        return F.struct((4 * F.col("page_id") + number).alias("record_id"), url.alias("url"),
+                        ts.cast("bigint").alias("ts"), F.lit(kind).alias("kind"),
+                        F.create_map(*names).alias("headers"), payload.alias("payload"))
+
+    url, none = F.col("url"), F.lit(None).cast("string")
+    age = F.concat(F.lit("max-age="), (F.col("page_id") % 7).cast("string"))
+    again = F.concat(F.regexp_replace(url, "^https?://", "HTTP://WWW."), F.lit("#again"))
+    rows = F.array(
+        record(0, url, when, "response", F.col("html"), ETag=digest, Content_Type=F.lit("text/html"),
+               Content_Length=F.octet_length("html").cast("string")),
+        record(1, again, when + 90_000, "revisit", none, etag=F.concat(F.lit('W/"'), digest, F.lit('"')),
+               Cache_Control=age, Content_Length=F.lit("0")),
+        record(2, url, when, "revisit", none, etag=digest, Cache_Control=F.lit("max-age=1")),
+        record(3, url, when + 60, "revisit", none, Cache_Control=F.lit("max-age=2"),
+               etag=F.concat(F.lit("stale-"), F.col("page_id").cast("string"))))
+    return pages.select(F.inline(rows))
+
+
+@query
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.schema("page_id bigint, url string, html string").parquet(f"{sf_dir}/pages.parquet")
+    found = revisits.resolve(captures(pages))
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("record_id", "ts", "url_key", "response_id", "outcome",
+                        F.array_join(pairs, ";").alias("headers"), F.md5("payload").alias("payload_md5"))
+
+
+ORACLES.update(oracles.SQL)
