@@ -78,8 +78,8 @@ def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[int,
 
 def repeat(mixed: DataFrame) -> DataFrame:
     """Each document as many times as it is taken; `copy` counts from 0."""
-    numbers = F.sequence(F.lit(1), F.col("copies").cast("int"))
-    return mixed.filter("copies > 0").withColumn("copy", F.explode(numbers) - 1)
+    numbers = F.sequence(F.lit(0), F.col("copies").cast("int") - 1)
+    return mixed.filter("copies > 0").withColumn("copy", F.explode(numbers))
 
 
 def _copies(rate: Column, seed: Column) -> Column:

@@ -52,16 +52,22 @@ def exact_index(max_bits: int, size: int = 8) -> Index:
     return Index(tuple(combinations(range(size), shared)), shared, max_bits)
 
 
-def banded_index(similarity: float, planes: int, band: int = 2, min_shared: int = 7) -> Index:
+def banded_index(similarity: float, planes: int, min_shared: int = 7) -> Index:
     """Pairs of shingle sets with a Jaccard similarity of `similarity` or more, by long fingerprints.
 
     A Jaccard similarity of J between sets of like size is a cosine of
-    2J / (1 + J), and the share of differing bits is its angle over pi.
+    2J / (1 + J), and the share of differing bits estimates its angle over pi.
+    A standard error of that estimate is allowed for. Lists are of two bytes:
+    neighbours, and some that lie half a fingerprint apart. With eight planes a
+    pair at J = 0.8 meets in some list in 19 of 20 cases, at 0.9 in all but one
+    of ten thousand.
     """
     size = 8 * planes
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    lists = tuple(tuple(range(i, i + band)) for i in range(0, size, band))
-    return Index(lists, min_shared, int(round(share * size * 8)))
+    error = np.sqrt(share * (1 - share) * size * 8)
+    near = tuple((i, i + 1) for i in range(0, size, 2))
+    far = tuple((i, i + size // 2) for i in range(size // 4))
+    return Index(near + far, min_shared, int(round(share * size * 8 + error)))
 
 
 def fingerprint(text: Column, shingle: int, planes: int = 1) -> Column:
@@ -110,7 +116,7 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, planes: i
             hashes = np.array([xxhash.xxh64_intdigest(raw[s:e], HASH_SEED) for s, e in
                                zip(starts[at:at + BLOCK], stops[at:at + BLOCK], strict=True)], np.uint64)
             for plane in range(planes):
-                turned = hashes if plane == 0 else mix(hashes + _PLANE * np.uint64(plane))
+                turned = hashes if plane == 0 else mix(hashes + np.uint64(int(_PLANE) * plane % 2 ** 64))
                 each = np.unpackbits(turned.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                 bits[plane] += each.sum(axis=0, dtype=np.int64)
         out.append(np.packbits(2 * bits > count, axis=1, bitorder="little").view(np.uint64).ravel())
@@ -131,16 +137,37 @@ def _list_key(fp: str, positions: tuple[int, ...]) -> Column:
     return key
 
 
-def shared_bytes(a: str, b: str, size: int) -> Column:
+def shared_bytes(a: str, b: str, planes: int) -> Column:
     """How many positional bytes two fingerprints share."""
-    equal = [(byte_at(a, p) == byte_at(b, p)).cast("int") for p in range(size)]
-    return _total(equal)
+    ones = 0x0101010101010101
+    parts = []
+    for i in range(planes):
+        bits = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        for step in (4, 2, 1):  # the lowest bit of each byte tells whether any of its bits differs
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step).bitwiseAND(F.lit(ones * (256 // 2 ** step - 1))))
+        parts.append(8 - F.bit_count(bits.bitwiseAND(F.lit(ones))))
+    return _total(parts)
 
 
 def differing_bits(a: str, b: str, planes: int) -> Column:
     return _total([F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(planes)])
 
 
+def _met_before(index: Index, a: str, b: str) -> Column:
+    """True if two fingerprints share a list before the one they meet in; few pairs come to this test."""
+    differ = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    masks = []
+    for positions in index.positions:
+        words = sorted({p // 8 for p in positions})
+        bits = [sum(255 << 8 * (p % 8) for p in positions if p // 8 == w) for w in words]
+        signed = [m - (1 << 64) if m >> 63 else m for m in bits]
+        masks.append(F.array(*[F.struct(F.lit(w + 1).alias("word"), F.lit(m).cast("bigint").alias("mask"))
+                               for w, m in zip(words, signed, strict=True)]))
+    earlier = F.slice(F.array(*masks), F.lit(1), F.col("list"))
+    return F.exists(earlier, lambda held: F.forall(
+        held, lambda m: F.element_at(differ, m["word"]).bitwiseAND(m["mask"]) == 0))
+
+
 def _total(parts: list[Column]) -> Column:
     out = parts[0]
     for part in parts[1:]:
@@ -149,13 +176,13 @@ def _total(parts: list[Column]) -> Column:
 
 
 def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
-    """(a, b): ids of distinct fingerprints that differ in at most `max_bits` bits.
+    """(a, b): ids of distinct fingerprints that differ in at most `max_bits` bits, each pair once.
 
     `distinct` has (id, fp), one row per fingerprint. The join is on the list
-    and its key alone, so Spark can split a large list between tasks; tally
-    and check are part of the join, which emits links only.
+    and its key alone, so Spark can split a large list between tasks. Tally
+    and check are part of the join, which emits links only, in the first list
+    that a pair shares.
     """
-    size = 8 * planes
     lists = [F.struct(F.lit(i).alias("list"), _list_key("fp", p).alias("key"))
              for i, p in enumerate(index.positions)]
     rows = distinct.select("id", "fp", F.explode(F.array(*lists)).alias("at")).select("id", "fp", "at.list", "at.key")
@@ -164,7 +191,8 @@ def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
     same = one.join(two, ["list", "key"]).filter(
         (F.col("a") < F.col("b"))
         & (differing_bits("fa", "fb", planes) <= index.max_bits)
-        & (shared_bytes("fa", "fb", size) >= index.min_shared))
+        & (shared_bytes("fa", "fb", planes) >= index.min_shared)
+        & ~_met_before(index, "fa", "fb"))
     return same.select("a", "b")
 
 
