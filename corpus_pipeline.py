@@ -1,5 +1,88 @@
-from evenkeel.llm.queries import QUERIES
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next one's docs. All but the last return the
+columns of `documents`; the last returns a row per packed piece.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evenkeel.llm import language, mixing, packing, quality, simhash, tables
+from evenkeel.sources.staging import staged
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# A document goes if its language cannot be told, or the closest of the winner's duels is lost.
+MIN_CONFIDENCE = 0.5
+MIN_QUALITY = 0.5
+# Near copies share four fifths of their five-word shingles.
+SHINGLE, SIMILARITY, PLANES = 5, 0.8, 8
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; a null text, or one without letters, goes."""
+    tables.ready(spark)
+    docs = docs.select(*COLUMNS)
+    model = language.fit(docs.filter(~tables.in_fold("doc_id", 4, 2)))
+    found = docs.withColumn("_found", language.predict(F.col("text"), model))
+    known = (F.col("_found.lang_pred") != language.UNKNOWN) & (F.col("_found.score") >= MIN_CONFIDENCE)
+    return found.filter(known).select(*COLUMNS)
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls good; it learns from the labels outside the held-out third."""
+    tables.ready(spark)
+    docs = docs.select(*COLUMNS)
+    learned = tables.labels(spark, sf_dir).filter(~tables.in_fold("doc_id", 3, 1))
+    model = quality.fit(tables.training_rows(docs, learned, "quality", quality.MAX_TRAINING))
+    return docs.filter(quality.score(F.col("text"), model) >= MIN_QUALITY).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies.
+
+    Rows that repeat a doc_id count as one document; those without one stay.
+    """
+    tables.ready(spark)
+    docs = docs.select(*COLUMNS)
+    found = simhash.near_duplicates(docs, SHINGLE, simhash.banded_index(SIMILARITY, PLANES), PLANES)
+    kept = staged(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")),
+                  "kept-documents")
+    rows = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    if not kept.filter("_rows > 1").isEmpty():
+        repeated = kept.filter("_rows > 1").select("doc_id")
+        single = rows.join(repeated, "doc_id", "left_anti")
+        rows = single.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return rows.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate and its draw say."""
+    mixed = mixing.mix_sources(docs.select(*COLUMNS)).documents
+    return mixing.repeat(mixed).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document with its sequence and its place there."""
+    tables.ready(spark)
+    pieces = packing.pieces(docs, packing.public_tokenizer())
+    placed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [("language ID", language_id), ("quality classifier", quality_filter),
+          ("SimHash near-dedup", near_dedup), ("mixing sources", mix_sources),
+          ("best-fit packing", pack)]
+
+# Language and quality models are not expressible in SQL; tests use brute force and held-out rows.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of `sf_dir`; all but the last are written to the shared folder."""
+    docs = tables.documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
