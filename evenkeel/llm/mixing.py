@@ -66,13 +66,11 @@ def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[int,
     rates = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                                .otherwise(0.0))
     seeded = staged(_seeds(sized.select("doc_id", "source", "size"), rates, seeds), "mix-rates")
-    rows = sized.alias("d").join(
-        seeded.select(F.col("source").alias("_source"), "source_size", "target", "rate", "seed"),
-        F.col("d.source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("copies", _copies(F.col("rate"), F.col("seed")))
+    rows = sized.alias("d").join(seeded.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
+    copies = _copies(F.col("r.rate"), F.col("r.seed"), "d.doc_id")
     columns = [F.col(f"d.`{c}`") for c in kept]
-    out = rows.select(*columns, "size", "source_size", "target", "copies",
-                      (F.col("size") * F.col("copies")).alias("taken"))
+    out = rows.select(*columns, "d.size", "r.source_size", "r.target", copies.alias("copies"),
+                      (F.col("d.size") * copies).alias("taken"))
     return Mix(out, seeded)
 
 
@@ -82,9 +80,9 @@ def repeat(mixed: DataFrame) -> DataFrame:
     return mixed.filter("copies > 0").withColumn("copy", F.explode(numbers))
 
 
-def _copies(rate: Column, seed: Column) -> Column:
+def _copies(rate: Column, seed: Column, doc_id: str = "doc_id") -> Column:
     whole = F.floor(rate)
-    return whole + (draw("doc_id", seed) < rate - whole).cast("bigint")
+    return whole + (draw(doc_id, seed) < rate - whole).cast("bigint")
 
 
 def _ranked(sources: DataFrame, cycle: int) -> DataFrame:

@@ -31,7 +31,7 @@ SIGNS = {
 APART = set(" .-_*~·•'`,/\\:;+=​‌‍­")
 # Costs of the channel: a sign read as a letter, a sign or gap kept, a gap dropped, a run of three or more
 # shortened, a double letter made one.
-AS_LETTER, KEPT, DROPPED, SHORTENED, HALVED = 0.7, 1.5, 0.3, 0.2, 3.0
+AS_LETTER, KEPT, DROPPED, SHORTENED, HALVED = 0.7, 1.5, 0.3, 0.2, 6.0
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&-_/\\=~`"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)")
 # What every row of letters apart contains.
@@ -39,7 +39,7 @@ _MAYBE_SPACED = re.compile(r"[ \t]\S[ \t]{1,3}\S(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
 _LOOKALIKES = frozenset(c for c in SIGNS if c.isalpha())
 # Edge signs that may be the first letter of a word.
-_OPENING = frozenset("!|*#(<")
+_OPENING = frozenset("!|")
 # Tokens whose reading a worker keeps; beyond, it starts anew.
 KEPT_TOKENS = 300_000
 

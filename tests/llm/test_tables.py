@@ -1,0 +1,223 @@
+"""Vectors, licences, captures, oracles and the pipeline."""
+
+import collections
+import random
+
+import numpy as np
+import pytest
+from oracle import compare, connect
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from evenkeel.llm import embeddings, licenses, queries, revisits, tables
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", queries.ORACLES)
+def test_query_equals_oracle(spark, db, name):
+    count, problems = compare(queries.QUERIES[name](spark, SF), db, queries.ORACLES[name])
+    assert not problems and count > 0
+
+
+def test_every_operator_has_a_query():
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+
+
+# Vectors
+
+def brute_links(rows, threshold=0.98):
+    links, root = collections.Counter(), {r[0]: r[0] for r in rows}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    groups = collections.defaultdict(list)
+    for vec_id, vector, label in rows:
+        ok = vector is not None and label is not None and all(v is not None and np.isfinite(v) for v in vector)
+        if ok and any(vector):
+            groups[label, len(vector)].append((vec_id, np.array(vector, float)))
+    for members in groups.values():
+        for i, (a, x) in enumerate(members):
+            for b, y in members[:i]:
+                if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                    links[a] += 1
+                    links[b] += 1
+                    p, q = top(a), top(b)
+                    root[max(p, q)] = min(p, q)
+    return {r[0]: (links[r[0]], top(r[0]), r[0] == top(r[0])) for r in rows}
+
+
+def vectors():
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in range(120):
+        base = rng.normal(size=24)
+        for _ in range(int(rng.integers(1, 5))):
+            rows.append((base + rng.normal(size=24) * rng.choice([0, 0.05, 0.1, 0.3]), n % 3))
+    rows += [(rows[0][0], 0)] * 40  # a large group of copies
+    out = [(i, v.astype("f4").tolist(), label) for i, (v, label) in enumerate(rows)]
+    size = len(out)
+    out += [(size, None, 1), (size + 1, [0.0] * 24, 1), (size + 2, [float("nan")] * 24, 1), (size + 3, out[0][1], None),
+            (size + 4, [1.0, None, 2.0], 2), (size + 5, [1.0, 2.0], 0), (size + 6, [2.0, 4.0], 0), (size + 7, [], 0),
+            (size + 8, [float("inf")] * 24, 0)]
+    return out
+
+
+@pytest.mark.parametrize("block", [4096, 32])
+def test_vectors_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "CELL", 40)
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").select(
+        "*", F.lit(1).alias("id"), F.lit("x").alias("cell"), F.lit(0).alias("links"))
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(frame).collect()}
+    expected = brute_links(rows)
+    assert found.keys() == expected.keys()
+    linked = sum(n for n, _, _ in expected.values())
+    assert all(found[i][0] <= expected[i][0] for i in expected)  # no link that is none
+    assert sum(n for n, _, _ in found.values()) >= 0.97 * linked
+
+
+def test_vector_edges(spark):
+    schema = "vec_id bigint, embedding array<float>, label int"
+    assert embeddings.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+    twice = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0)], schema)
+    found = sorted((r.vec_id or 0, r.n_links, r.kept) for r in embeddings.near_duplicates(twice).collect())
+    assert found == [(0, 0, False), (1, 1, True), (1, 1, True)]
+
+
+def test_given_vectors(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    found = queries.op8_embedding_near_dedup(spark, SF).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == brute_links(rows)
+
+
+# Licences
+
+def test_known_texts_in_other_dress(spark):
+    mit = licenses.TEXTS["MIT"]
+    dressed = ("MIT LICENCE\n\nCopyright (c) 2019 Some Body\n© 2020 Others\nAll rights reserved.\n"
+               + mit.split("\n", 1)[1].upper().replace("SUBLICENSE", "sub-license").replace("\n", "\r\n   * "))
+    rows = [(1, mit), (2, dressed), (3, mit + " And more."), (4, None), (5, ""), (5, ""),
+            (6, "Intro.\n  Released under the MIT Licence!\nEnd\nLicensed under CC BY-NC 4.0."), (None, mit),
+            (7, "copyright law is a subject"), (8, "long " * 50_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "*", F.lit("x").alias("digest"), F.lit("y").alias("license"), F.lit(1).alias("notices"))
+    found = licenses.scan(docs, licenses.registry(spark)).collect()
+    assert len(found) == len(rows)
+    by = {r.doc_id: r for r in found}
+    assert [by[i].license for i in (1, 2, 3, 4, 5, None)] == ["MIT", "MIT", None, None, None, "MIT"]
+    assert by[6].notices == "CC-BY-NC-4.0,MIT" and by[4].digest is None and by[7].notices == ""
+    assert by[1].digest == by[2].digest
+    assert licenses.scan(docs.filter("false"), licenses.registry(spark)).count() == 0
+
+
+def test_scan_has_no_python(spark):
+    plan = licenses.scan(tables.documents(spark, SF), licenses.registry(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# Captures
+
+@pytest.mark.parametrize("url, key", [
+    ("HTTP://WWW.Example.com:80/A/b/?b=2&utm_source=x&a=1#top", "example.com/A/b?a=1&b=2"),
+    ("https://example.com", "example.com"), ("example.com/?ref=x", "example.com"), (None, None), ("", "")])
+def test_canonical_url(spark, url, key):
+    assert spark.createDataFrame([(url,)], "u string").select(revisits.canonical_url(F.col("u"))).first()[0] == key
+
+
+RECORDS = "record_id bigint, url string, ts bigint, kind string, headers map<string,string>, payload string"
+
+
+def test_revisits_equal_brute_force(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(600):
+        url = "https://hot.example/" if rng.random() < 0.5 else f"http://e{rng.randrange(40)}.example/p/"
+        kind = rng.choice(["response", "revisit", "revisit", "request"])
+        heads = {"ETag": rng.choice(["a", 'W/"a"', "b"]), "Content-Length": "5", "Date": str(i)}
+        if rng.random() < 0.2:
+            heads.pop("ETag")
+        rows.append((i, rng.choice([url, url, None]) if i % 50 == 0 else url,
+                     None if i % 77 == 0 else rng.randrange(1000), kind, heads, f"body {i}"))
+    rows.append((1000, "https://hot.example/", 500, "revisit", None, None))
+    frame = spark.createDataFrame(rows, RECORDS).withColumn("bucket", F.lit("clash")).withColumn("own", F.lit(1))
+    found = {r.record_id: r for r in revisits.resolve(frame, bucket=50).collect()}
+    key = lambda u: u and u.split("://")[1].rstrip("/")
+    responses = [r for r in rows if r[3] == "response" and r[1] is not None and r[2] is not None]
+    asked = [r for r in rows if r[3] == "revisit"]
+    assert found.keys() == {r[0] for r in asked}
+    for record_id, url, ts, _, heads, _ in asked:
+        options = [(r[2], r[0], r) for r in responses if ts is not None and key(r[1]) == key(url) and r[2] < ts]
+        got = found[record_id]
+        if not options:
+            assert got.outcome == "no_response" and got.response_id is None
+            continue
+        _, response_id, response = max(options)
+        assert got.response_id == response_id
+        tags = [(h or {}).get("ETag") for h in (heads, response[4])]
+        bare = [t and t.replace('W/"a"', "a") for t in tags]
+        outcome = "unchecked" if None in bare else "resolved" if bare[0] == bare[1] else "mismatch"
+        assert got.outcome == outcome
+        if outcome == "mismatch":
+            assert got.headers is None and got.payload is None
+        else:
+            assert got.payload == response[5] and got.headers["content-length"] == "5"
+            assert got.headers["date"] == (heads or response[4])["Date"]
+
+
+def test_revisit_edges(spark):
+    assert revisits.resolve(spark.createDataFrame([], RECORDS)).count() == 0
+    twice = [(1, "a.b/x", 5, "revisit", {"ETag": "1", "etag": "2"}, None)] * 2 + [
+        (2, "http://a.b/x", 4, "response", {"etag": "2"}, ""), (2, "http://a.b/x", 4, "response", {"etag": "2"}, "")]
+    found = revisits.resolve(spark.createDataFrame(twice, RECORDS)).collect()
+    assert [(r.response_id, r.outcome, r.payload) for r in found] == [(2, "resolved", "")] * 2
+
+
+# Pipeline
+
+def test_stages(spark, tmp_path):
+    docs = tables.documents(spark, SF).withColumn("score", F.lit("clash")).withColumn("fp", F.lit(1))
+    known = {r.doc_id: r.text for r in docs.collect()}
+    sizes = [len(known)]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        out.write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        sizes.append(docs.count())
+        if i < 4:
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+    assert sizes[1] >= 0.99 * sizes[0]
+    labels = {r.doc_id: r.quality for r in tables.labels(spark, SF).collect()}
+    kept = {r.doc_id for r in spark.read.parquet(f"{tmp_path}/1").collect()}
+    assert all((i in kept) == bool(labels[i]) for i in labels if known.get(i) is not None)
+    single = [r.doc_id for r in spark.read.parquet(f"{tmp_path}/2").collect()]
+    copies = collections.defaultdict(set)
+    for i in kept:
+        copies[known[i]].add(i)
+    assert len(single) == len(set(single))
+    assert all(len(same & set(single)) <= 1 for same in copies.values())
+    alone = set(single)
+    assert sum(not (same & alone) for same in copies.values()) < 0.05 * len(copies)
+    placed = docs.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m"))
+    assert placed.filter("n != m or n > 1024").count() == 0
+
+
+def test_stages_on_no_rows_and_edge_rows(spark, tmp_path):
+    rows = [(1, "The words of the one text are here for you to read.", "en", "a", 1)] * 2 + [
+        (None, "The words of the other text are there.", "en", None, 1), (2, None, "en", "a", 0), (3, "", None, "b", 0)]
+    for name, docs in (("edge", spark.createDataFrame(rows, tables.DOCUMENTS)),
+                       ("none", spark.createDataFrame([], tables.DOCUMENTS))):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{name}{i}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}{i}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}2")
+        assert sorted(r.doc_id or 0 for r in kept.collect()) == ([0, 1] if name == "edge" else [])
