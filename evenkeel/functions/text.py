@@ -37,15 +37,19 @@ def step_sentences(step: Column) -> Column:
     return F.transform(F.regexp_extract_all(dotted, F.lit(P.RX_SENTENCE), F.lit(0)), strip_blank)
 
 
-def sentence_pairs(sentence: Column, verbs: Sequence[str], particles: Sequence[str],
-                   gap: int) -> Column:
-    """`verb particle` pairs of one sentence, in particle order.
+def sentence_words(sentence: Column) -> Column:
+    return F.regexp_extract_all(F.lower(sentence), F.lit(P.RX_WORD), F.lit(0))
+
+
+def word_pairs(words: Column, verbs: Sequence[str], particles: Sequence[str], gap: int) -> Column:
+    """`verb particle` pairs of the words of one sentence, in particle order.
+
+    `words` must be a bound value (a lambda's variable or a column): an
+    expression would be worked out again for each word.
 
     A particle goes with the nearest verb among the `gap` words before it, as
     it has one head at most.
     """
-    words = F.regexp_extract_all(F.lower(sentence), F.lit(P.RX_WORD), F.lit(0))
-
     def pair(word: Column, at: Column) -> Column:
         before = F.slice(words, F.greatest(at - gap + 1, F.lit(1)), F.least(F.lit(gap), at))
         heads = F.filter(before, lambda w: w.isin(list(verbs)))

@@ -13,21 +13,31 @@ from pyspark.sql import functions as F
 from evenkeel.functions import links as L
 from evenkeel.functions import patterns as P
 from evenkeel.functions.order import digest_bucket, seeded_order
+from evenkeel.operators.keys import require_clean_audit
 from evenkeel.operators.ranking import RANK_DIGITS, queue_positions
 from evenkeel.sources.staging import staged
 
 RETRY_BATCH_SIZE = 10_000
+STATES = ("run string, url string, saved boolean, failed_once boolean, failed_twice boolean, "
+          "retried boolean, first_failure timestamp, attempts int")
 
 
 def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
-               limit: int | None = None, seed: int = 0) -> DataFrame:
+               limit: int | None = None, seed: int = 0,
+               audit: DataFrame | None = None) -> DataFrame:
     """Class of each link: `cached`, `known_failed`, `pending` or `backlog`.
 
     `links` has distinct (link, link_hash), `listing` the `file_name` of every
     file in the cache, `failed` the `url` of permanent failures. `limit` is the
     wanted size of the cache: all its files count against it, with or without
-    a link. The first links in seeded order (`crawl_order`) are pending.
+    a link. The first links in seeded order (`crawl_order`) are pending. With
+    an `audit` of the stored keys, a bad key stops the plan.
+
+    With a limit, jobs run when called: the classes are written once, and the
+    budget is cut from counted buckets.
     """
+    if audit is not None:
+        require_clean_audit(audit)
     cached = (listing.select(L.file_stem(F.col("file_name")).alias("link_hash")).distinct()
               .withColumn("_cached", F.lit(True)))
     # By link hash as well: both joins share the links' partitioning.
@@ -95,31 +105,65 @@ def first_two_attempts(log: DataFrame, slot: list[str], order: list[str]) -> Dat
             .filter((F.col("attempt") == 1) | (F.col("_earlier") == "failed")).drop("_earlier"))
 
 
-def crawl_outcome(log: DataFrame) -> DataFrame:
-    """Outcome per URL: `saved`, `failed_permanently`, `retry_pending` or
-    `responded_not_saved`. Works on a batch and on a stream.
+def number_tries(log: DataFrame, slot: list[str], order: list[str]) -> DataFrame:
+    """Add `try` (from 1) and `attempt` (1 or 2) to a log that has neither.
+
+    A failure is tried once more by the next record of its slot; any other
+    record closes its try, and the next one opens another. No record is left
+    out. A window holds the records of one slot.
+    """
+    by_slot = Window.partitionBy(*slot).orderBy(*order)
+    closed = F.sum((F.col("kind") != "failed").cast("int")).over(
+        by_slot.rowsBetween(Window.unboundedPreceding, -1))
+    grouped = log.withColumn("_closed", F.coalesce(closed, F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(*slot, "_closed").orderBy(*order))
+    numbered = grouped.withColumn("attempt", (place - 1) % 2 + 1)
+    opened = F.sum((F.col("attempt") == 1).cast("int")).over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
+    return numbered.withColumn("try", opened).drop("_closed")
+
+
+def outcome_states(log: DataFrame) -> DataFrame:
+    """What a log, or a part of one, tells of each URL: minima and maxima that can be merged.
 
     Conditional aggregates over fixed-width values: combined map-side, and
     a record that is logged twice changes nothing.
     """
     failed = F.col("kind") == "failed"
     first, second = F.col("attempt") == 1, F.col("attempt") == 2
-    state = log.groupBy("run", "url").agg(
+    return log.groupBy("run", "url").agg(
         F.max(F.col("kind") == "saved").alias("saved"),
         F.max(first & failed).alias("failed_once"),
         F.max(second & failed).alias("failed_twice"),
         F.max(second).alias("retried"),
         F.min(F.when(first & failed, F.col("ts"))).alias("first_failure"),
         F.max("attempt").cast("int").alias("attempts"))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """States of parts of a log as the state of the whole."""
+    most = [F.max(c).alias(c) for c in ("saved", "failed_once", "failed_twice", "retried")]
+    return states.groupBy("run", "url").agg(*most, F.min("first_failure").alias("first_failure"),
+                                            F.max("attempts").alias("attempts"))
+
+
+def outcomes_of(states: DataFrame) -> DataFrame:
     outcome = (F.when(F.col("saved"), "saved")
                .when(F.col("failed_twice"), "failed_permanently")
                .when(F.col("failed_once") & ~F.col("retried"), "retry_pending")
                .otherwise("responded_not_saved"))
-    return state.select("run", "url", "attempts", "first_failure", outcome.alias("outcome"))
+    return states.select("run", "url", "attempts", "first_failure", outcome.alias("outcome"))
+
+
+def crawl_outcome(log: DataFrame) -> DataFrame:
+    """Outcome per URL: `saved`, `failed_permanently`, `retry_pending` or `responded_not_saved`."""
+    return outcomes_of(outcome_states(log))
 
 
 def retry_batches(outcomes: DataFrame, size: int = RETRY_BATCH_SIZE, seed: int = 0) -> DataFrame:
-    """`retry_batch` (from 0) of the URLs that wait for their retry, first failed first."""
+    """`retry_batch` (from 0) of the URLs that wait for their retry, first failed first.
+
+    URLs that failed at one instant follow in seeded order. Runs a job when called.
+    """
     waiting = outcomes.filter(F.col("outcome") == "retry_pending")
     placed = queue_positions(waiting, "first_failure", "url", seed)
     return placed.withColumn("retry_batch", F.floor((F.col("position") - 1) / size)).drop("position")

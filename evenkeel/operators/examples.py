@@ -65,6 +65,17 @@ def tokenize_with_model(df: DataFrame, load_tokenizer, eos_token: str) -> DataFr
             .withColumn("response_ids", ids(F.concat("response", F.lit(eos_token)))))
 
 
+def conversation_input(turns: DataFrame, conversation: str, turn: str, role: Column,
+                       content: Column) -> DataFrame:
+    """(conversation, input): the messages of each conversation in order of `turn`, equal turns by text.
+
+    A conversation is one row afterwards, and so must fit a task.
+    """
+    message = F.struct(F.col(turn).alias("turn"), role.alias("role"), content.alias("content"))
+    listed = turns.groupBy(conversation).agg(F.array_sort(F.collect_list(message)).alias("input"))
+    return listed.withColumn("input", F.transform("input", lambda m: C.message(m["role"], m["content"])))
+
+
 def label_mask(df: DataFrame) -> DataFrame:
     """Add `input_ids` and `labels`; the prompt's labels are ignored by the loss."""
     prompt, response = F.col("prompt_ids"), F.col("response_ids")
@@ -136,7 +147,9 @@ def token_stats(texts: DataFrame, text: Column, tokenizer: C.HashTokenizer = C.H
     lengths. `first` limits the statistics to the first rows by `key`.
     """
     if first is not None:
-        texts = texts.orderBy(key).limit(first)
+        # Keys alone are ordered; `first` of them at most are broadcast. A key names one row.
+        chosen = texts.select(key).orderBy(key).limit(first)
+        texts = texts.join(F.broadcast(chosen), key, "left_semi")
     lengths = (texts.select(tokenizer.count(text).cast("long").alias("tokens"))
                .filter(F.col("tokens").isNotNull())
                .groupBy("tokens").agg(F.count(F.lit(1)).alias("rows")))

@@ -59,23 +59,30 @@ def key_collisions(mapping: DataFrame) -> DataFrame:
     return repeated("old_to_many", "old_name").unionByName(repeated("many_to_new", "new_name"))
 
 
-def key_migration_plan(listing: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Class of each file: `already_migrated`, `unmatched`, `conflict`, `rename`.
+def key_migration_plan(listing: DataFrame, mapping: DataFrame,
+                       audit: DataFrame | None = None) -> DataFrame:
+    """Class of each file: `already_migrated`, `unmatched`, `ambiguous`, `conflict`, `rename`.
 
     A file that already has a new name stays; a target that exists is never
-    overwritten.
+    overwritten; a file whose old name has several new ones is `ambiguous` and
+    gets none. With an `audit` of the stored keys, a bad key stops the plan.
     """
+    if audit is not None:
+        require_clean_audit(audit)
     files = listing.select("file_name").distinct()
     targets = mapping.select(F.col("new_name").alias("file_name")).distinct().withColumn(
         "_is_new", F.lit(True))
     # The target test is done on the map, where no name is null, so that files
     # that match nothing do not meet in one join partition.
     present = files.select(F.col("file_name").alias("new_name"), F.lit(True).alias("_present"))
-    sources = (mapping.select("old_name", "new_name").distinct().join(present, "new_name", "left")
+    single = mapping.select("old_name", "new_name").distinct().groupBy("old_name").agg(
+        F.min("new_name").alias("new_name"), (F.count(F.lit(1)) > 1).alias("_several"))
+    sources = (single.join(present, "new_name", "left")
                .withColumnRenamed("old_name", "file_name"))
     known = files.join(targets, "file_name", "left").join(sources, "file_name", "left")
     action = (F.when(F.col("_is_new"), "already_migrated")
               .when(F.col("new_name").isNull(), "unmatched")
+              .when(F.col("_several"), "ambiguous")
               .when(F.col("_present"), "conflict")
               .otherwise("rename"))
     target = F.when(action.isin("conflict", "rename"), F.col("new_name"))
@@ -88,7 +95,7 @@ def key_migration_report(plan: DataFrame) -> DataFrame:
         return F.count_if(F.col("action") == action).alias(action)
 
     return plan.agg(F.count(F.lit(1)).alias("files"), files("rename"), files("already_migrated"),
-                    files("conflict"), files("unmatched"))
+                    files("conflict"), files("unmatched"), files("ambiguous"))
 
 
 def key_migration_examples(plan: DataFrame) -> DataFrame:
@@ -107,8 +114,12 @@ def key_migration_examples(plan: DataFrame) -> DataFrame:
 def migrate_keys(pages: DataFrame, plan: DataFrame) -> DataFrame:
     """Page table with new keys: the applied plan. Only `rename` rows change.
 
-    Two files that would get one target stop the migration.
+    Two files that would get one target stop the migration, as does a file
+    with several targets. Runs a job when called.
     """
+    several = plan.filter(F.col("action") == "ambiguous").select("file_name").first()
+    if several is not None:
+        raise KeyAuditError(f"an old name has several new ones: {several['file_name']}")
     renames = staged(plan.filter(F.col("action") == "rename"), "renames")
     clashes = renames.groupBy("new_name").count().filter(F.col("count") > 1)
     if not clashes.isEmpty():

@@ -13,11 +13,13 @@ from evenkeel.functions import patterns as P
 from evenkeel.sources.staging import staged
 
 TICK_SECONDS = 60
+COUNTERS = ("requests", "responses", "bytes", "saved", "first_failures", "retries", "failed_permanently")
+TICKS = "run string, tick bigint, status int, " + ", ".join(f"{c} bigint" for c in COUNTERS)
 BYTES_PER_MB = 1e6
 
 
 def tick_counts(log: DataFrame, seconds: int = TICK_SECONDS) -> DataFrame:
-    """Counters per (run, tick, status). Works on a batch and on a stream."""
+    """Counters per (run, tick, status)."""
     failed = F.col("kind") == "failed"
     retry = F.col("attempt") == 2
     counts = (log.groupBy("run", F.window("ts", f"{seconds} seconds").alias("w"), "status")
@@ -33,6 +35,11 @@ def tick_counts(log: DataFrame, seconds: int = TICK_SECONDS) -> DataFrame:
                          "failed_permanently")
 
 
+def add_ticks(parts: DataFrame) -> DataFrame:
+    """Counters of parts of a log as those of the whole."""
+    return parts.groupBy("run", "tick", "status").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+
+
 def counter_points(ticks: DataFrame) -> DataFrame:
     """(run, tick, counter, value): what each counter grew by in a tick."""
     def point(counter: Column, value: str) -> Column:

@@ -42,8 +42,8 @@ def phrasal_pairs(df: DataFrame, directions: str = "directions", verbs: Sequence
     `gap` words. A recipe is one row before and after: nothing is shuffled.
     """
     def in_step(step):
-        return F.flatten(F.transform(X.step_sentences(step),
-                                     lambda s: X.sentence_pairs(s, verbs, particles, gap)))
+        words = F.transform(X.step_sentences(step), X.sentence_words)
+        return F.flatten(F.transform(words, lambda w: X.word_pairs(w, verbs, particles, gap)))
 
     steps = F.filter(X.json_steps(F.col(directions)), lambda s: s.isNotNull())
     return df.withColumn("pairs", F.flatten(F.transform(steps, in_step)))

@@ -41,25 +41,26 @@ def seeded_positions(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
 
 
 def queue_positions(df: DataFrame, arrival: str, key: str, seed: int = 0) -> DataFrame:
-    """Add `position` (from 1) in a queue: by minute of arrival, then seeded.
+    """Add `position` (from 1) in a queue: by arrival, then seeded.
 
-    The seeded order inside a minute spreads a burst over its buckets. The only
-    sum over the whole queue runs over its minutes.
+    What arrives at one instant is spread over digest buckets. Sums run over
+    the instants of a minute, and over the minutes of the whole queue, which is
+    the only step in one task: a row per minute. Runs a job when called.
     """
     minute = F.date_trunc("minute", F.col(arrival))
     # Staged, so that what leads to the queue is worked out once.
     marked = staged(bucketed(df, key, seed, digits=3).withColumn("_minute", minute), "queue")
-    counts = marked.groupBy("_minute", BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+    counts = marked.groupBy("_minute", arrival, BUCKET).agg(F.count(F.lit(1)).alias("rows"))
     minutes = counts.groupBy("_minute").agg(F.sum("rows").alias("rows"))
     before_minute = F.sum("rows").over(Window.orderBy("_minute").rowsBetween(*BEFORE))
-    in_minute = Window.partitionBy("_minute").orderBy(BUCKET)
+    in_minute = Window.partitionBy("_minute").orderBy(arrival, BUCKET)
     offsets = (counts
                .withColumn("_in_minute", F.coalesce(F.sum("rows").over(in_minute.rowsBetween(*BEFORE)),
                                                     F.lit(0)))
                .join(minutes.select("_minute", F.coalesce(before_minute, F.lit(0)).alias("_earlier")),
                      "_minute")
-               .select("_minute", BUCKET, (F.col("_in_minute") + F.col("_earlier")).alias("_before")))
-    in_bucket = Window.partitionBy("_minute", BUCKET).orderBy(ORDER, key)
-    return (marked.join(offsets, ["_minute", BUCKET])
+               .select("_minute", arrival, BUCKET, (F.col("_in_minute") + F.col("_earlier")).alias("_before")))
+    in_bucket = Window.partitionBy("_minute", arrival, BUCKET).orderBy(ORDER, key)
+    return (marked.join(offsets, ["_minute", arrival, BUCKET])
             .withColumn("position", F.col("_before") + F.row_number().over(in_bucket))
             .drop("_before", "_minute", ORDER, BUCKET))

@@ -38,7 +38,6 @@ DIGITS_BELOW = ((16, 0), (16**3, 1), (16**5, 2), (16**7, 3))
 MAX_DIGITS = 4
 # Groups that get buckets of their own choice, the largest ones first.
 SIZED_GROUPS = 200_000
-SIZED_NAME_BYTES = 128
 # Copies of one row are repeated in portions of this size.
 REPEAT_PORTION = 65_536
 
@@ -76,9 +75,8 @@ def group_histogram(df: DataFrame, group: str, key: str, seed: int = 0,
     largest = counts
     if sizes["groups"] > SIZED_GROUPS:
         largest = counts.orderBy(F.desc("n"), group).limit(SIZED_GROUPS)
-    # Long names go with the other groups, which bounds the broadcast in bytes as well.
-    sizing = largest.filter(F.octet_length(F.col(group).cast("string")) <= SIZED_NAME_BYTES).select(
-        group, _digits(F.col("n")).alias("_digits"))
+    # By a digest of the name: a long name counts like a short one, and the broadcast is bounded.
+    sizing = largest.groupBy(F.xxhash64(group).alias("_name")).agg(F.max(_digits(F.col("n"))).alias("_digits"))
     other = next((d for below, d in DIGITS_BELOW if sizes["mean"] < below), MAX_DIGITS)
     marked = _bucketed(df.select(group, key), group, key, seed, sizing, other)
     small = sizes["bytes"] <= broadcast_bytes
@@ -97,11 +95,11 @@ def _digits(n: Column) -> Column:
 
 def _bucketed(df: DataFrame, group: str, key: str, seed: int, sizing: DataFrame,
               other_digits: int) -> DataFrame:
-    # SIZED_GROUPS rows with a name of SIZED_NAME_BYTES at most: broadcast.
+    # SIZED_GROUPS rows of two numbers at most: broadcast.
     digits = F.coalesce("_digits", F.lit(other_digits))
     return (df.withColumn(ORDER, seeded_order(F.col(key), seed))
-            .join(F.broadcast(sizing), group, "left")
-            .withColumn(BUCKET, F.substring(F.col(ORDER), F.lit(1), digits)).drop("_digits"))
+            .withColumn("_name", F.xxhash64(group)).join(F.broadcast(sizing), "_name", "left")
+            .withColumn(BUCKET, F.substring(F.col(ORDER), F.lit(1), digits)).drop("_digits", "_name"))
 
 
 def draw(df: DataFrame, histogram: Histogram, quota: Column,
@@ -179,7 +177,7 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
         F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / REPEAT_PORTION))))
     left = F.least(F.lit(REPEAT_PORTION).cast("long"),
                    F.col("_times") - F.col("_portion") * REPEAT_PORTION)
-    return (portions.repartition("_portion")
+    return (portions.repartition(F.xxhash64(*df.columns), "_portion")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
             .drop("_times", "_portion", "_copy"))
 

@@ -27,7 +27,7 @@ ul AS (SELECT DISTINCT link, link_hash FROM pl WHERE link IS NOT NULL)"""
 KEYED = LINKS + """,
 keyed AS (SELECT link, website, link_hash,
                  d.source || chr(10) || d.lang || chr(10) || d.text AS response
-          FROM pl JOIN documents d ON d.doc_id = pl.page_id)"""
+          FROM pl JOIN documents d ON pl.page_id = d.doc_id % (SELECT count(*) FROM pages))"""
 
 ROW = """md5(to_json({'link': link, 'link_hash': link_hash, 'response': response,
                       'website': website})::VARCHAR)"""
@@ -77,7 +77,7 @@ plan AS (SELECT file_name, CASE WHEN action IN ('conflict', 'rename') THEN new_n
          FROM actions)"""
 
 ATTEMPTS = """
-log AS (SELECT event_id, ts, strftime(ts, '%Y-%m-%d') AS run,
+log AS (SELECT event_id, ts, strftime(ts, '%Y-%m-%d') AS day,
                'http://www.u' || user_id || '.com/' AS url, value,
                CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'saved'
                                ELSE 'responded' END AS kind,
@@ -85,12 +85,16 @@ log AS (SELECT event_id, ts, strftime(ts, '%Y-%m-%d') AS run,
                     WHEN json_extract_string(props, '$.k')::INTEGER % 4 = 1 THEN 404
                     WHEN json_extract_string(props, '$.k')::INTEGER % 4 = 2 THEN 429
                     WHEN json_extract_string(props, '$.k')::INTEGER % 4 = 3 THEN 503 END AS status
-        FROM events WHERE event_type IN ('error', 'purchase', 'signup')),
-numbered AS (SELECT *, row_number() OVER w AS attempt, lag(kind) OVER w AS earlier
-             FROM log WINDOW w AS (PARTITION BY run, url ORDER BY ts, event_id)),
-a AS (SELECT *, (epoch_us(ts) // 60000000) * 60 AS tick,
-             CASE WHEN status IS NOT NULL THEN round(value * 100)::BIGINT END AS bytes
-      FROM numbered WHERE attempt = 1 OR (attempt = 2 AND earlier = 'failed'))"""
+        FROM events),
+closed AS (SELECT *, count(*) FILTER (kind != 'failed') OVER (
+               PARTITION BY day, url ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS c
+           FROM log),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY day, url, c ORDER BY ts, event_id) - 1) % 2 + 1 AS attempt
+             FROM closed),
+a AS (SELECT *, day || '/' || count(*) FILTER (attempt = 1) OVER (
+                    PARTITION BY day, url ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run,
+             (epoch_us(ts) // 60000000) * 60 AS tick,
+             CASE WHEN status IS NOT NULL THEN round(value * 100)::BIGINT END AS bytes FROM numbered)"""
 
 OUTCOMES = ATTEMPTS + """,
 outcomes AS (SELECT run, url, max(attempt)::INTEGER AS attempts,
@@ -147,13 +151,13 @@ def token_ids(column: str) -> str:
 
 
 TOKENS = f"""
-rendered AS (SELECT page_id, text AS response,
+rendered AS (SELECT doc_id, text AS response,
                     '<|im_start|>user' || chr(10) || {CLEAN} || '<|im_end|>' || chr(10)
                     || '<|im_start|>assistant' || chr(10) AS prompt
-             FROM pages JOIN documents ON doc_id = page_id),
-tokens AS (SELECT page_id, {token_ids("prompt")} AS pi,
+             FROM pages JOIN documents ON page_id = doc_id % (SELECT count(*) FROM pages)),
+tokens AS (SELECT doc_id, {token_ids("prompt")} AS pi,
                   list_concat({token_ids("response")}, [1]) AS ri FROM rendered),
-masked AS (SELECT page_id, list_concat(pi, ri) AS ids,
+masked AS (SELECT doc_id, list_concat(pi, ri) AS ids,
                   list_concat([-100 for t in pi], ri) AS labels FROM tokens)"""
 
 STATS = f"""
@@ -191,6 +195,15 @@ SQL: dict[str, str] = {
         SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5('0:' || doc_id))
             <= (SELECT n FROM least_n)""",
+    "balanced_copies": """WITH least_n AS (SELECT min(n) AS n FROM (
+            SELECT count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang))
+        SELECT lang, source FROM documents WHERE lang IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5('0:' || source))
+            <= (SELECT n FROM least_n)""",
+    "rejected_rows": f"""WITH {LINKS},
+        cut AS (SELECT page_id, CASE WHEN page_id % 11 = 0 THEN split_part(link, '/', 1) ELSE link END AS link FROM pl)
+        SELECT page_id, link, NULL::VARCHAR AS website FROM cut
+        WHERE nullif(regexp_extract(link, {text(RX_WEBSITE)}), '') IS NULL""",
     "dedup_rare_first": """WITH counts AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1)
         SELECT doc_id, lang, text AS response FROM documents JOIN counts USING (lang)
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY n, lang, doc_id) = 1""",
@@ -226,12 +239,20 @@ SQL: dict[str, str] = {
         (SELECT count(*) FROM listing) AS already_cached FROM plan""",
     "crawl_outcome": f"WITH {OUTCOMES} {OUTCOME_COLUMNS}",
     "retry_batches": f"""WITH {OUTCOMES} SELECT run, url,
-        ((row_number() OVER (ORDER BY date_trunc('minute', failed_at), md5('0:' || url), url) - 1)
+        ((row_number() OVER (ORDER BY failed_at, md5('0:' || url), url) - 1)
          // 100)::BIGINT AS retry_batch FROM outcomes WHERE outcome = 'retry_pending'""",
     "permanent_failures": f"WITH {OUTCOMES} SELECT url FROM outcomes WHERE outcome = 'failed_permanently'",
     "crawl_rates": f"WITH {POINTS} {stepped('points')}",
     "crawl_rates_filled": f"WITH {FILLED} {stepped('filled')}",
-    "counter_deltas": f"WITH {FILLED} {stepped('filled')}",
+    "counter_deltas": f"""WITH {FILLED},
+        totals AS (SELECT run, tick, tag, sum(CASE WHEN tag = 'rate/mb_per_min' THEN round(value * 1000000)
+                                                   ELSE value END) OVER w AS total FROM filled
+                   WINDOW w AS (PARTITION BY run, tag ORDER BY tick ROWS UNBOUNDED PRECEDING)),
+        deltas AS (SELECT run, tick, tag, total - coalesce(lag(total) OVER w, 0) AS grown FROM totals
+                   WINDOW w AS (PARTITION BY run, tag ORDER BY tick)),
+        found AS (SELECT run, tick, tag, CASE WHEN tag = 'rate/mb_per_min' THEN grown / 1000000.0::DOUBLE
+                                              ELSE grown END AS value FROM deltas)
+        {stepped('found')}""",
     "crawl_progress": f"""WITH {ATTEMPTS},
         sizes AS (SELECT run, count(DISTINCT url) AS pending, count(DISTINCT url) // 10 AS backlog
                   FROM a GROUP BY 1),
@@ -271,7 +292,8 @@ SQL: dict[str, str] = {
         count(*) FILTER (action = 'rename') AS rename,
         count(*) FILTER (action = 'already_migrated') AS already_migrated,
         count(*) FILTER (action = 'conflict') AS conflict,
-        count(*) FILTER (action = 'unmatched') AS unmatched FROM plan""",
+        count(*) FILTER (action = 'unmatched') AS unmatched,
+        count(*) FILTER (action = 'ambiguous') AS ambiguous FROM plan""",
     "key_migration_examples": f"""WITH {MIGRATION}
         (SELECT * FROM plan WHERE action = 'conflict' ORDER BY file_name LIMIT 10)
         UNION ALL (SELECT * FROM plan WHERE action = 'rename' ORDER BY file_name LIMIT 3)""",
@@ -297,28 +319,40 @@ SQL: dict[str, str] = {
         FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY 1""",
     "chat_render": """SELECT conv_id, turn, '<|im_start|>' || role || chr(10) || text || '<|im_end|>'
         || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt FROM conversations""",
+    "chat_conversations": """SELECT conv_id, count(*) AS messages,
+        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                   ORDER BY turn, role, text) || '<|im_start|>assistant' || chr(10) AS prompt
+        FROM conversations GROUP BY 1""",
     "chat_json_roundtrip": """SELECT conv_id, turn, 1::BIGINT AS messages,
         json_extract_string(j, '$.role') AS role, json_extract_string(j, '$.content') AS content
         FROM (SELECT conv_id, turn, to_json({'role': role, 'content': text}) AS j FROM conversations)""",
-    "tokenize_examples": f"""WITH {TOKENS} SELECT page_id, array_to_string(pi, ',') AS prompt_ids,
+    "tokenize_examples": f"""WITH {TOKENS} SELECT doc_id, array_to_string(pi, ',') AS prompt_ids,
         array_to_string(ri, ',') AS response_ids FROM tokens""",
-    "label_mask": f"""WITH {TOKENS} SELECT page_id, array_to_string(ids, ',') AS input_ids,
+    "label_mask": f"""WITH {TOKENS} SELECT doc_id, array_to_string(ids, ',') AS input_ids,
         array_to_string(labels, ',') AS labels FROM masked""",
     "training_batches": f"""WITH {TOKENS},
-        placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || page_id), page_id) AS position
+        placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS position
                    FROM masked),
         batched AS (SELECT *, (position - 1) // 8 AS batch FROM placed),
         wide AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM batched)
-        SELECT page_id, position, batch::BIGINT AS batch, width,
+        SELECT doc_id, position, batch::BIGINT AS batch, width,
                md5(array_to_string(list_concat(ids, [0 for i in range(width - len(ids))]), ',')) AS input_ids,
                md5(array_to_string(list_concat(labels, [-100 for i in range(width - len(ids))]), ','))
                    AS labels, len(ids) AS attended FROM wide""",
     "token_stats": f"WITH source_pages AS (SELECT html FROM pages), {STATS}",
-    "token_stats_first_pages": f"""WITH source_pages AS (SELECT html FROM pages ORDER BY page_id LIMIT 500),
+    "token_stats_first_pages": f"""WITH source_pages AS (SELECT html FROM pages ORDER BY page_id LIMIT 100),
         {STATS}""",
-    "crawl_rates_stream": f"""WITH {POINTS},
-        closed AS (SELECT * FROM points
-                   WHERE tick + 60 <= (SELECT epoch_ms(max(ts)) // 1000 FROM a) - 300)
-        {stepped('closed')}""",
+    "crawl_rates_stream": f"WITH {POINTS} {stepped('points')}",
     "crawl_outcome_stream": f"WITH {OUTCOMES} {OUTCOME_COLUMNS}",
+    "csv_recipes": """SELECT source AS title, doc_id::VARCHAR AS link, md5('a "b", c' || chr(10) || text) AS directions,
+        NULL::VARCHAR AS bad FROM documents
+        UNION ALL SELECT 'short', NULL, NULL, 'short,' || doc_id FROM documents""",
+    "page_files": f"WITH {LINKS} SELECT link_hash, md5(html) AS html FROM pl WHERE page_id % 5 != 0",
+    "page_table_roundtrip": f"""WITH {LINKS} SELECT link_hash, md5({CLEAN}) AS html_data FROM pl
+        WHERE page_id % 5 != 0""",
+    "failed_log_roundtrip": f"""WITH {LINKS}, {OUTCOMES.strip()}
+        SELECT url FROM outcomes WHERE outcome = 'failed_permanently'
+        UNION SELECT 'http://' || link FROM pl WHERE page_id % 7 = 0""",
+    "points_roundtrip": f"WITH {POINTS} {stepped('points')}",
 }
+SQL |= {"prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"]}

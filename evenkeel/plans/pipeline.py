@@ -53,15 +53,17 @@ def prepare_dataset(recipes: DataFrame, k: int = balance.EVAL_WEBSITES, seed: in
 
 
 def merge_pages(dataset: DataFrame, page_table: DataFrame, seed: int = 0,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                broadcast_bytes: int = BROADCAST_BYTES, raw: bool = False) -> DataFrame:
     """Training table: scraped rows, drawn equally per website, with their page.
 
     Everything up to the last join works on keys and targets; pages are read
-    once, for the rows that are left.
+    once, for the rows that are left. `raw` pages are not cleaned yet. Runs jobs
+    when called.
     """
     scraped = staged(pages.scraped_only(dataset, page_table), "scraped")
-    drawn = sampling.sample_by_website(scraped, seed=seed, broadcast_bytes=broadcast_bytes)
-    return pages.attach_pages(drawn, page_table)
+    # Written, as its keys are read before its rows.
+    drawn = staged(sampling.sample_by_website(scraped, seed=seed, broadcast_bytes=broadcast_bytes), "drawn")
+    return pages.attach_pages(drawn, page_table, broadcast_bytes, raw)
 
 
 def tokenized_examples(training: DataFrame, template: C.ChatTemplate = C.CHATML,

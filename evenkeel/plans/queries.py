@@ -23,6 +23,7 @@ from evenkeel.operators import (
 from evenkeel.operators import links as link_ops
 from evenkeel.plans import pipeline
 from evenkeel.plans import standins as S
+from evenkeel.sources import tables
 from evenkeel.sources.staging import new_path
 from evenkeel.sources.tables import ATTEMPTS
 from evenkeel.streaming import crawl as live
@@ -79,7 +80,11 @@ def link_keys(spark, d):
 
 @query
 def unique_links(spark, d):
-    return link_ops.unique_links(S.page_links(spark, d))
+    # Each link twice: as it stands, and from the address without `www.`.
+    links = S.page_links(spark, d).select("link", "link_hash")
+    bare = links.select(F.regexp_replace("link", r"^www\.", "").alias("link"))
+    again = link_ops.compute_link_hashes(link_ops.format_links(bare)).select("link", "link_hash")
+    return link_ops.unique_links(links.unionByName(again))
 
 
 # Balance
@@ -105,6 +110,21 @@ def balanced_targets(spark, d):
     return sampling.sample_by_website(df, group="lang", key="doc_id")
 
 
+@query
+def balanced_copies(spark, d):
+    # Rows of a language and a source have many copies; the quota ends among them.
+    df = S.table(spark, d, "documents").select("lang", "source")
+    return sampling.sample_by_website(df, group="lang", key="source")
+
+
+@query
+def rejected_rows(spark, d):
+    # Every eleventh page loses the path, and with it the website.
+    links = S.page_links(spark, d)
+    cut = F.when(F.col("page_id") % 11 == 0, F.substring_index("link", "/", 1)).otherwise(F.col("link"))
+    return balance.rejected_rows(link_ops.extract_websites(links.select("page_id", cut.alias("link"))))
+
+
 @query
 def dedup_rare_first(spark, d):
     df = S.table(spark, d, "documents").select("doc_id", "lang", F.col("text").alias("response"))
@@ -137,13 +157,17 @@ def scraped_only(spark, d):
     return pages.scraped_only(dataset, S.stored_pages(spark, d))
 
 
-@query
-def training_table(spark, d):
+def _training(spark, d):
     dataset = pipeline.keyed_recipes(S.recipes(spark, d))
     held_out = balance.flag_eval(dataset).withColumn("train", ~F.col("eval")).drop("eval")
-    table = pipeline.merge_pages(held_out, pages.page_table(S.stored_pages(spark, d)))
-    return table.select("link", "website", "link_hash", "response", "train",
-                        F.col("input.role").alias("role"), F.col("input.content").alias("content"))
+    return pipeline.merge_pages(held_out, S.stored_pages(spark, d), raw=True)
+
+
+@query
+def training_table(spark, d):
+    return _training(spark, d).select(
+        "link", "website", "link_hash", "response", "train",
+        F.col("input.role").alias("role"), F.col("input.content").alias("content"))
 
 
 # Crawl
@@ -272,6 +296,13 @@ def chat_render(spark, d):
     return examples.chat_render(turns).select("conv_id", "turn", "prompt")
 
 
+@query
+def chat_conversations(spark, d):
+    turns = examples.conversation_input(S.table(spark, d, "conversations"), "conv_id", "turn",
+                                        F.col("role"), F.col("text"))
+    return examples.chat_render(turns).select("conv_id", F.size("input").cast("bigint").alias("messages"), "prompt")
+
+
 @query
 def chat_json_roundtrip(spark, d):
     turns = S.table(spark, d, "conversations").select(
@@ -284,15 +315,13 @@ def chat_json_roundtrip(spark, d):
 
 
 def _rendered(spark, d):
-    """A prompt per page, with the text of its document as the answer."""
-    docs = S.texts(spark, d, "documents", "doc_id").select(F.col("doc_id").alias("page_id"),
-                                                 F.col("text").alias("response"))
-    cleaned = pages.page_table(S.texts(spark, d, "pages", "page_id")
-                               .withColumnRenamed("page_id", "link_hash"))
+    """A prompt per document, made of its page, with the text as the answer."""
+    docs = S.texts(spark, d, "documents", "doc_id").select(
+        "doc_id", S.page_of_document(spark, d).alias("link_hash"), F.col("text").alias("response"))
+    cleaned = pages.page_table(S.table(spark, d, "pages").withColumnRenamed("page_id", "link_hash"))
     prompts = examples.chat_render(cleaned.select(
-        F.col("link_hash").alias("page_id"),
-        F.array(C.message("user", F.col("html_data"))).alias("input"))).drop("input")
-    return prompts.join(docs, "page_id")
+        "link_hash", F.array(C.message("user", F.col("html_data"))).alias("input"))).drop("input")
+    return docs.join(prompts, "link_hash").drop("link_hash")
 
 
 def _tokens(spark, d):
@@ -302,20 +331,20 @@ def _tokens(spark, d):
 @query
 def tokenize_examples(spark, d):
     return _tokens(spark, d).select(
-        "page_id", joined("prompt_ids").alias("prompt_ids"), joined("response_ids").alias("response_ids"))
+        "doc_id", joined("prompt_ids").alias("prompt_ids"), joined("response_ids").alias("response_ids"))
 
 
 @query
 def label_mask(spark, d):
     return examples.label_mask(_tokens(spark, d)).select(
-        "page_id", joined("input_ids").alias("input_ids"), joined("labels").alias("labels"))
+        "doc_id", joined("input_ids").alias("input_ids"), joined("labels").alias("labels"))
 
 
 @query
 def training_batches(spark, d):
-    batches = examples.training_batches(examples.join_examples(_tokens(spark, d)), "page_id")
+    batches = examples.training_batches(examples.join_examples(_tokens(spark, d)), "doc_id")
     return batches.select(
-        "page_id", "position", "batch", F.size("input_ids").cast("bigint").alias("width"),
+        "doc_id", "position", "batch", F.size("input_ids").cast("bigint").alias("width"),
         F.md5(joined("input_ids")).alias("input_ids"), F.md5(joined("labels")).alias("labels"),
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("attended"))
 
@@ -328,7 +357,7 @@ def token_stats(spark, d):
 @query
 def token_stats_first_pages(spark, d):
     return examples.token_stats(S.table(spark, d, "pages"), F.col("html"),
-                                first=examples.SAMPLE_PAGES, key="page_id")
+                                first=100, key="page_id")
 
 
 # Streams: the attempt log is written as files and read as a stream.
@@ -343,16 +372,82 @@ def _stream(spark, d):
 @query
 def crawl_rates_stream(spark, d):
     attempts, path = _stream(spark, d)
-    ticks = live.tick_counts_stream(attempts)
-    live.write_ticks(ticks, f"{path}-ticks", f"{path}-state", available_now=True).awaitTermination()
-    return metrics.rate_points(metrics.counter_points(
-        spark.read.schema(ticks.schema).parquet(f"{path}-ticks")))
+    live.write_ticks(attempts, f"{path}-ticks", f"{path}-state", available_now=True).awaitTermination()
+    return metrics.rate_points(metrics.counter_points(live.read_ticks(spark, f"{path}-ticks")))
 
 
 @query
 def crawl_outcome_stream(spark, d):
     attempts, path = _stream(spark, d)
-    outcomes = live.crawl_outcome_stream(attempts)
-    live.write_outcomes(outcomes, f"{path}-out", f"{path}-state", available_now=True).awaitTermination()
+    live.write_outcomes(attempts, f"{path}-out", f"{path}-state", available_now=True).awaitTermination()
     latest = live.latest_outcomes(spark, f"{path}-out")
     return latest.withColumn("first_failure", F.unix_seconds("first_failure"))
+
+
+# Sources and sinks: the given tables are written to the shared folder and read again.
+
+@query
+def csv_recipes(spark, d):
+    docs = S.table(spark, d, "documents").select(
+        F.col("source").alias("title"), F.col("lang").alias("ingredients"), F.col("text").alias("directions"),
+        F.col("doc_id").cast("string").alias("link"))
+    path = new_path(spark, "recipes")
+    # A quoted field has line breaks and quotes; lines with too few fields are files of their own.
+    quoted = docs.select("title", "ingredients", F.concat(F.lit('a "b", c\n'), "directions").alias("directions"), "link")
+    quoted.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    docs.select(F.concat(F.lit("short,"), "link").alias("value")).write.text(f"{path}-short")
+    rows = tables.read_recipes(spark, [path])
+    bad = tables.read_recipes(spark, [f"{path}-short"], multiline=False, header=False)
+    return rows.unionByName(bad).select("title", "link", F.md5("directions").alias("directions"),
+                                        F.col("_corrupt_record").alias("bad"))
+
+
+@query
+def page_files(spark, d):
+    path = new_path(spark, "page-text")
+    stored = S.stored_pages(spark, d)
+    stored.select(F.col("html").alias("value"), "link_hash").write.partitionBy("link_hash").text(path)
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.regexp_extract("_metadata.file_path", "link_hash=([^/]+)/", 1).alias("link_hash"),
+                        F.md5(F.regexp_replace("value", r"\n$", "")).alias("html"))
+
+
+@query
+def page_table_roundtrip(spark, d):
+    path = new_path(spark, "page-table")
+    tables.write_page_table(pages.page_table(S.stored_pages(spark, d)), path)
+    return tables.read_page_table(spark, path).select("link_hash", F.md5("html_data").alias("html_data"))
+
+
+@query
+def failed_log_roundtrip(spark, d):
+    path = new_path(spark, "failed-log")
+    failures = crawl.permanent_failures(crawl.crawl_outcome(S.attempt_log(spark, d)))
+    tables.append_failed_log(failures, path)
+    tables.append_failed_log(S.failed_urls(spark, d).unionByName(
+        spark.range(1).select(F.lit("  ").alias("url"))), path)
+    return tables.read_failed_log(spark, path)
+
+
+@query
+def prepared_roundtrip(spark, d):
+    path = new_path(spark, "prepared")
+    tables.write_prepared(pipeline.prepare_dataset(S.recipes(spark, d)).dataset, path)
+    return tables.read_prepared(spark, path).select("link", "website", "link_hash", "response", "train")
+
+
+@query
+def training_roundtrip(spark, d):
+    path = new_path(spark, "training")
+    tables.write_training(_training(spark, d), path)
+    return tables.read_training(spark, path).select(
+        "link", "website", "link_hash", "response", "train",
+        F.col("input.role").alias("role"), F.col("input.content").alias("content"))
+
+
+@query
+def points_roundtrip(spark, d):
+    path = new_path(spark, "points")
+    tables.write_points(metrics.crawl_rates(S.attempt_log(spark, d)), path)
+    return spark.read.schema("tick bigint, step bigint, tag string, value double, run string").parquet(path).select(
+        "run", "tick", "step", "tag", "value")

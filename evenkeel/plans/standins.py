@@ -15,7 +15,8 @@ from evenkeel.operators import links as link_ops
 from evenkeel.sources.tables import spread
 
 # Fixed values of the stand-ins.
-KINDS = {"error": "failed", "purchase": "saved", "signup": "responded"}
+KINDS = {"error": "failed", "purchase": "saved"}
+OTHER_KIND = "responded"
 SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -42,13 +43,18 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_ops.compute_link_hashes(link_ops.extract_websites(link_ops.format_links(pages)))
 
 
+def page_of_document(spark: SparkSession, sf_dir: str) -> Column:
+    """The page that stands for a document: by number, beginning anew after the last page."""
+    return F.col("doc_id") % F.lit(table(spark, sf_dir, "pages").count())
+
+
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A recipe per page; its parts come from the document with the same number."""
+    """A recipe per document; several documents share the link of a page."""
     pages = table(spark, sf_dir, "pages").select("page_id", L.strip_scheme(F.col("url")).alias("link"))
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("page_id"), F.col("source").alias("title"),
+        page_of_document(spark, sf_dir).alias("page_id"), F.col("source").alias("title"),
         F.col("lang").alias("ingredients"), F.col("text").alias("directions"))
-    return pages.join(docs, "page_id")
+    return docs.join(pages, "page_id")
 
 
 def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,21 +95,23 @@ def _names(pages: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts of daily runs; a user stands for a URL."""
+    """Every event as an attempt; a user stands for a URL, a day and a try for a run."""
     number = F.get_json_object("props", "$.k").cast("int")
-    kind = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("event_type")]
+    known = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("event_type")]
+    kind = F.coalesce(known, F.lit(OTHER_KIND))
     error_status = (F.when(number % 4 == 1, 404).when(number % 4 == 2, 429)
                     .when(number % 4 == 3, 503))
     status = F.when(F.col("event_type") == "error", error_status).otherwise(200)
-    run = F.date_format("ts", "yyyy-MM-dd")
+    day = F.date_format("ts", "yyyy-MM-dd")
     url = F.concat(F.lit("http://www.u"), F.col("user_id").cast("string"), F.lit(".com/"))
-    log = (table(spark, sf_dir, "events").filter(F.col("event_type").isin(*KINDS))
-           .select("event_id", F.col("ts").cast("timestamp").alias("ts"), run.alias("run"),
+    log = (table(spark, sf_dir, "events")
+           .select("event_id", F.col("ts").cast("timestamp").alias("ts"), day.alias("day"),
                    url.alias("url"), kind.alias("kind"), status.alias("status"),
                    F.when(status.isNotNull(), F.round(F.col("value") * 100).cast("bigint"))
                    .alias("bytes")))
-    numbered = crawl.first_two_attempts(log, ["run", "url"], ["ts", "event_id"])
-    return numbered.select("run", "ts", "url", "attempt", "kind", "status", "bytes")
+    numbered = crawl.number_tries(log, ["day", "url"], ["ts", "event_id"])
+    run = F.concat_ws("/", "day", F.col("try").cast("string"))
+    return numbered.select(run.alias("run"), "ts", "url", "attempt", "kind", "status", "bytes")
 
 
 def crawl_sizes(log: DataFrame) -> DataFrame:

@@ -41,20 +41,25 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
-def read_recipes(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 multiline: bool = True) -> DataFrame:
-    """Source recipes from CSV with a header.
+def read_recipes(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+                 multiline: bool = True, header: bool = True) -> DataFrame:
+    """Source recipes from CSV.
 
-    Without `schema` all columns are text and the four that matter are kept.
-    A schema may name a `_corrupt_record` column for lines that do not fit.
+    Without `schema` all columns of the header (or the four that matter, without
+    one) are text, and the four are returned with `_corrupt_record`, which has the
+    lines that do not fit.
     `multiline` accepts line breaks inside quotes, but then one task reads
     a whole file: split the source into many files, or turn it off when no
     field holds a raw line break.
     """
-    reader = (spark.read.option("header", True).option("multiLine", multiline)
-              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+    reader = (spark.read.option("header", header).option("multiLine", multiline)
+              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+              .option("columnPruning", False))  # a short line shows in whole lines only
     if schema is None:
-        return reader.csv(path).select(*RECIPE_COLUMNS)
+        names = reader.csv(path).columns if header else RECIPE_COLUMNS
+        text = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_corrupt_record")])
+        return (reader.schema(text).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+                .select(*RECIPE_COLUMNS, "_corrupt_record"))
     return (reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record")
             .option("enforceSchema", False).csv(path))
 

@@ -6,12 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators import crawl, metrics
-from evenkeel.sources.staging import staged
 from evenkeel.sources.tables import ATTEMPTS
 
-WATERMARK = "5 minutes"
-
-
 def stream_attempts(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Attempt log as a stream of Parquet files."""
     reader = spark.readStream.schema(ATTEMPTS)
@@ -20,58 +16,48 @@ def stream_attempts(spark: SparkSession, path: str, files_per_trigger: int | Non
     return reader.parquet(path)
 
 
-def tick_counts_stream(attempts: DataFrame, watermark: str = WATERMARK,
-                       seconds: int = metrics.TICK_SECONDS) -> DataFrame:
-    """Closed ticks of a live attempt log, for an append sink.
+def write_ticks(attempts: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                seconds: int = metrics.TICK_SECONDS):
+    """Start the count of a live attempt log: each micro-batch writes what it adds to its ticks.
 
-    A tick is emitted once the watermark has passed it. `metrics.counter_points`
-    and the functions after it turn the emitted table into metric points.
+    The counts are sums, so nothing is kept in a state and nothing is too late:
+    a record counts in its tick whenever it comes. A micro-batch that is run
+    again overwrites its own folder.
     """
-    return metrics.tick_counts(attempts.withWatermark("ts", watermark), seconds)
-
+    def write(batch: DataFrame, batch_id: int) -> None:
+        metrics.tick_counts(batch, seconds).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-def crawl_outcome_stream(attempts: DataFrame) -> DataFrame:
-    """Current outcome per URL of a live attempt log, for an update sink.
+    return _start(attempts, write, checkpoint, available_now)
 
-    One state row per URL; choose the RocksDB state store for large crawls.
-    """
-    return crawl.crawl_outcome(attempts)
 
-
-def write_ticks(ticks: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Start the append of closed ticks to Parquet."""
-    writer = (ticks.writeStream.format("parquet").outputMode("append").option("path", path)
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+def read_ticks(spark: SparkSession, path: str) -> DataFrame:
+    """Counters per (run, tick, status) of all that was written, the last and open ticks included."""
+    return metrics.add_ticks(spark.read.schema(metrics.TICKS).parquet(path))
 
 
-def write_outcomes(outcomes: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Start the write of changed outcomes, and of the failed log next to them.
+def write_outcomes(attempts: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Start the write of what each micro-batch tells of its URLs.
 
-    A micro-batch owns its folders and overwrites them when it is run again, so
-    a restart neither loses nor repeats a change.
+    Minima and maxima alone, merged when they are read: no state grows with the
+    crawl. A micro-batch owns its folder and overwrites it when it is run
+    again, so a restart neither loses nor repeats anything.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = staged(batch, "outcomes")
-        changed.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
-        (crawl.permanent_failures(changed).write.mode("overwrite")
-         .text(f"{path}/failed/batch={batch_id}"))
+        crawl.outcome_states(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = (outcomes.writeStream.outputMode("update").foreachBatch(write)
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(attempts, write, checkpoint, available_now)
 
 
 def latest_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    """Last written outcome per URL."""
-    changes = spark.read.parquet(f"{path}/changes")
-    last = F.max(F.struct("batch", "attempts", "first_failure", "outcome")).alias("last")
-    return changes.groupBy("run", "url").agg(last).select(
-        "run", "url", "last.attempts", "last.first_failure", "last.outcome")
+    """Outcome per URL of all that was written; `crawl.permanent_failures` of it is the failed log."""
+    return crawl.outcomes_of(crawl.merge_states(spark.read.schema(crawl.STATES).parquet(path)))
+
+
+def _start(attempts: DataFrame, write, checkpoint: str, available_now: bool):
+    writer = attempts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def observe_progress(attempts: DataFrame, name: str = "crawl_progress") -> tuple[DataFrame, Observation]:

@@ -96,3 +96,16 @@ def test_retry_batches_of_one_burst(spark):
     rows = [(5, f"u{i}", 1, "failed") for i in range(200)]
     got = crawl.retry_batches(crawl.crawl_outcome(log(spark, rows)), size=64).collect()
     assert Counter(r.retry_batch for r in got) == {0: 64, 1: 64, 2: 64, 3: 8}
+
+
+def test_tries_keep_every_record(spark):
+    rows = [(i, "u", "failed" if c == "f" else "saved") for i, c in enumerate("ffsfsfffs")]
+    df = spark.createDataFrame(rows, "ts int, url string, kind string")
+    got = sorted((r.ts, r["try"], r.attempt) for r in crawl.number_tries(df, ["url"], ["ts"]).collect())
+    assert [(t, a) for _, t, a in got] == [(1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (4, 1), (4, 2), (5, 1), (5, 2)]
+
+
+def test_retry_order_inside_a_minute(spark):
+    rows = [(i, f"u{i}", 1, "failed") for i in range(50)]
+    got = crawl.retry_batches(crawl.crawl_outcome(log(spark, rows)), size=10).collect()
+    assert {r.url: r.retry_batch for r in got} == {f"u{i}": i // 10 for i in range(50)}

@@ -39,7 +39,7 @@ def test_migration_plan(plan):
         ("o1.html", "n1.html", "rename"), ("n2.html", None, "already_migrated"),
         ("o2.html", "n2.html", "conflict"), ("stray", None, "unmatched"), ("stray2", None, "unmatched")}
     assert keys.key_migration_report(plan).first().asDict() == {
-        "files": 5, "rename": 1, "already_migrated": 1, "conflict": 1, "unmatched": 2}
+        "files": 5, "rename": 1, "already_migrated": 1, "conflict": 1, "unmatched": 2, "ambiguous": 0}
     assert [r.action for r in keys.key_migration_examples(plan).collect()] == ["conflict", "rename"]
 
 
@@ -57,3 +57,22 @@ def test_migrated_pages(spark, plan):
     twice = plan.unionByName(plan.filter("action = 'rename'").withColumn("file_name", F.lit("o9.html")))
     with pytest.raises(keys.KeyAuditError, match="same target"):
         keys.migrate_keys(pages, twice)
+
+
+def test_an_old_name_with_two_new_ones_stops(spark):
+    mapping = spark.createDataFrame([("o.html", "n1.html"), ("o.html", "n2.html"), ("p.html", "q.html")],
+                                    "old_name string, new_name string")
+    listing = spark.createDataFrame([("o.html",), ("p.html",)], "file_name string")
+    plan = keys.key_migration_plan(listing, mapping)
+    assert sorted((r.file_name, r.action) for r in plan.collect()) == [("o.html", "ambiguous"), ("p.html", "rename")]
+    pages = spark.createDataFrame([("o",), ("p",)], "link_hash string")
+    with pytest.raises(keys.KeyAuditError):
+        keys.migrate_keys(pages, plan)
+
+
+def test_a_bad_key_stops_the_plans(spark):
+    stored = spark.createDataFrame([("a", "wrong")], "link string, link_hash string")
+    audit = keys.key_audit(stored, spark.createDataFrame([("a", "right")], "link string, link_hash string"))
+    mapping = spark.createDataFrame([("o.html", "n.html")], "old_name string, new_name string")
+    with pytest.raises(keys.KeyAuditError):
+        keys.key_migration_plan(mapping.select(mapping.old_name.alias("file_name")), mapping, audit)

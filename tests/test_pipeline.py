@@ -158,13 +158,13 @@ def test_staging_without_a_setting(spark, monkeypatch):
             get = staticmethod(lambda name, default: default)
 
         class sparkContext:
-            master, folder = "local[2]", None
+            master, folder, applicationId = "local[2]", None, "an application"
             getCheckpointDir = classmethod(lambda cls: cls.folder)
-            setCheckpointDir = classmethod(lambda cls, path: setattr(cls, "folder", path))
 
     first = staging.shared_dir(Unset)
     assert first == staging.shared_dir(Unset)
-    Unset.sparkContext.folder, Unset.sparkContext.master = None, "spark://host:7077"
+    assert Unset.sparkContext.folder is None
+    Unset.sparkContext.master = "spark://host:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_dir(Unset)
 

@@ -117,3 +117,22 @@ def test_wide_rows_are_not_shuffled(spark):
     plan = sampling.sample_by_website(df, 5)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_long_names_get_buckets_of_their_own(spark):
+    name = "n" * 170
+    df = spark.range(200_000).select(F.lit(name).alias("website"), F.col("id").cast("string").alias("link"))
+    few = spark.range(3_000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("website"),
+                                    F.col("id").cast("string").alias("link"))
+    histogram = sampling.group_histogram(df.unionByName(few), "website", "link")
+    assert histogram.buckets.filter(F.col("website") == name).count() == 256
+
+
+def test_repeated_rows_are_spread(spark):
+    rows = spark.range(1_000).select("id", F.lit(10).alias("times"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = sampling.repeat_rows(rows, F.col("times")).select(F.spark_partition_id().alias("p"))
+        assert parts.count() == 10_000 and parts.distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
