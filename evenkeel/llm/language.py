@@ -176,7 +176,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, passes: int = PASSES)
     rows = docs.filter("lang is not null and text is not null and doc_id is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.select("doc_id", "lang", "text").join(sizes, "lang").filter(draw * F.col("_rows") < per_language)
+    # One row per language, of which the model holds a table for each pair: few, and broadcast.
+    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(sizes), "lang").filter(draw * F.col("_rows") < per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
