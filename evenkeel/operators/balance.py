@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from evenkeel.sources.staging import BROADCAST_BYTES, key_bytes, staged_with_facts
 
 EVAL_WEBSITES = 16
-# Portions into which a website's rows are spread when its count is joined on.
-SALTS = 64
+# A website's rows are spread over portions of about this size when its count is joined on.
+ROWS_PER_SALT = 1_000_000
 
 
 def website_counts(df: DataFrame, group: str = "website") -> DataFrame:
@@ -57,16 +57,26 @@ def with_website_counts(df: DataFrame, key: str, group: str = "website",
     """Inner join with the website counts, column `n`.
 
     The counts are broadcast if they are small. Otherwise both sides get a salt,
-    so that a dominant website is joined by many tasks.
+    as many as a website's rows ask for, so that a dominant website is joined
+    by many tasks. Runs a job when called.
     """
     known = df.filter(F.col(group).isNotNull())
     counts, sizes = staged_with_facts(website_counts(known, group), "counts",
                                       key_bytes(group).alias("bytes"))
     if sizes["bytes"] <= broadcast_bytes:
         return df.join(F.broadcast(counts), group)
-    salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
-    salted = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("_salt", salt).join(salted, [group, "_salt"]).drop("_salt")
+    name = F.xxhash64(group).alias("_name")
+    # One row of two numbers per ROWS_PER_SALT rows at most.
+    large = F.broadcast(counts.filter(F.col("n") > ROWS_PER_SALT).groupBy(name).agg(
+        F.max(F.ceil(F.col("n") / ROWS_PER_SALT)).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+
+    def sized(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_name", name).join(large, "_name", "left").drop("_name")
+
+    salted = sized(counts).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    spread = sized(df).withColumn("_salt", F.pmod(F.xxhash64(key), salts).cast("int")).drop("_salts")
+    return spread.join(salted, [group, "_salt"]).drop("_salt")
 
 
 def deduplicate(df: DataFrame, key: str = "link", response: str = "response",

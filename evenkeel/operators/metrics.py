@@ -138,5 +138,8 @@ def crawl_progress(log: DataFrame, sizes: DataFrame, seconds: int = TICK_SECONDS
 
 
 def _with_step(points: DataFrame, seconds: int) -> DataFrame:
-    first = F.min("tick").over(Window.partitionBy("run"))
-    return points.withColumn("step", ((F.col("tick") - first) / seconds).cast("long") + 1)
+    """Add `step` from the first tick of the run; the points are written, as they are read twice."""
+    points = staged(points, "points")
+    first = points.groupBy("run").agg(F.min("tick").alias("_first"))
+    step = ((F.col("tick") - F.col("_first")) / seconds).cast("long") + 1
+    return points.join(first, "run").withColumn("step", step).drop("_first")

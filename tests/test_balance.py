@@ -84,3 +84,12 @@ def test_split_report(spark):
     assert balance.split_report(before, after).first().asDict() == {
         "train_rows": 4, "eval_rows": 2, "eval_to_train": 0.5, "rows_before": 14, "rows_after": 6,
         "rows_lost": 8}
+
+
+def test_salts_follow_the_count(spark, monkeypatch):
+    monkeypatch.setattr(balance, "ROWS_PER_SALT", 10)
+    rows = [(f"l{i}", "hot" if i < 500 else f"s{i % 30}") for i in range(800)] + [("x", None)]
+    df = spark.createDataFrame(rows, "link string, website string")
+    salted = balance.with_website_counts(df, "link", broadcast_bytes=0)
+    assert sorted(map(tuple, salted.select("link", "n").collect())) == sorted(
+        map(tuple, balance.with_website_counts(df, "link").select("link", "n").collect()))
