@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.spans import LOWER, hash_spans, mix, slices, words
+from evenkeel.sources.staging import staged
 
 # Places of the table of document frequencies; its error follows the number of texts, as the band does.
 BITS = 20
@@ -49,13 +50,13 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(totals[used], texts))],
                                          ["place", "n"])
 
-    counts = (docs.select("text").mapInArrow(tally, "place bigint, n bigint")
-              .groupBy("place").agg(F.sum("n").alias("n")).toArrow())
-    place, n = counts.column("place").to_numpy(), counts.column("n").to_numpy()
+    counts = staged(docs.select("text").mapInArrow(tally, "place bigint, n bigint")
+                    .groupBy("place").agg(F.sum("n").alias("n")), "document-frequencies")
+    total = counts.filter("place < 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    inside = counts.filter((F.col("place") >= 0) & F.col("n").between(
+        float(total * np.exp(-band[1])), float(total * np.exp(-band[0]))))
     kept = np.zeros(1 << BITS, bool)
-    total = n[place < 0].sum()
-    inside = (place >= 0) & (n >= total * np.exp(-band[1])) & (n <= total * np.exp(-band[0]))
-    kept[place[inside]] = True
+    kept[inside.select("place").toArrow().column("place").to_numpy()] = True
     return kept
 
 
