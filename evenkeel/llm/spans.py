@@ -1,6 +1,6 @@
 """Words and character windows of whole texts, hashed with numpy inside a task.
 
-A batch of texts is cut into slices of about a megabyte, so that the memory of
+A batch of texts is cut into slices of about half a megabyte, so that the memory of
 a task follows the slice (or the longest single text), never the batch.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 # White space is what `[\x20\x09-\x0D]` matches.
 SPACE = np.zeros(256, bool)
@@ -68,7 +68,7 @@ def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers["up"]) <= size:
-        size = max(2 * SLICE_BYTES, size + 1)
+        size = max(SLICE_BYTES + (1 << 16), size + 1)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, base in (("up", _BASE), ("down", inverse)):
             table = np.full(size, base, np.uint64)

@@ -9,16 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # A word is a run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, in batches that fit them.
 
-    Enough where executors see the same path (local mode, images with the
+    Texts may be long, so Arrow's default of 10,000 rows a batch, if it stands,
+    is lowered. The path is enough where executors see the same path (local mode, images with the
     package, a shared file system); elsewhere submit it with --py-files.
     """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)

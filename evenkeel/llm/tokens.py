@@ -9,13 +9,14 @@ in one call. Texts with other runs of white space are encoded whole.
 from __future__ import annotations
 
 import base64
+import json
 import os
 from functools import lru_cache
 
 import numpy as np
 
 # Pieces kept by a worker; beyond, it starts anew.
-KEPT = 300_000
+KEPT = 100_000
 
 
 class Encoder:
@@ -81,8 +82,9 @@ def _library(vocabulary: str):
 
 
 def _special(vocabulary: str) -> tuple[str, ...]:
-    added = _library(vocabulary).get_added_tokens_decoder().values()
-    return tuple(token.content for token in added)
+    """Strings that the vocabulary's file adds to its pieces; the library is loaded for texts with one only."""
+    with open(vocabulary, encoding="utf-8") as file:
+        return tuple(token["content"] for token in json.load(file).get("added_tokens", ()))
 
 
 @lru_cache(maxsize=2)
