@@ -20,7 +20,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
@@ -30,6 +30,8 @@ from evenkeel.sources.staging import staged
 HASH_SEED = 42
 # Shingles whose hashes are counted at a time.
 BLOCK = 1 << 15
+# Parts of a list that have a star each.
+STAR_PARTS = 16
 _PLANE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -175,25 +177,51 @@ def _total(parts: list[Column]) -> Column:
     return out
 
 
+def _listed(prints: DataFrame, index: Index) -> DataFrame:
+    """A row for each list that a fingerprint stands in."""
+    lists = [F.struct(F.lit(i).alias("list"), _list_key("fp", p).alias("key"))
+             for i, p in enumerate(index.positions)]
+    return prints.withColumn("_at", F.explode(F.array(*lists))).select(*prints.columns, "_at.list", "_at.key")
+
+
+def star_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
+    """(a, b): links of fingerprints with the first one of their list, at most one a row.
+
+    `distinct` has (id, fp), one row per fingerprint. A list is dealt over
+    `STAR_PARTS` tasks by id, each part with a first one of its own, so that a
+    very large group ties itself together by a number of links that follows
+    its size.
+    """
+    rows = _listed(distinct, index).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(STAR_PARTS)))
+    part = Window.partitionBy("list", "key", "part").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    first = rows.withColumn("centre", F.first(F.struct("id", "fp")).over(part)).select(
+        F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("centre.id").alias("b"), F.col("centre.fp").alias("fb"))
+    return first.filter((F.col("a") != F.col("b")) & _near(index, planes)).select("a", "b")
+
+
 def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
-    """(a, b): ids of distinct fingerprints that differ in at most `max_bits` bits, each pair once.
+    """(a, b): ids of fingerprints that differ in at most `max_bits` bits, each pair once.
 
-    `distinct` has (id, fp), one row per fingerprint. The join is on the list
-    and its key alone, so Spark can split a large list between tasks. Tally
-    and check are part of the join, which emits links only, in the first list
-    that a pair shares.
+    `distinct` has (id, fp), one row per fingerprint, and may have `group`: links
+    inside a group, known to be tied together already, are then left out. The
+    join is on the list and its key alone, so Spark can split a large list
+    between tasks. Tally and check are part of the join, which emits links
+    only, in the first list that a pair shares.
     """
-    lists = [F.struct(F.lit(i).alias("list"), _list_key("fp", p).alias("key"))
-             for i, p in enumerate(index.positions)]
-    rows = distinct.select("id", "fp", F.explode(F.array(*lists)).alias("at")).select("id", "fp", "at.list", "at.key")
-    one = rows.select("list", "key", F.col("id").alias("a"), F.col("fp").alias("fa"))
-    two = rows.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"))
+    grouped = distinct if "group" in distinct.columns else distinct.withColumn("group", F.col("id"))
+    rows = _listed(grouped.select("id", "fp", "group"), index)
+    one = rows.select("list", "key", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("group").alias("ga"))
+    two = rows.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("group").alias("gb"))
     same = one.join(two, ["list", "key"]).filter(
-        (F.col("a") < F.col("b"))
-        & (differing_bits("fa", "fb", planes) <= index.max_bits)
-        & (shared_bytes("fa", "fb", planes) >= index.min_shared)
-        & ~_met_before(index, "fa", "fb"))
-    return same.select("a", "b")
+        (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb"))
+        & _near(index, planes) & ~_met_before(index, "fa", "fb"))
+    return same.select("a", "b", "ga", "gb")
+
+
+def _near(index: Index, planes: int) -> Column:
+    """The tally of shared bytes and the check of bits for columns `fa` and `fb`."""
+    return ((differing_bits("fa", "fb", planes) <= index.max_bits)
+            & (shared_bytes("fa", "fb", planes) >= index.min_shared))
 
 
 def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1) -> DataFrame:
@@ -201,7 +229,9 @@ def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1
 
     Runs jobs when called; what it writes is a fingerprint per document. Documents
     with one fingerprint are linked through the smallest of them, so a group
-    of copies of any size is one row of the index. Rows that repeat a doc_id
+    of copies of any size is one row of the index. Large groups of near copies
+    are tied together by stars first; after that all links between the groups
+    are searched, so that no group's pairs are ever listed. Rows that repeat a doc_id
     stay and share its component if their texts are alike; a null doc_id
     links with nothing and gets a null component. Columns of `docs` other than
     doc_id and text are not used. No rows give no rows.
@@ -209,10 +239,12 @@ def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1
     prints = staged(docs.select("doc_id", fingerprint(F.col("text"), shingle, planes).alias("fp")), "simhash")
     known = prints.filter(F.col("doc_id").isNotNull())
     distinct = staged(known.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-distinct")
-    joined = components(link_pairs(distinct, index, planes))
-    # A doc_id that stands for several fingerprints (repeated ids) keeps its least component.
-    roots = staged(distinct.join(joined, F.col("id") == F.col("node"), "left")
-                   .select("fp", F.coalesce("component", "id").alias("component_id")), "simhash-roots")
+    tied = components(star_pairs(distinct, index, planes))
+    grouped = staged(distinct.join(tied, F.col("id") == F.col("node"), "left")
+                     .select("id", "fp", F.coalesce("component", "id").alias("group")), "simhash-groups")
+    joined = components(link_pairs(grouped, index, planes), "ga", "gb")
+    roots = staged(grouped.join(joined, F.col("group") == F.col("node"), "left")
+                   .select("fp", F.coalesce("component", "group").alias("component_id")), "simhash-roots")
     found = prints.join(roots, "fp", "left")
     return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
                         .alias("component_id"))

@@ -92,7 +92,7 @@ def test_pairs_of_fingerprints(spark, planes):
         prints += [first, second]
     signed = [[x - (1 << 64) if x >> 63 else x for x in p] for p in prints]
     frame = spark.createDataFrame(list(enumerate(signed)), "id bigint, fp array<bigint>")
-    found = [tuple(r) for r in simhash.link_pairs(frame, index, planes).collect()]
+    found = [(r.a, r.b) for r in simhash.link_pairs(frame, index, planes).collect()]
     expected = {(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints))
                 if sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)) <= index.max_bits}
     assert len(found) == len(set(found))
