@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import language, mixing, packing, quality, simhash, tables
+from evenkeel.llm import language, mixing, near_copies, packing, quality, tables
 from evenkeel.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -47,12 +47,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     tables.ready(spark)
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs, SHINGLE, simhash.banded_index(SIMILARITY, PLANES), PLANES)
-    kept = staged(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")),
+    found = near_copies.near_copies(docs.filter("doc_id is not null"), SHINGLE, SIMILARITY, PLANES)
+    kept = staged(found.groupBy("component").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(),
                   "kept-documents")
-    rows = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if not kept.filter("_rows > 1").isEmpty():
-        repeated = kept.filter("_rows > 1").select("doc_id")
+    rows = docs.join(kept, "doc_id", "left_semi")
+    repeated = staged(rows.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    if not repeated.isEmpty():
         single = rows.join(repeated, "doc_id", "left_anti")
         rows = single.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return rows.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)

@@ -1,0 +1,199 @@
+"""Near copies by SimHash candidates and the exact similarity of their shingle sets.
+
+A text is the set of its hashed shingles; texts with one set are one node. The
+positional bytes of a long fingerprint of the set (`simhash.Index`) bring nodes
+together, the differing bits make candidates, and a candidate is a link only if
+the Jaccard similarity of the two sets says so. First each node is compared
+with the nearest of those it meets, which ties groups by one link a node; nodes
+that meet nobody near are out. Then all candidates between groups are compared,
+so that a group's pairs are never listed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from evenkeel.llm import simhash
+from evenkeel.llm.components import components
+from evenkeel.llm.spans import slices
+from evenkeel.sources.staging import staged
+
+# Words of a fingerprint that stand in the lists, and differing bits of them beyond the mean, in standard errors.
+HEAD, HEAD_ERRORS = 2, 4.5
+# Pairs of one list that are held at a time.
+TILE = 1 << 22
+# Rounds of nearest nodes of other groups before all candidates between groups are listed.
+ROUNDS = 2
+SKETCH = "struct<node: bigint, size: int, fp: array<bigint>>"
+NEAREST = "a bigint, b bigint, bits int"
+
+
+def _node(distinct: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(distinct.tobytes(), simhash.HASH_SEED)
+
+
+def sketch(text: Column, shingle: int, planes: int) -> Column:
+    """(node, size, fp): hash, size and fingerprint of a text's set of shingles; each shingle counts once."""
+    @F.arrow_udf(SKETCH)
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            nodes, sizes, prints = [], [], [np.zeros(0, np.uint64)]
+            for _, data, offsets in slices(batch):
+                for hashes in simhash._hashed(data, offsets, shingle):
+                    distinct = np.unique(hashes)
+                    nodes.append(_node(distinct))
+                    sizes.append(len(distinct))
+                    prints.append(simhash._bits(distinct, planes))
+            ends = np.arange(len(nodes) + 1, dtype=np.int32) * planes
+            fp = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prints).view(np.int64)))
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), fp],
+                ["node", "size", "fp"])
+
+    return compute(text)
+
+
+def shingle_set(text: Column, shingle: int) -> Column:
+    """(node, shingles): a text's distinct shingle hashes in order, packed."""
+    @F.arrow_udf("struct<node: bigint, shingles: binary>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sets = [np.unique(hashes) for _, data, offsets in slices(batch)
+                    for hashes in simhash._hashed(data, offsets, shingle)]
+            nodes = np.array([_node(s) for s in sets], np.uint64).view(np.int64)
+            yield pa.StructArray.from_arrays(
+                [pa.array(nodes), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+
+    return compute(text)
+
+
+def nearest(nodes: DataFrame, index: simhash.Index, words: int, max_bits: int, similarity: float) -> DataFrame:
+    """(a, b): for each node the nearest one of another group that it meets in a list, if any is near.
+
+    `nodes` has (id, size, fp, group). Near is a difference of `max_bits` in the
+    first `words` words of the fingerprint and a size that allows the similarity.
+    """
+    keys = [F.shiftleft(F.lit(i).cast("int"), 8 * len(p)).bitwiseOR(simhash._list_key("fp", p).cast("int"))
+            for i, p in enumerate(index.positions)]
+    heads = [F.col("fp")[w].alias(f"w{w}") for w in range(words)]
+    own = nodes.select(F.explode(F.array(*keys)).alias("key"), "id", "group", "size", *heads)
+    rows = own.repartition("key").sortWithinPartitions("key")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            key = table.column("key").to_numpy()
+            # The last list may go on in the next batch.
+            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            held = table.slice(cut)
+            if cut:
+                yield from _nearest(table.slice(0, cut), words, max_bits, similarity)
+        if held is not None:
+            yield from _nearest(held, words, max_bits, similarity)
+
+    found = rows.mapInArrow(meet, NEAREST)
+    return found.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near")).select("a", "near.b")
+
+
+def _nearest(table: pa.Table, words: int, max_bits: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    key, ids, group, size = (table.column(c).to_numpy() for c in ("key", "id", "group", "size"))
+    prints = [table.column(f"w{w}").to_numpy().view(np.uint64) for w in range(words)]
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
+    best, partner = np.full(len(key), max_bits + 1, np.int64), np.zeros(len(key), np.int64)
+    length = np.diff(edges)
+    end = np.repeat(edges[1:], length)
+    # Short lists together, one distance between places at a time; long ones by blocks of rows.
+    short = np.repeat(length <= 256, length)
+    step, left = 1, np.flatnonzero(short)
+    while len(left := left[left + step < end[left]]):
+        other = left + step
+        bits = _differing(prints, left, other, group, size, max_bits, similarity)
+        for i, j in ((left, other), (other, left)):
+            better = (bits < best[i]) | ((bits == best[i]) & (bits <= max_bits) & (ids[j] < partner[i]))
+            best[i[better]], partner[i[better]] = bits[better], ids[j[better]]
+        step += 1
+    for lo, hi in zip(edges[:-1][length > 256], edges[1:][length > 256], strict=True):
+        rows = max(1, TILE // (hi - lo))
+        every = np.arange(lo, hi)[None]
+        for at in range(lo, hi, rows):
+            part = np.arange(at, min(at + rows, hi))
+            bits = _differing(prints, part[:, None], every, group, size, max_bits, similarity)
+            least = bits.argmin(axis=1)
+            best[part], partner[part] = bits[np.arange(len(part)), least], ids[lo + least]
+    found = np.flatnonzero(best <= max_bits)
+    yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(partner[found]),
+                                      pa.array(best[found].astype(np.int32))], ["a", "b", "bits"])
+
+
+def _differing(prints, i, j, group, size, max_bits: int, similarity: float) -> np.ndarray:
+    bits = np.bitwise_count(prints[0][i] ^ prints[0][j]).astype(np.int64)
+    for words in prints[1:]:
+        bits += np.bitwise_count(words[i] ^ words[j])
+    sizes = np.minimum(size[i], size[j]) < similarity * np.maximum(size[i], size[j]) - 1e-9
+    bits[sizes | (group[i] == group[j])] = max_bits + 1
+    return bits
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The rows (a, b) of `pairs` whose sets have a Jaccard similarity of `similarity` or more."""
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(p) + len(q) - len(np.union1d(p, q))
+                keep.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint")
+
+
+def near_copies(docs: DataFrame, shingle: int, similarity: float, planes: int) -> DataFrame:
+    """(doc_id, node, component): a row per row of `docs`; rows of one component are near copies.
+
+    Component is a node of the group, whatever the doc_id, null or repeated.
+    Texts without words are one node. Runs jobs when called; no rows give no rows.
+    """
+    index = simhash.banded_index(similarity, planes)
+    rows = staged(docs.select("doc_id", F.xxhash64("text").alias("digest"),
+                              sketch(F.col("text"), shingle, planes).alias("_s")).select("doc_id", "digest", "_s.*"),
+                  "sketches")
+    nodes = staged(rows.groupBy(F.col("node").alias("id")).agg(
+        F.first("size").alias("size"), F.first("fp").alias("fp"), F.min("digest").alias("digest")), "nodes")
+    head = min(HEAD, planes)
+    share = simhash.differing_share(similarity)
+    most = int(np.ceil(64 * head * share + HEAD_ERRORS * np.sqrt(64 * head * share * (1 - share))))
+    pairs = staged(nearest(nodes.withColumn("group", F.col("id")), index, head, most, similarity), "nearest")
+    met = pairs.select(F.col("a").alias("id")).distinct()
+    grouped = staged(nodes.join(met, "id", "left_semi").withColumn("group", F.col("id")), "met-nodes")
+    texts = docs.select("text", F.xxhash64("text").alias("digest")).join(
+        grouped.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
+    sets = staged(texts.select(shingle_set(F.col("text"), shingle).alias("_s")).select("_s.*"), "shingle-sets")
+    links = staged(verified(pairs, sets, similarity), "links")
+    for _ in range(ROUNDS):
+        grouped = _regrouped(grouped, links)
+        pairs = nearest(grouped, index, planes, index.max_bits, similarity)
+        links = links.unionByName(staged(verified(pairs, sets, similarity), "links"))
+    grouped = _regrouped(grouped, links)
+    between = simhash.link_pairs(grouped, index, planes, similarity).select("a", "b")
+    links = links.unionByName(staged(verified(between, sets, similarity), "links"))
+    joined = staged(components(links), "near-copies")
+    return rows.select("doc_id", "node").join(joined, "node", "left").select(
+        "doc_id", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _regrouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    joined = components(links)
+    return staged(nodes.drop("group").join(joined, F.col("id") == F.col("node"), "left").select(
+        "id", "size", "fp", "digest", F.coalesce("component", "id").alias("group")), "met-nodes")

@@ -54,6 +54,11 @@ def exact_index(max_bits: int, size: int = 8) -> Index:
     return Index(tuple(combinations(range(size), shared)), shared, max_bits)
 
 
+def differing_share(similarity: float) -> float:
+    """Share of bits that differ on average: a Jaccard similarity of J is a cosine of 2J / (1 + J)."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
 def banded_index(similarity: float, planes: int, min_shared: int = 7) -> Index:
     """Pairs of shingle sets with a Jaccard similarity of `similarity` or more, by long fingerprints.
 
@@ -65,7 +70,7 @@ def banded_index(similarity: float, planes: int, min_shared: int = 7) -> Index:
     of ten thousand.
     """
     size = 8 * planes
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    share = differing_share(similarity)
     error = np.sqrt(share * (1 - share) * size * 8)
     near = tuple((i, i + 1) for i in range(0, size, 2))
     far = tuple((i, i + size // 2) for i in range(size // 4))
@@ -91,7 +96,8 @@ def fingerprint(text: Column, shingle: int, planes: int = 1) -> Column:
     return compute(text)
 
 
-def _fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, planes: int) -> list[np.ndarray]:
+def _hashed(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of each text's shingles as they stand; a text without words has none."""
     begin, end, first = words(data, offsets)
     # Words with one space between them: a shingle is then one slice of bytes.
     sizes = end - begin
@@ -104,25 +110,32 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, planes: i
     inside[end] -= 1
     target[solid] = LOWER[data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]]
     raw = target.tobytes()
-    out = []
     for doc in range(len(offsets) - 1):
         lo, hi = int(first[doc]), int(first[doc + 1])
         if lo == hi:
-            out.append(np.zeros(planes, np.uint64))
+            yield np.zeros(0, np.uint64)
             continue
         count = max(1, hi - lo - shingle + 1)
         starts = place[lo:lo + count].tolist()
         stops = (place[hi - count + 1:hi + 1] - 1).tolist()
-        bits = np.zeros((planes, 64), np.int64)
-        for at in range(0, count, BLOCK):
-            hashes = np.array([xxhash.xxh64_intdigest(raw[s:e], HASH_SEED) for s, e in
-                               zip(starts[at:at + BLOCK], stops[at:at + BLOCK], strict=True)], np.uint64)
-            for plane in range(planes):
-                turned = hashes if plane == 0 else mix(hashes + np.uint64(int(_PLANE) * plane % 2 ** 64))
-                each = np.unpackbits(turned.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                bits[plane] += each.sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(2 * bits > count, axis=1, bitorder="little").view(np.uint64).ravel())
-    return out
+        yield np.array([xxhash.xxh64_intdigest(raw[s:e], HASH_SEED)
+                        for s, e in zip(starts, stops, strict=True)], np.uint64)
+
+
+def _bits(hashes: np.ndarray, planes: int) -> np.ndarray:
+    """The fingerprint of shingle hashes: zero if there are none."""
+    bits = np.zeros((planes, 64), np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        block = hashes[at:at + BLOCK]
+        for plane in range(planes):
+            turned = block if plane == 0 else mix(block + np.uint64(int(_PLANE) * plane % 2 ** 64))
+            each = np.unpackbits(turned.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            bits[plane] += each.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * bits > len(hashes), axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, planes: int) -> list[np.ndarray]:
+    return [_bits(hashes, planes) for hashes in _hashed(data, offsets, shingle)]
 
 
 def byte_at(fp: str, position: int) -> Column:
@@ -199,21 +212,24 @@ def star_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
     return first.filter((F.col("a") != F.col("b")) & _near(index, planes)).select("a", "b")
 
 
-def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
+def link_pairs(distinct: DataFrame, index: Index, planes: int = 1, similarity: float = 0) -> DataFrame:
     """(a, b): ids of fingerprints that differ in at most `max_bits` bits, each pair once.
 
     `distinct` has (id, fp), one row per fingerprint, and may have `group`: links
-    inside a group, known to be tied together already, are then left out. The
+    inside a group, known to be tied together already, are then left out. With a
+    `similarity` it has `size` too: sets of sizes that rule it out are no pair. The
     join is on the list and its key alone, so Spark can split a large list
     between tasks. Tally and check are part of the join, which emits links
     only, in the first list that a pair shares.
     """
     grouped = distinct if "group" in distinct.columns else distinct.withColumn("group", F.col("id"))
-    rows = _listed(grouped.select("id", "fp", "group"), index)
-    one = rows.select("list", "key", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("group").alias("ga"))
-    two = rows.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("group").alias("gb"))
+    sized = grouped if similarity else grouped.withColumn("size", F.lit(0))
+    rows = _listed(sized.select("id", "fp", "group", "size"), index)
+    one, two = (rows.select("list", "key", F.col("id").alias(x), F.col("fp").alias(f"f{x}"),
+                            F.col("group").alias(f"g{x}"), F.col("size").alias(f"s{x}")) for x in "ab")
     same = one.join(two, ["list", "key"]).filter(
         (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb"))
+        & (F.least("sa", "sb") >= similarity * F.greatest("sa", "sb") - 1e-9)
         & _near(index, planes) & ~_met_before(index, "fa", "fb"))
     return same.select("a", "b", "ga", "gb")
 

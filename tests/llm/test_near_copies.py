@@ -1,0 +1,71 @@
+"""Near copies against brute force over sets of shingles."""
+
+import random
+
+import corpus_pipeline
+from evenkeel.llm import near_copies, tables
+
+
+def shingles(text, n=corpus_pipeline.SHINGLE):
+    words = text.split()
+    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
+def jaccard(x, y):
+    a, b = shingles(x), shingles(y)
+    return len(a & b) / len(a | b)
+
+
+def planted(rng, similarity, size=300):
+    """Two texts of random words with about this similarity: the tail of the second is another one."""
+    words = [f"w{rng.randrange(10 ** 9)}" for _ in range(size)]
+    same = round(2 * similarity / (1 + similarity) * (size - 4)) + 4
+    return " ".join(words), " ".join(words[:same] + [f"w{rng.randrange(10 ** 9)}" for _ in range(size - same)])
+
+
+def groups(spark, rows):
+    tables.ready(spark)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_copies.near_copies(frame, corpus_pipeline.SHINGLE, corpus_pipeline.SIMILARITY, corpus_pipeline.PLANES)
+    return {r.doc_id: r.component for r in found.collect()}
+
+
+def test_unlike_texts_stay(spark):
+    rng = random.Random(7)
+    pairs = [planted(rng, s) for s in [0.70, 0.75, 0.78] * 60]
+    # The same long run of one word, and wholly different words besides.
+    run = "a " * 400
+    pairs += [(run + planted(rng, 0)[0], run + planted(rng, 0)[0]) for _ in range(20)]
+    assert all(jaccard(x, y) < 0.8 for x, y in pairs)
+    found = groups(spark, [(i, t) for i, t in enumerate(t for pair in pairs for t in pair)])
+    assert len(found) == len(set(found.values())) == 2 * len(pairs)
+
+
+def test_group_equals_brute_force(spark):
+    """A group with links at all similarities falls into the components of the pairs at 0.8 or more."""
+    rng = random.Random(8)
+    base = planted(rng, 0)[0].split()[:150]
+    texts = []
+    for _ in range(320):
+        words = list(base)
+        for _ in range(rng.randrange(8)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 9)}"
+        texts.append(" ".join(words))
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [shingles(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    found = groups(spark, list(enumerate(texts)))
+    least = {}
+    for i in range(len(texts)):
+        least.setdefault(found[i], i)
+    wrong = sum(least[found[i]] != top(i) for i in range(len(texts)))
+    assert 1 < len({top(i) for i in range(len(texts))}) < len(texts) and wrong == 0
