@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from evenkeel.llm import simhash
 from evenkeel.llm.components import components
 from evenkeel.llm.spans import slices
-from evenkeel.sources.staging import staged
+from evenkeel.sources.staging import BROADCAST_BYTES, ROW_OVERHEAD, staged
 
 # Words of a fingerprint that stand in the lists, and differing bits of them beyond the mean, in standard errors.
 HEAD, HEAD_ERRORS = 2, 4.5
 # Pairs of one list that are held at a time.
 TILE = 1 << 22
-# Rounds of nearest nodes of other groups before all candidates between groups are listed.
-ROUNDS = 2
+# More rounds of nearest nodes of other groups before all candidates between groups are listed.
+ROUNDS = 1
 SKETCH = "struct<node: bigint, size: int, fp: array<bigint>>"
 NEAREST = "a bigint, b bigint, bits int"
 
@@ -73,38 +73,94 @@ def shingle_set(text: Column, shingle: int) -> Column:
     return compute(text)
 
 
+def _lists(nodes: DataFrame, index: simhash.Index, words: int) -> DataFrame:
+    """A narrow row for each list of a node, the lists in order inside partitions.
+
+    `place` holds list, key and size; the node's `group` stands there only if `nodes` has one.
+    """
+    pairs = np.array(index.positions)
+    names = [f"w{w}" for w in range(words)]
+    group = ["group"] if "group" in nodes.columns else []
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                fp = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+                held = np.ascontiguousarray(fp).view(np.uint8).astype(np.int64)
+                key = (np.arange(len(pairs)) << 16) | held[:, pairs[:, 0]] | (held[:, pairs[:, 1]] << 8)
+                place = (key << 32) | batch.column(1).to_numpy().astype(np.int64)[:, None]
+                each = [batch.column(0).to_numpy(), *(batch.column(3 + i).to_numpy() for i in range(len(group))),
+                        *(fp[:, w] for w in range(words))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place.ravel()), *(pa.array(np.repeat(x, len(pairs))) for x in each)],
+                    ["place", "id", *group, *names])
+
+    schema = ", ".join(f"{name} bigint" for name in ["place", "id", *group, *names])
+    rows = nodes.select("id", "size", "fp", *group).mapInArrow(expand, schema)
+    return rows.repartition(F.shiftright("place", 32)).sortWithinPartitions("place")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole lists."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        key = table.column("place").to_numpy() >> 32
+        # The last list may go on in the next batch.
+        cut = int(np.searchsorted(key, key[-1]))
+        held = table.slice(cut)
+        if cut:
+            yield table.slice(0, cut)
+    if held is not None:
+        yield held
+
+
 def nearest(nodes: DataFrame, index: simhash.Index, words: int, max_bits: int, similarity: float) -> DataFrame:
     """(a, b): for each node the nearest one of another group that it meets in a list, if any is near.
 
-    `nodes` has (id, size, fp, group). Near is a difference of `max_bits` in the
+    `nodes` has (id, size, fp) and may have `group`, else each node is one. Near is a difference of `max_bits` in the
     first `words` words of the fingerprint and a size that allows the similarity.
     """
-    keys = [F.shiftleft(F.lit(i).cast("int"), 8 * len(p)).bitwiseOR(simhash._list_key("fp", p).cast("int"))
-            for i, p in enumerate(index.positions)]
-    heads = [F.col("fp")[w].alias(f"w{w}") for w in range(words)]
-    own = nodes.select(F.explode(F.array(*keys)).alias("key"), "id", "group", "size", *heads)
-    rows = own.repartition("key").sortWithinPartitions("key")
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            key = table.column("key").to_numpy()
-            # The last list may go on in the next batch.
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            held = table.slice(cut)
-            if cut:
-                yield from _nearest(table.slice(0, cut), words, max_bits, similarity)
-        if held is not None:
-            yield from _nearest(held, words, max_bits, similarity)
-
-    found = rows.mapInArrow(meet, NEAREST)
+        for table in _runs(batches):
+            yield from _nearest(table, words, max_bits, similarity)
+
+    found = _lists(nodes, index, words).mapInArrow(meet, NEAREST)
     return found.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near")).select("a", "near.b")
 
 
+def between(nodes: DataFrame, index: simhash.Index, planes: int, similarity: float) -> DataFrame:
+    """(a, b): all candidates of different groups, each in the first list that the two share."""
+    pairs = np.array(index.positions)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            place, ids, group = (table.column(c).to_numpy() for c in ("place", "id", "group"))
+            key, size = place >> 32, place & 0xFFFFFFFF
+            prints = [table.column(f"w{w}").to_numpy().view(np.uint64) for w in range(planes)]
+            end = np.searchsorted(key, key, "right")
+            step, left = 1, np.arange(len(key))
+            while len(left := left[left + step < end[left]]):
+                bits = _differing(prints, left, left + step, group, size, index.max_bits, similarity)
+                i = left[bits <= index.max_bits]
+                if len(i):
+                    same = np.stack([p[i] ^ p[i + step] for p in prints], axis=1).view(np.uint8) == 0
+                    first = (same[:, pairs[:, 0]] & same[:, pairs[:, 1]]).argmax(axis=1)
+                    i = i[first == key[i] >> 16]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[i + step])], ["a", "b"])
+                step += 1
+
+    return _lists(nodes, index, planes).mapInArrow(meet, "a bigint, b bigint")
+
+
 def _nearest(table: pa.Table, words: int, max_bits: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    key, ids, group, size = (table.column(c).to_numpy() for c in ("key", "id", "group", "size"))
+    place, ids = table.column("place").to_numpy(), table.column("id").to_numpy()
+    key, size = place >> 32, place & 0xFFFFFFFF
+    group = table.column("group").to_numpy() if "group" in table.column_names else ids
     prints = [table.column(f"w{w}").to_numpy().view(np.uint64) for w in range(words)]
     edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
     best, partner = np.full(len(key), max_bits + 1, np.int64), np.zeros(len(key), np.int64)
@@ -174,11 +230,11 @@ def near_copies(docs: DataFrame, shingle: int, similarity: float, planes: int) -
     head = min(HEAD, planes)
     share = simhash.differing_share(similarity)
     most = int(np.ceil(64 * head * share + HEAD_ERRORS * np.sqrt(64 * head * share * (1 - share))))
-    pairs = staged(nearest(nodes.withColumn("group", F.col("id")), index, head, most, similarity), "nearest")
+    pairs = staged(nearest(nodes, index, head, most, similarity), "nearest")
     met = pairs.select(F.col("a").alias("id")).distinct()
     grouped = staged(nodes.join(met, "id", "left_semi").withColumn("group", F.col("id")), "met-nodes")
     texts = docs.select("text", F.xxhash64("text").alias("digest")).join(
-        grouped.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
+        bounded(grouped.select("digest")), "digest", "left_semi").dropDuplicates(["digest"])
     sets = staged(texts.select(shingle_set(F.col("text"), shingle).alias("_s")).select("_s.*"), "shingle-sets")
     links = staged(verified(pairs, sets, similarity), "links")
     for _ in range(ROUNDS):
@@ -186,13 +242,18 @@ def near_copies(docs: DataFrame, shingle: int, similarity: float, planes: int) -
         pairs = nearest(grouped, index, planes, index.max_bits, similarity)
         links = links.unionByName(staged(verified(pairs, sets, similarity), "links"))
     grouped = _regrouped(grouped, links)
-    between = simhash.link_pairs(grouped, index, planes, similarity).select("a", "b")
-    links = links.unionByName(staged(verified(between, sets, similarity), "links"))
+    pairs = between(grouped, index, planes, similarity)
+    links = links.unionByName(staged(verified(pairs, sets, similarity), "links"))
     joined = staged(components(links), "near-copies")
     return rows.select("doc_id", "node").join(joined, "node", "left").select(
         "doc_id", "node", F.coalesce("component", "node").alias("component"))
 
 
+def bounded(keys: DataFrame) -> DataFrame:
+    """A written table of narrow keys, to be broadcast if it is small: texts joined with it then stay where they are."""
+    return F.broadcast(keys) if keys.count() * (2 * ROW_OVERHEAD) <= BROADCAST_BYTES else keys
+
+
 def _regrouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
     joined = components(links)
     return staged(nodes.drop("group").join(joined, F.col("id") == F.col("node"), "left").select(

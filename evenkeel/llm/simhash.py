@@ -30,6 +30,8 @@ from evenkeel.sources.staging import staged
 HASH_SEED = 42
 # Shingles whose hashes are counted at a time.
 BLOCK = 1 << 15
+# Standard errors of differing bits that candidates are allowed.
+ERRORS = 4
 # Parts of a list that have a star each.
 STAR_PARTS = 16
 _PLANE = np.uint64(0x9E3779B97F4A7C15)
@@ -59,22 +61,21 @@ def differing_share(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def banded_index(similarity: float, planes: int, min_shared: int = 7) -> Index:
-    """Pairs of shingle sets with a Jaccard similarity of `similarity` or more, by long fingerprints.
+def banded_index(similarity: float, planes: int, min_shared: int = 2) -> Index:
+    """Candidates for shingle sets with a Jaccard similarity of `similarity` or more, by long fingerprints.
 
     A Jaccard similarity of J between sets of like size is a cosine of
     2J / (1 + J), and the share of differing bits estimates its angle over pi.
-    A standard error of that estimate is allowed for. Lists are of two bytes:
-    neighbours, and some that lie half a fingerprint apart. With eight planes a
-    pair at J = 0.8 meets in some list in 19 of 20 cases, at 0.9 in all but one
-    of ten thousand.
+    `ERRORS` standard errors of that estimate are allowed for, so candidates
+    are to be decided by their sets. Lists are of two bytes: each byte stands
+    with seven others, 224 lists at eight planes.
     """
     size = 8 * planes
     share = differing_share(similarity)
     error = np.sqrt(share * (1 - share) * size * 8)
-    near = tuple((i, i + 1) for i in range(0, size, 2))
-    far = tuple((i, i + size // 2) for i in range(size // 4))
-    return Index(near + far, min_shared, int(round(share * size * 8 + error)))
+    ring = tuple((i, (i + step) % size) for step in (1, 7, 19) for i in range(size))
+    far = tuple((i, i + size // 2) for i in range(size // 2))
+    return Index(ring + far, min_shared, int(np.ceil(share * size * 8 + ERRORS * error)))
 
 
 def fingerprint(text: Column, shingle: int, planes: int = 1) -> Column:
@@ -212,24 +213,21 @@ def star_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
     return first.filter((F.col("a") != F.col("b")) & _near(index, planes)).select("a", "b")
 
 
-def link_pairs(distinct: DataFrame, index: Index, planes: int = 1, similarity: float = 0) -> DataFrame:
+def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
     """(a, b): ids of fingerprints that differ in at most `max_bits` bits, each pair once.
 
     `distinct` has (id, fp), one row per fingerprint, and may have `group`: links
-    inside a group, known to be tied together already, are then left out. With a
-    `similarity` it has `size` too: sets of sizes that rule it out are no pair. The
+    inside a group, known to be tied together already, are then left out. The
     join is on the list and its key alone, so Spark can split a large list
     between tasks. Tally and check are part of the join, which emits links
     only, in the first list that a pair shares.
     """
     grouped = distinct if "group" in distinct.columns else distinct.withColumn("group", F.col("id"))
-    sized = grouped if similarity else grouped.withColumn("size", F.lit(0))
-    rows = _listed(sized.select("id", "fp", "group", "size"), index)
-    one, two = (rows.select("list", "key", F.col("id").alias(x), F.col("fp").alias(f"f{x}"),
-                            F.col("group").alias(f"g{x}"), F.col("size").alias(f"s{x}")) for x in "ab")
+    rows = _listed(grouped.select("id", "fp", "group"), index)
+    one = rows.select("list", "key", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("group").alias("ga"))
+    two = rows.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("group").alias("gb"))
     same = one.join(two, ["list", "key"]).filter(
         (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb"))
-        & (F.least("sa", "sb") >= similarity * F.greatest("sa", "sb") - 1e-9)
         & _near(index, planes) & ~_met_before(index, "fa", "fb"))
     return same.select("a", "b", "ga", "gb")
 
