@@ -41,21 +41,33 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies.
+    """The document with the smallest doc_id of each group of near copies, or one without doc_id if none has.
 
-    Rows that repeat a doc_id count as one document; those without one stay.
+    Rows that share a doc_id are documents of their own if their shingles differ.
     """
     tables.ready(spark)
     docs = docs.select(*COLUMNS)
-    found = near_copies.near_copies(docs.filter("doc_id is not null"), SHINGLE, SIMILARITY, PLANES)
-    kept = staged(found.groupBy("component").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(),
-                  "kept-documents")
-    rows = docs.join(kept, "doc_id", "left_semi")
-    repeated = staged(rows.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    if not repeated.isEmpty():
-        single = rows.join(repeated, "doc_id", "left_anti")
-        rows = single.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return rows.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
+    found = staged(near_copies.near_copies(docs, SHINGLE, SIMILARITY, PLANES), "near-copies")
+    # Many rows of a document with one set of shingles are one here: (doc_id, node).
+    texts = staged(found.groupBy("component", "doc_id", "node").agg(F.count(F.lit(1)).alias("rows")), "documents")
+    first = texts.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
+    marked = staged(texts.join(first, "component").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
+        .select("doc_id", "node", "rows", "kept"), "marked-documents")
+    # A doc_id that stands for one row tells whether it goes; for others the texts tell.
+    shared = staged(marked.filter("doc_id is not null").groupBy("doc_id").agg(F.sum("rows").alias("rows"))
+                    .filter("rows > 1").select("doc_id"), "shared-ids")
+    gone = staged(marked.filter("not kept and doc_id is not null").select("doc_id")
+                  .unionByName(shared).distinct(), "gone-documents")
+    alone = docs.filter("doc_id is not null").join(near_copies.bounded(gone), "doc_id", "left_anti")
+    unclear = docs.filter("doc_id is null").unionByName(docs.join(near_copies.bounded(shared), "doc_id", "left_semi")
+                                                        .select(*COLUMNS))
+    kept = marked.filter("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_kept"))
+    node = near_copies.sketch(F.col("text"), SHINGLE, PLANES)["node"]
+    one = unclear.withColumn("_node", node).dropDuplicates(["doc_id", "_node"])
+    same = one["doc_id"].eqNullSafe(kept["_id"]) & (one["_node"] == kept["_kept"])
+    return alone.select(*COLUMNS).unionByName(one.join(kept, same, "left_semi").select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,15 @@ def test_group_equals_brute_force(spark):
         least.setdefault(found[i], i)
     wrong = sum(least[found[i]] != top(i) for i in range(len(texts)))
     assert 1 < len({top(i) for i in range(len(texts))}) < len(texts) and wrong == 0
+
+
+def test_rows_without_or_with_one_doc_id(spark):
+    rng = random.Random(10)
+    (a, near), other, third, lonely = planted(rng, 0.9), *(planted(rng, 0)[0] for _ in range(3))
+    # 5 stands for a near copy of 1 and for a text of its own; 6 for two texts; others have no doc_id.
+    rows = [(1, a), (5, near), (5, other), (5, other), (6, third), (6, lonely), (None, a), (None, third),
+            (None, planted(rng, 0)[0] + " end")]
+    rows += [rows[-1]] * 2
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], tables.DOCUMENTS)
+    kept = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert kept == sorted([(1, a), (5, other), (6, third), (6, lonely), (0, rows[-1][1])])
