@@ -179,7 +179,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     moves = None
     level, waiting = 2, loose.count()
     while waiting > 1:
-        groups = min(-(-groups // FAN), -(-waiting // BLOCK))
+        # Bins that do not merge stay spread: a group gets FAN blocks at most, and the tree ends there.
+        before, least = groups, -(-waiting // (FAN * BLOCK))
+        groups = max(min(-(-groups // FAN), -(-waiting // BLOCK)), least)
         merged = staged(_packed(loose.repartition(groups, F.xxhash64("item")), capacity, level), "merged")
         step = merged.select("item", F.col("bin").alias("to"), F.col("offset").alias("shift"))
         if moves is None:
@@ -193,7 +195,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             F.col("bin").alias("item"), F.col("fill").alias("length"))
         level += 1
         waiting = loose.count()
-        if groups == 1:
+        if groups == 1 or groups >= before:
             break
     if moves is None:
         return placed.select(*names, F.col("bin").alias("sequence_id"), "offset")
