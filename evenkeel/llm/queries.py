@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import (
     charmodel,
+    codes,
+    collisions,
     embeddings,
     imatch,
     language,
     licenses,
     mixing,
+    negatives,
     oracles,
     packing,
     quality,
@@ -23,6 +26,7 @@ from evenkeel.llm import (
     tables,
     toxicity,
 )
+from evenkeel.llm import vectors as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,4 +143,22 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(pairs, ";").alias("headers"), F.md5("payload").alias("payload_md5"))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(V.embeddings(spark, sf_dir))
+
+
+@query
+def op12_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = V.embeddings(spark, sf_dir)
+    return collisions.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    vectors = V.embeddings(spark, sf_dir).withColumn("label", moved)
+    return negatives.hard_negatives(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 ORACLES.update(oracles.SQL)
