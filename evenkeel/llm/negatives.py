@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import collections
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from evenkeel.sources.staging import staged
 
 POSITIVES, NEGATIVES = 5, 3
 # Rows of a leaf, nodes of a node, integers of a tree, rows of a tree at most, anchors of a block, roots of a block.
-LEAF, FAN, TREE_VALUES, TREE_ROWS, ANCHORS, ROOTS = 16, 16, 1 << 18, 4_096, 512, 256
+LEAF, FAN, TREE_VALUES, TREE_ROWS, ANCHORS, ROOTS = 128, 16, 1 << 18, 4_096, 512, 256
 # Vectors that the cuts are fitted on.
 SAMPLE = 50_000
 # Beyond this, sums of products are not exact in doubles.
@@ -268,11 +268,16 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers: by doubles where those hold the sums, else by integers."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < EXACT:
+    if _exact(a, b):
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
+def _exact(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether doubles hold all inner products of rows of both."""
+    return not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < EXACT
+
+
 def intervals(anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(least, largest) score of each anchor in each box: a component's sign says which edge is which."""
     up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
@@ -322,41 +327,46 @@ def _boxes(low: np.ndarray, high: np.ndarray, size: int) -> tuple[np.ndarray, np
     return np.minimum.reduceat(low, starts, axis=0), np.maximum.reduceat(high, starts, axis=0)
 
 
-def best_first(levels: list[tuple[np.ndarray, np.ndarray]], score, ids: np.ndarray, windows: list[tuple[int, int]],
-               k: int) -> list[list[tuple[int, int]]]:
+def best_first(levels: list[tuple[list, list]], score: Callable[[int, int], np.ndarray], ids: list[int],
+               windows: list[tuple[int, int]], k: int) -> list[list[tuple[int, int]]]:
     """For each window of scores its best k rows as (-score, id).
 
-    `levels` holds an anchor's (least, largest) score of every box, and
-    `score(first, last)` the scores of rows.
+    `levels` holds an anchor's least and largest scores of the boxes, leaves
+    first; `score(first, last)` gives the scores of rows.
     """
     kept: list[list[tuple[int, int]]] = [[] for _ in windows]
+    # What a row needs to be kept: the window's edge, later the worst score kept; a tie may be, by its id.
+    needs, edges = [lo for lo, _ in windows], [hi for _, hi in windows]
+    floor, ceiling = np.array(needs)[:, None], np.array(edges)[:, None]
 
-    def open_for(least: int, largest: int) -> bool:
-        """Whether some window may still take a row of this box; a tie with the worst row kept may, by its id."""
-        return any(largest >= lo and least <= hi and (len(best) < k or min(largest, hi) >= -best[-1][0])
-                   for (lo, hi), best in zip(windows, kept, strict=True))
+    def wanted(least: int, largest: int) -> bool:
+        return any(largest >= need and least <= edge and need <= edge for need, edge in zip(needs, edges, strict=True))
 
     top = len(levels) - 1
-    queue = [(-int(levels[top][1][i]), top, i) for i in range(len(levels[top][1]))]
+    queue = [(-largest, top, node) for node, largest in enumerate(levels[top][1])]
     heapq.heapify(queue)
     while queue:
         _, level, node = heapq.heappop(queue)
-        if not open_for(levels[level][0][node], levels[level][1][node]):
+        if not wanted(levels[level][0][node], levels[level][1][node]):
             continue
         if level:
             least, largest = levels[level - 1]
             for child in range(node * FAN, min((node + 1) * FAN, len(largest))):
-                if open_for(least[child], largest[child]):
-                    heapq.heappush(queue, (-int(largest[child]), level - 1, child))
+                if wanted(least[child], largest[child]):
+                    heapq.heappush(queue, (-largest[child], level - 1, child))
+            continue
+        found = score(node * LEAF, (node + 1) * LEAF)
+        inside = (found >= floor) & (found <= ceiling)
+        if not inside.any():
             continue
-        first = node * LEAF
-        for place, found in enumerate(score(first, first + LEAF), first):
-            row = (-found, ids[place])
-            for (lo, hi), best in zip(windows, kept, strict=True):
-                if lo <= found <= hi and (len(best) < k or row < best[-1]):
-                    best.append(row)
-                    best.sort()
-                    del best[k:]
+        for window, place in np.argwhere(inside).tolist():
+            best, row = kept[window], (-int(found[place]), ids[node * LEAF + place])
+            if len(best) < k or row < best[-1]:
+                best.append(row)
+                best.sort()
+                del best[k:]
+                if len(best) == k:
+                    needs[window] = floor[window, 0] = max(needs[window], -best[-1][0])
     return kept
 
 
@@ -368,12 +378,14 @@ def _search(left: pa.Table, right: pa.Table, k: int, same: bool) -> pa.Table:
         x = np.frombuffer(left.column("vectors")[0].as_py(), np.int32) if anchors.shape[1] else np.zeros(0, np.int32)
         x = x.reshape(len(ids), anchors.shape[1]).astype(np.int64)
         bounds = [intervals(anchors, low, high) for low, high in Tree(x).levels]
+        kind = np.float64 if _exact(anchors, x) else np.int64
+        rows_of, anchors_of = x.astype(kind), anchors.astype(kind)
         own = collections.Counter(ids) if same else {}
         rows = zip(*(right.column(c).to_pylist() for c in ("vec_id", "anchor", "least", "most")), strict=True)
         for i, (name, key, least, most) in enumerate(rows):
             levels = [(lo[i].tolist(), hi[i].tolist()) for lo, hi in bounds]
             # The anchor's own rows are no positives: one more is kept for each.
-            found = best_first(levels, lambda a, b, i=i: (x[a:b] @ anchors[i]).tolist(), ids,
+            found = best_first(levels, lambda a, b, i=i: rows_of[a:b] @ anchors_of[i], ids,
                                list(zip(least, most, strict=True)), k + own.get(name, 0))
             for window, best in enumerate(found):
                 rows_kept = [(-score, row) for score, row in best if not (same and row == name)][:k]
