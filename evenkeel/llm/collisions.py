@@ -3,21 +3,22 @@
 Vectors are dealt to segments of bounded size. In a segment each vector gets a
 further component that brings all to one length, so that the largest inner
 product is the smallest distance. Each of `LINES` random lines is a hash: its
-sorted array holds the segment's projections. A query's window on a line is
-centred on its own projection and widened round by round (virtual rehashing)
-with only the two new flanks counted. A vector met in `needed` windows is
-verified with its exact product.
+sorted array holds the segment's projections, and a query's window on it is
+centred on the query's own projection. First windows hold a share of the
+segment; the vectors met most often are verified with their exact products, and
+the k-th best of them tells how far the k nearest can be. The windows are widened
+to that half width (virtual rehashing: only the new flanks are counted), and
+every vector met in `needed` windows is verified.
 
 A vector within distance R falls in a window of half width R on one line with
-probability 0.683. The rounds end when the k-th best verified vector is no
-farther than the half width, so each vector that belongs to the k nearest has
-been met often enough but for a chance of about one in a hundred, whatever the
-data are. Windows that cover the segment verify all of it.
+probability 0.683. So a vector that belongs to the k nearest is missed with
+a chance of one in twenty if it is as far as the windows reach, and hardly ever
+if it is nearer, whatever the data are. With fewer than k vectors at first the
+windows cover the segment and all of it is verified.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,15 +29,15 @@ from pyspark.sql import functions as F
 from evenkeel.llm.vectors import finite, matrix
 from evenkeel.sources.staging import staged
 
-NEAREST, LINES, SEED = 20, 48, 11
+NEAREST, LINES, SEED = 20, 32, 11
 # Vectors of a segment and queries of a block, as dealt by hash.
 SEGMENT, BLOCK = 8_192, 1_024
 # Probability of a collision on one line at the window's half width; standard deviations below the mean that are let in.
-COLLISION, ROOM = 0.6826894921370859, 2.33
-# Factor by which the windows widen; share of a segment that the first ones hold, in vectors at least.
-WIDER, FIRST, FIRST_ROWS = 1.25, 1 / 8, 32
-# Windows that are located at a time.
-STEPS = 8
+COLLISION, ROOM = 0.6826894921370859, 1.65
+# Share of a segment that the first windows hold, in vectors at least; the most met that are verified, times k.
+FIRST, FIRST_ROWS, PROBES = 1 / 16, 32, 4
+# Bound of a product's rounding, as a share of the lengths.
+ROUNDING = 1e-12
 
 FOUND = "query_id bigint, query bigint, vec_id bigint, score double"
 
@@ -108,7 +109,7 @@ class Segment:
         # In units of the longest vector.
         projected = ((x / scale) @ lines[:-1] + rest[:, None] * lines[-1]).T / length
         order = np.argsort(projected, axis=1, kind="stable")
-        return cls(ids, x, length * scale, order.astype(np.int32), np.take_along_axis(projected, order, axis=1))
+        return cls(ids, x, length * scale, order, np.take_along_axis(projected, order, axis=1))
 
 
 def random_lines(dim: int, lines: int) -> np.ndarray:
@@ -124,53 +125,42 @@ def needed(lines: int) -> int:
 def nearest_in(segment: Segment, query: np.ndarray, own: int, projected: np.ndarray,
                k: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, scores) of the k largest inner products found in a segment, best first."""
-    n, lines = segment.values.shape[1], len(segment.values)
-    least, size = needed(lines), float(np.linalg.norm(query))
-    counts, scores = np.zeros(n, np.int64), np.full(n, -np.inf)
-    unseen = np.ones(n, bool)
-    unseen[segment.ids == own] = False
-    if not unseen.any():
-        return np.zeros(0, np.int64), np.zeros(0)
-    middle = [int(v.searchsorted(p)) for v, p in zip(segment.values, projected, strict=True)]
-    low = high = np.array(middle)
-    for half, starts, ends in _windows(segment, projected, _first_width(segment, projected, middle)):
-        flanks = [segment.order[i, starts[i]:low[i]] for i in np.flatnonzero(starts < low)]
-        flanks += [segment.order[i, high[i]:ends[i]] for i in np.flatnonzero(ends > high)]
-        low, high = starts, ends
-        if flanks:
-            counts += np.bincount(np.concatenate(flanks), minlength=n)
-        fresh = np.flatnonzero((counts >= least) & unseen)
+    n = segment.values.shape[1]
+    least, size = needed(len(segment.values)), float(np.linalg.norm(query))
+    unseen = segment.ids != own
+    verified, scores, half = np.zeros(0, np.int64), np.zeros(0), np.inf
+
+    def verify(fresh: np.ndarray) -> None:
+        """Keep what may be among the best, and learn how far the k-th of it is."""
+        nonlocal verified, scores, half
         unseen[fresh] = False
-        scores[fresh] = (segment.x[fresh] * query).sum(axis=1)
-        verified = np.flatnonzero(scores > -np.inf)
+        verified, scores = np.append(verified, fresh), np.append(scores, segment.x[fresh] @ query)
         if len(verified) >= k:
-            kth = np.partition(scores[verified], -k)[-k]
-            # The squared distance of query and lengthened vector, in units of the longest.
-            if 2 - 2 * kth / (size * segment.length) <= half * half:
-                break
-        if (low == 0).all() and (high == n).all():
-            break
-    best = verified[np.lexsort((segment.ids[verified], -scores[verified]))][:k]
-    return best, scores[best]
-
-
-def _windows(segment: Segment, projected: np.ndarray, half: float) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-    """Half width, starts and ends of the windows, each round wider, until they cover all."""
-    while True:
-        widths = half * WIDER ** np.arange(STEPS)
-        starts = np.array([v.searchsorted(p - widths, "left") for v, p in zip(segment.values, projected, strict=True)])
-        ends = np.array([v.searchsorted(p + widths, "right") for v, p in zip(segment.values, projected, strict=True)])
-        yield from zip(widths.tolist(), starts.T, ends.T, strict=True)
-        half = widths[-1] * WIDER
-
-
-def _first_width(segment: Segment, projected: np.ndarray, middle: list[int]) -> float:
-    """Half width at which a middling line's window holds the first rows."""
-    n = segment.values.shape[1]
-    rows = min(n - 1, max(FIRST_ROWS, int(n * FIRST)))
-    ends = [(min(n - 1, m + rows // 2), max(0, m - rows // 2)) for m in middle]
-    widths = [max(v[b] - p, p - v[a]) for v, p, (b, a) in zip(segment.values, projected, ends, strict=True)]
-    return max(float(np.median(widths)), 1e-6)
+            # With room for the products' rounding.
+            worst = np.partition(scores, -k)[-k] - ROUNDING * size * segment.length
+            close = scores >= worst
+            verified, scores = verified[close], scores[close]
+            # Distance of query and lengthened vector, in units of the longest.
+            half = np.sqrt(max(0.0, 2 - 2 * worst / (size * segment.length)))
+
+    middle = np.array([v.searchsorted(p) for v, p in zip(segment.values, projected, strict=True)])
+    reach = max(FIRST_ROWS, int(n * FIRST)) // 2
+    low, high = np.maximum(middle - reach, 0), np.minimum(middle + reach, n)
+    counts = np.bincount(np.concatenate([o[a:b] for o, a, b in zip(segment.order, low, high, strict=True)]), minlength=n)
+    # The vectors met most often tell how wide the windows have to be.
+    probes = np.argsort(-counts, kind="stable")[:PROBES * k]
+    verify(probes[unseen[probes]])
+    starts = [v.searchsorted(p - half, "left") for v, p in zip(segment.values, projected, strict=True)]
+    ends = [v.searchsorted(p + half, "right") for v, p in zip(segment.values, projected, strict=True)]
+    lines = list(zip(segment.order, starts, low, high, ends, strict=True))
+    flanks = [o[a:b] for o, a, b, _, _ in lines if a < b] + [o[a:b] for o, _, _, a, b in lines if a < b]
+    if flanks:
+        counts += np.bincount(np.concatenate(flanks), minlength=n)
+    verify(np.flatnonzero((counts >= least) & unseen))
+    # A product that does not depend on where the vector stands: equal vectors have equal scores.
+    scores = (segment.x[verified] * query).sum(axis=1)
+    best = np.lexsort((segment.ids[verified], -scores))[:k]
+    return verified[best], scores[best]
 
 
 def _find(left: pa.Table, right: pa.Table, k: int, lines: int) -> pa.Table:

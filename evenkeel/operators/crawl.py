@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from evenkeel.functions import links as L
 from evenkeel.functions import patterns as P
 from evenkeel.functions.order import digest_bucket, seeded_order
-from evenkeel.operators.keys import require_clean_audit
-from evenkeel.operators.ranking import RANK_DIGITS, queue_positions
+from evenkeel.operators.keys import require_clean_audit, require_reproduced_keys
+from evenkeel.operators.ranking import RANK_DIGITS, first_positions, queue_positions
 from evenkeel.sources.staging import staged
 
 RETRY_BATCH_SIZE = 10_000
@@ -24,18 +24,23 @@ STATES = ("run string, url string, saved boolean, failed_once boolean, failed_tw
 
 def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
                limit: int | None = None, seed: int = 0,
-               audit: DataFrame | None = None) -> DataFrame:
+               audit: DataFrame | None = None, check_keys: bool = True) -> DataFrame:
     """Class of each link: `cached`, `known_failed`, `pending` or `backlog`.
 
     `links` has distinct (link, link_hash), `listing` the `file_name` of every
     file in the cache, `failed` the `url` of permanent failures. `limit` is the
     wanted size of the cache: all its files count against it, with or without
-    a link. The first links in seeded order (`crawl_order`) are pending. With
-    an `audit` of the stored keys, a bad key stops the plan.
+    a link. The first links in seeded order (`crawl_order`) are pending.
 
-    With a limit, jobs run when called: the classes are written once, and the
-    budget is cut from counted buckets.
+    A key that its link does not give stops the plan: it would name files that
+    no later run finds. `check_keys` turns this guard off; an `audit` of keys
+    that are stored elsewhere adds another.
+
+    Jobs run when called: the guard, and with a limit the classes, which are
+    written once, and the budget, which is cut from counted buckets.
     """
+    if check_keys:
+        require_reproduced_keys(links)
     if audit is not None:
         require_clean_audit(audit)
     cached = (listing.select(L.file_stem(F.col("file_name")).alias("link_hash")).distinct()
@@ -169,6 +174,30 @@ def retry_batches(outcomes: DataFrame, size: int = RETRY_BATCH_SIZE, seed: int =
     return placed.withColumn("retry_batch", F.floor((F.col("position") - 1) / size)).drop("position")
 
 
+def failure_times(log: DataFrame) -> DataFrame:
+    """(run, url, failed_at) of the URLs whose retry failed, at that moment."""
+    twice = (F.col("kind") == "failed") & (F.col("attempt") == 2)
+    return log.filter(twice).groupBy("run", "url").agg(F.min("ts").alias("failed_at"))
+
+
+def backlog_draws(failures: DataFrame, backlog: DataFrame, seed: int = 0) -> DataFrame:
+    """Which backlog link replaces each permanent failure: (run, url, failed_at, position, replacement).
+
+    `failures` has (run, url, failed_at), `backlog` (run, url, crawl_order), a
+    link once in a run. The k-th failure of a run, in the order in which they
+    happened (at one moment in seeded order), draws the k-th link of the run's
+    backlog in crawl order. A failure behind the backlog's end is a dead end:
+    its `replacement` is null. Both sides are numbered by counted buckets, so a
+    run may hold any share of all rows, and only as much of the backlog is
+    moved as is drawn. Rows without run are left out. Runs jobs when called.
+    """
+    known = failures.filter(F.col("run").isNotNull()).select("run", "url", "failed_at")
+    placed = staged(queue_positions(known, "failed_at", "url", seed, "run"), "failures")
+    wanted = placed.groupBy("run").agg(F.max("position").alias("wanted"))
+    drawn = first_positions(backlog.select("run", "url", "crawl_order"), "crawl_order", "url", "run", wanted)
+    return placed.join(drawn.select("run", "position", F.col("url").alias("replacement")), ["run", "position"], "left")
+
+
 def permanent_failures(outcomes: DataFrame) -> DataFrame:
     """URLs for the failed log, which later plans skip."""
     return outcomes.filter(F.col("outcome") == "failed_permanently").select("url")

@@ -38,8 +38,27 @@ def require_clean_audit(audit: DataFrame) -> None:
                             f"recomputed {example['link_hash_recomputed']}")
 
 
-def rename_map(links: DataFrame) -> DataFrame:
-    """Legacy file name to new file name, one row per link."""
+def require_reproduced_keys(links: DataFrame) -> None:
+    """Abort unless each `link_hash` is what its `link` gives: one pass, one row to the driver."""
+    again = L.link_hash(F.col("link"))
+    bad = links.filter(F.col("link_hash").isNull() | (F.col("link_hash") != again)).filter(F.col("link").isNotNull())
+    found = bad.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("link", "link_hash", again.alias("again"))).alias("one")
+                    ).first()
+    if found["n"]:
+        one = found["one"]
+        raise KeyAuditError(f"{found['n']} stored keys are not reproduced, e.g. {one['link']!r}: "
+                            f"stored {one['link_hash']}, recomputed {one['again']}")
+
+
+def rename_map(links: DataFrame, check_keys: bool = True) -> DataFrame:
+    """Legacy file name to new file name, one row per link.
+
+    A key that its link does not give stops it, unless `check_keys` is off:
+    pages must not be renamed to names that no later run finds. Runs a job
+    when called.
+    """
+    if check_keys:
+        require_reproduced_keys(links)
     return links.select(L.legacy_file(F.col("link")).alias("old_name"),
                         L.page_file(F.col("link_hash")).alias("new_name"))
 
