@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.sources.staging import BROADCAST_BYTES, key_bytes, staged_with_facts
+from evenkeel.sources.staging import BROADCAST_BYTES, ROW_OVERHEAD, key_bytes, staged_with_facts
 
 EVAL_WEBSITES = 16
 # A website's rows are spread over portions of about this size when its count is joined on.
@@ -83,17 +83,43 @@ def deduplicate(df: DataFrame, key: str = "link", response: str = "response",
                 group: str = "website", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per `response`: the one whose website is rarest.
 
-    Ties go by website, key and then the other columns. Rows without website
-    take no part. Each task reduces its copies before the shuffle, so
-    a response that fills a third of the rows is one row per task.
+    Ties go by website, key and a digest of the other columns. Rows without
+    website take no part; null responses are copies of each other. Copies are
+    settled on digests and keys alone: those of repeated responses are written,
+    and the rows that lose are left out where they are read, so a text is
+    neither sorted nor aggregated. Only rows that are repeated whole are brought
+    together. Runs jobs when called.
     """
+    marked = _marked(df, key, response, group, broadcast_bytes)
+    repeated, facts = staged_with_facts(
+        repeated_responses(marked, key, group), "repeated-responses", F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.max("copies"), F.lit(0)).alias("copies"))
+    if facts["rows"] * 2 * ROW_OVERHEAD <= broadcast_bytes:
+        repeated = F.broadcast(repeated)
+    met = marked.join(repeated, "_same", "left")
+    first = (F.col("n") == F.col("first.n")) & (F.col(group) == F.col(f"first.{group}")) & F.col(key).eqNullSafe(
+        F.col(f"first.{key}")) & (F.col("_rest") == F.col("first._rest"))
+    kept = met.filter(F.col("first").isNull() | first)
+    once = kept.filter(F.coalesce("copies", F.lit(1)) == 1).select(*df.columns)
+    if facts["copies"] <= 1:
+        return once
+    return once.unionByName(kept.filter("copies > 1").dropDuplicates(["_same"]).select(*df.columns))
+
+
+def repeated_responses(marked: DataFrame, key: str, group: str) -> DataFrame:
+    """(_same, first, copies): the first of each repeated response, and how many rows are just like it."""
+    same = marked.select("_same", F.struct("n", group, key, "_rest").alias("row"))
+    rows = same.groupBy("_same", "row").agg(F.count(F.lit(1)).alias("copies"))
+    found = rows.groupBy("_same").agg(F.min(F.struct("row", "copies")).alias("first"), F.sum("copies").alias("rows"))
+    return found.filter("rows > 1").select("_same", F.col("first.row").alias("first"), F.col("first.copies").alias("copies"))
+
+
+def _marked(df: DataFrame, key: str, response: str, group: str, broadcast_bytes: int) -> DataFrame:
+    """Rows with the website's count, a digest of the response and one of the columns beside the keys."""
     counted = with_website_counts(df, key, group, broadcast_bytes)
     rest = [c for c in df.columns if c not in (group, key)]
-    # Null responses form one group.
-    same = F.sha2(F.col(response), 256)
-    first = F.min(F.struct("n", group, key, *rest)).alias("row")
-    return counted.groupBy(same.alias("_same")).agg(first).select(*[F.col(f"row.{c}").alias(c)
-                                                                    for c in df.columns])
+    same = F.coalesce(F.sha2(F.col(response), 256), F.lit(""))
+    return counted.withColumn("_same", same).withColumn("_rest", F.xxhash64(*rest))
 
 
 def split_report(before: DataFrame, after: DataFrame, train: Column | None = None) -> DataFrame:

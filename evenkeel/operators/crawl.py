@@ -14,17 +14,20 @@ from evenkeel.functions import links as L
 from evenkeel.functions import patterns as P
 from evenkeel.functions.order import digest_bucket, seeded_order
 from evenkeel.operators.keys import require_clean_audit, require_reproduced_keys
+from evenkeel.operators.membership import KeyFilter, key_filter, with_maybe
 from evenkeel.operators.ranking import RANK_DIGITS, first_positions, queue_positions
 from evenkeel.sources.staging import staged
 
 RETRY_BATCH_SIZE = 10_000
+PROGRESS_EVERY = 100
 STATES = ("run string, url string, saved boolean, failed_once boolean, failed_twice boolean, "
           "retried boolean, first_failure timestamp, attempts int")
 
 
 def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
                limit: int | None = None, seed: int = 0,
-               audit: DataFrame | None = None, check_keys: bool = True) -> DataFrame:
+               audit: DataFrame | None = None, check_keys: bool = True,
+               known: KeyFilter | None = None) -> DataFrame:
     """Class of each link: `cached`, `known_failed`, `pending` or `backlog`.
 
     `links` has distinct (link, link_hash), `listing` the `file_name` of every
@@ -34,7 +37,9 @@ def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
 
     A key that its link does not give stops the plan: it would name files that
     no later run finds. `check_keys` turns this guard off; an `audit` of keys
-    that are stored elsewhere adds another.
+    that are stored elsewhere adds another. `known` is a filter over the keys of
+    all cached and failed links (`known_keys`): links that are surely in neither
+    are then classed where they are read, and only the others are joined.
 
     Jobs run when called: the guard, and with a limit the classes, which are
     written once, and the budget, which is cut from counted buckets.
@@ -43,18 +48,20 @@ def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
         require_reproduced_keys(links)
     if audit is not None:
         require_clean_audit(audit)
-    cached = (listing.select(L.file_stem(F.col("file_name")).alias("link_hash")).distinct()
-              .withColumn("_cached", F.lit(True)))
+    cached = _cached_keys(listing).distinct().withColumn("_cached", F.lit(True))
     # By link hash as well: both joins share the links' partitioning.
-    logged = F.substring(F.col("url"), len(P.FETCH_SCHEME) + 1, 2**31 - 1)
-    dead = (failed.filter(F.col("url").startswith(P.FETCH_SCHEME))
-            .select(L.link_hash(logged).alias("link_hash")).distinct()
-            .withColumn("_failed", F.lit(True)))
-    known = (links.select("link", "link_hash").join(cached, "link_hash", "left")
-             .join(dead, "link_hash", "left"))
+    dead = _failed_keys(failed).distinct().withColumn("_failed", F.lit(True))
+    asked, fresh = links.select("link", "link_hash"), None
+    if known is not None:
+        marked = with_maybe(asked, known, "link_hash", "_maybe")
+        asked = marked.filter("_maybe").drop("_maybe")
+        fresh = marked.filter("not _maybe").select("link", "link_hash", F.lit("pending").alias("status"))
     status = (F.when(F.col("_cached"), "cached").when(F.col("_failed"), "known_failed")
               .otherwise("pending"))
-    classed = known.select("link", "link_hash", status.alias("status"))
+    met = asked.join(cached, "link_hash", "left").join(dead, "link_hash", "left")
+    classed = met.select("link", "link_hash", status.alias("status"))
+    if fresh is not None:
+        classed = classed.unionByName(fresh)
     if limit is not None:
         classed = staged(classed, "crawl-plan")
     plan = classed.select("link", "link_hash", L.fetch_url(F.col("link")).alias("url"),
@@ -67,6 +74,20 @@ def crawl_plan(links: DataFrame, listing: DataFrame, failed: DataFrame,
     return plan.withColumn("status", F.when(over, "backlog").otherwise(F.col("status")))
 
 
+def _cached_keys(listing: DataFrame) -> DataFrame:
+    return listing.select(L.file_stem(F.col("file_name")).alias("link_hash"))
+
+
+def _failed_keys(failed: DataFrame) -> DataFrame:
+    logged = F.substring(F.col("url"), len(P.FETCH_SCHEME) + 1, 2**31 - 1)
+    return failed.filter(F.col("url").startswith(P.FETCH_SCHEME)).select(L.link_hash(logged).alias("link_hash"))
+
+
+def known_keys(listing: DataFrame, failed: DataFrame) -> KeyFilter:
+    """A filter over the keys of all cached and failed links, for `crawl_plan`. Runs jobs when called."""
+    return key_filter(_cached_keys(listing).unionByName(_failed_keys(failed)))
+
+
 def _last_of_budget(pending: DataFrame, budget: int) -> str:
     """Digest of the last link within the budget, from counted digest buckets."""
     if budget == 0:
@@ -198,6 +219,26 @@ def backlog_draws(failures: DataFrame, backlog: DataFrame, seed: int = 0) -> Dat
     return placed.join(drawn.select("run", "position", F.col("url").alias("replacement")), ["run", "position"], "left")
 
 
+def progress_marks(log: DataFrame, sizes: DataFrame, every: int = PROGRESS_EVERY, seed: int = 0) -> DataFrame:
+    """A row at each `every`-th saved page of a run: (run, url, ts, saved, remaining).
+
+    `sizes` has (run, pending, backlog). Pages count in the order in which they
+    were saved, at one moment in seeded order. A saved page leaves one link less
+    to visit, and so does a permanent failure behind the backlog's end. Numbered
+    by counted buckets, as a run may be the whole log. Rows without run are left
+    out. Runs jobs when called.
+    """
+    saved = F.col("kind") == "saved"
+    ends = log.filter(F.col("run").isNotNull() & (saved | ((F.col("kind") == "failed") & (F.col("attempt") == 2))))
+    placed = queue_positions(ends.select("run", "url", "ts", "kind"), "ts", "url", seed, "run")
+    pages = placed.filter(saved).withColumnRenamed("position", "_ended")
+    marks = queue_positions(pages, "ts", "url", seed, "run").filter(F.col("position") % every == 0)
+    failed = F.col("_ended") - F.col("position")
+    remaining = F.col("pending") - F.col("position") - F.greatest(failed - F.col("backlog"), F.lit(0))
+    return marks.join(sizes, "run").select("run", "url", "ts", F.col("position").alias("saved"),
+                                           remaining.alias("remaining"))
+
+
 def permanent_failures(outcomes: DataFrame) -> DataFrame:
     """URLs for the failed log, which later plans skip."""
     return outcomes.filter(F.col("outcome") == "failed_permanently").select("url")

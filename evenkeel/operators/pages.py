@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import chat as C
 from evenkeel.functions import text as X
+from evenkeel.operators.membership import KeyFilter, members
 from evenkeel.sources.staging import BROADCAST_BYTES, staged_with_facts
 
 # Memory of a broadcast key with its place in a hash table.
@@ -18,8 +19,14 @@ def page_table(pages: DataFrame, keep_pipes: bool = False) -> DataFrame:
     return pages.select("link_hash", X.clean_html(F.col("html"), keep_pipes).alias("html_data"))
 
 
-def scraped_only(dataset: DataFrame, pages: DataFrame) -> DataFrame:
-    """Rows of the dataset that have a page; only the page keys are read."""
+def scraped_only(dataset: DataFrame, pages: DataFrame, known: KeyFilter | None = None) -> DataFrame:
+    """Rows of the dataset that have a page; only the page keys are read.
+
+    With a filter over the page keys (`membership.key_filter`), rows that surely
+    have none go before anything is moved.
+    """
+    if known is not None:
+        return members(dataset, pages, known)
     return dataset.join(pages.select("link_hash"), "link_hash", "left_semi")
 
 

@@ -49,6 +49,9 @@ LISTING = """
 listing AS (SELECT link_hash || '.html' AS file_name FROM pl WHERE page_id % 5 = 0
             UNION ALL SELECT 'page-' || page_id || '.html' FROM pl WHERE page_id % 17 = 0)"""
 
+TABLE_LISTING = """
+listing AS (SELECT link_hash || '.html' AS file_name FROM pl WHERE page_id % 5 = 0)"""
+
 PLAN = LINKS + "," + LISTING + """,
 failed AS (SELECT DISTINCT 'http://' || link AS url FROM pl WHERE page_id % 7 = 0),
 classed AS (SELECT link, link_hash, 'http://' || link AS url, md5('0:' || link) AS crawl_order,
@@ -347,12 +350,44 @@ SQL: dict[str, str] = {
     "csv_recipes": """SELECT source AS title, doc_id::VARCHAR AS link, md5('a "b", c' || chr(10) || text) AS directions,
         NULL::VARCHAR AS bad FROM documents
         UNION ALL SELECT 'short', NULL, NULL, 'short,' || doc_id FROM documents""",
-    "page_files": f"WITH {LINKS} SELECT link_hash, md5(html) AS html FROM pl WHERE page_id % 5 != 0",
-    "page_table_roundtrip": f"""WITH {LINKS} SELECT link_hash, md5({CLEAN}) AS html_data FROM pl
-        WHERE page_id % 5 != 0""",
+    "page_files": f"WITH {LINKS} SELECT link_hash, md5(html) AS html FROM pl",
+    "page_table_roundtrip": f"WITH {LINKS} SELECT link_hash, md5({CLEAN}) AS html_data FROM pl",
+    "bucketed_training": f"""WITH {KEYED} SELECT link, website, link_hash, md5(response) AS response,
+               (SELECT any_value(md5({CLEAN})) FROM pl WHERE pl.link_hash = k.link_hash) AS html_data
+        FROM keyed k WHERE link_hash IN (SELECT link_hash FROM pl WHERE page_id % 5 != 0)""",
+    "backlog_draws": f"""WITH {PLAN}, {ATTEMPTS.strip()},
+        failures AS (SELECT day AS run, url || '#' || run AS url, min(ts) AS failed_at FROM a
+                     WHERE kind = 'failed' AND attempt = 2 GROUP BY 1, 2),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY failed_at, md5('0:' || url), url) AS position
+                   FROM failures),
+        waiting AS (SELECT strftime(date '{S.FIRST_DAY}' + ('0x' || substr(crawl_order, 1, 4))::INTEGER % {S.DAYS}, '%Y-%m-%d')
+                               AS run, url, crawl_order FROM plan WHERE status = 'backlog'),
+        drawn AS (SELECT run, url AS replacement, row_number() OVER (PARTITION BY run ORDER BY crawl_order, url) AS position
+                  FROM waiting)
+        SELECT run, url, position, replacement FROM placed LEFT JOIN drawn USING (run, position)""",
+    "progress_marks": f"""WITH {ATTEMPTS},
+        links AS (SELECT *, url || '#' || run AS link FROM a),
+        ends AS (SELECT link, ts, kind = 'saved' AS is_saved FROM links
+                 WHERE kind = 'saved' OR (kind = 'failed' AND attempt = 2)),
+        counted AS (SELECT *, count(*) FILTER (is_saved) OVER w AS saved, count(*) FILTER (NOT is_saved) OVER w AS failed
+                    FROM ends WINDOW w AS (ORDER BY ts, md5('0:' || link), link ROWS UNBOUNDED PRECEDING)),
+        sizes AS (SELECT count(DISTINCT link) AS pending FROM links)
+        SELECT '2024' AS run, link AS url, epoch_us(ts) AS ts, saved,
+               pending - saved - greatest(failed - pending // 10, 0) AS remaining
+        FROM counted, sizes WHERE is_saved AND saved % 100 = 0""",
+    "retry_events": f"""WITH {OUTCOMES} SELECT run, url, CASE outcome WHEN 'retry_pending' THEN 'retry_due' ELSE outcome END
+        AS event, (epoch_us(failed_at) // 1000000)::BIGINT AS first_failure
+        FROM outcomes WHERE outcome IN ('retry_pending', 'failed_permanently')""",
+    "token_stats_merged": f"""SELECT count(*) AS rows, max(n)::BIGINT AS max_tokens, sum(n)::DOUBLE / count(*) AS mean_tokens,
+               true AS median_in_bound
+        FROM (SELECT len(regexp_extract_all(html, {text(P.RX_TOKEN)})) AS n FROM pages)""",
+    "crawl_plan_page_table": f"WITH {PLAN.replace(LISTING, TABLE_LISTING)} SELECT * FROM plan",
     "failed_log_roundtrip": f"""WITH {LINKS}, {OUTCOMES.strip()}
         SELECT url FROM outcomes WHERE outcome = 'failed_permanently'
         UNION SELECT 'http://' || link FROM pl WHERE page_id % 7 = 0""",
     "points_roundtrip": f"WITH {POINTS} {stepped('points')}",
 }
-SQL |= {"prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"]}
+SQL |= {"prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"],
+        "scraped_only_filtered": SQL["scraped_only"], "crawl_rates_compacted": SQL["crawl_rates_stream"],
+        "crawl_outcome_compacted": SQL["crawl_outcome_stream"], "converted_pages": SQL["page_table_roundtrip"],
+        "training_stream": f"SELECT link, link_hash, md5(response) AS response FROM ({SQL['training_table']}) WHERE train"}

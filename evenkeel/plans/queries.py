@@ -15,18 +15,23 @@ from evenkeel.operators import (
     crawl,
     examples,
     keys,
+    membership,
     metrics,
     pages,
     phrases,
     sampling,
+    statistics,
 )
 from evenkeel.operators import links as link_ops
 from evenkeel.plans import pipeline
 from evenkeel.plans import standins as S
-from evenkeel.sources import tables
-from evenkeel.sources.staging import new_path
+from evenkeel.sources import buckets, tables
+from evenkeel.sources import page_files as cache
+from evenkeel.sources.staging import new_path, staged
 from evenkeel.sources.tables import ATTEMPTS
 from evenkeel.streaming import crawl as live
+from evenkeel.streaming import pages as live_pages
+from evenkeel.streaming import retries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,6 +162,26 @@ def scraped_only(spark, d):
     return pages.scraped_only(dataset, S.stored_pages(spark, d))
 
 
+@query
+def scraped_only_filtered(spark, d):
+    dataset = pipeline.keyed_recipes(S.recipes(spark, d)).select("link", "website", "link_hash")
+    stored = S.stored_pages(spark, d)
+    return pages.scraped_only(dataset, stored, membership.key_filter(stored))
+
+
+@query
+def bucketed_training(spark, d):
+    # Pages and targets laid out by key: the join moves neither.
+    name = "bucketed_" + new_path(spark, "t").rsplit("-", 1)[1]
+    path = new_path(spark, "bucketed")
+    stored = pages.page_table(S.stored_pages(spark, d))
+    buckets.write_bucketed(stored, f"{name}_pages", f"{path}-pages", buckets=8)
+    buckets.write_bucketed(pipeline.keyed_recipes(S.recipes(spark, d)), f"{name}_targets", f"{path}-targets", buckets=8)
+    joined_rows = spark.table(f"{name}_targets").join(spark.table(f"{name}_pages").hint("merge"), "link_hash")
+    return joined_rows.select("link", "website", "link_hash", F.md5("response").alias("response"),
+                              F.md5("html_data").alias("html_data"))
+
+
 def _training(spark, d):
     dataset = pipeline.keyed_recipes(S.recipes(spark, d))
     held_out = balance.flag_eval(dataset).withColumn("train", ~F.col("eval")).drop("eval")
@@ -188,6 +213,31 @@ def crawl_plan_report(spark, d):
     return crawl.crawl_plan_report(_plan(spark, d), S.listing(spark, d))
 
 
+@query
+def crawl_plan_page_table(spark, d):
+    # The pages that are there are told by the key column of the page table.
+    path = new_path(spark, "cached-pages")
+    tables.write_page_table(pages.page_table(S.page_links(spark, d).filter("page_id % 5 = 0")), path)
+    links = staged(link_ops.unique_links(S.page_links(spark, d)), "links")
+    cached, failed = tables.page_listing(tables.read_page_table(spark, path)), S.failed_urls(spark, d)
+    half = S.table(spark, d, "pages").count() // 2
+    return crawl.crawl_plan(links, cached, failed, half, known=crawl.known_keys(cached, failed))
+
+
+@query
+def backlog_draws(spark, d):
+    failures = crawl.failure_times(S.daily(S.attempt_log(spark, d)))
+    drawn = crawl.backlog_draws(failures, S.daily_backlog(_plan(spark, d)))
+    return drawn.select("run", "url", "position", "replacement")
+
+
+@query
+def progress_marks(spark, d):
+    log = S.one_crawl(S.attempt_log(spark, d))
+    marks = crawl.progress_marks(log, S.crawl_sizes(log))
+    return marks.withColumn("ts", F.unix_micros("ts"))
+
+
 @query
 def crawl_outcome(spark, d):
     outcomes = crawl.crawl_outcome(S.attempt_log(spark, d))
@@ -360,6 +410,22 @@ def token_stats_first_pages(spark, d):
                                 first=100, key="page_id")
 
 
+@query
+def token_stats_merged(spark, d):
+    # A part per host, merged in two steps; the sketch's median is held against the exact ranks.
+    html = S.texts(spark, d, "pages", "page_id")
+    host = F.regexp_extract("url", "^https?://([^/]*)", 1)
+    parts = staged(statistics.length_sketches(html, F.col("html"), host), "lengths")
+    merged = staged(statistics.merged_lengths(parts, F.substring("batch", 1, 5)), "lengths")
+    stats = statistics.merged_stats(merged)
+    lengths = html.select(C.HASH_TOKENIZER.count(F.col("html")).alias("tokens"))
+    middle = stats.select("median_tokens").scalar()
+    below, upto = (F.avg(met.cast("int")) for met in (F.col("tokens") < middle, F.col("tokens") <= middle))
+    ranks = lengths.agg(F.greatest(below - 0.5, 0.5 - upto, F.lit(0.0)).alias("off"))
+    known = [stats.select(c).scalar().alias(c) for c in ("rows", "max_tokens", "mean_tokens")]
+    return ranks.select(*known, (F.col("off") <= 2 * statistics.RANK_ERROR).alias("median_in_bound"))
+
+
 # Streams: the attempt log is written as files and read as a stream.
 
 def _stream(spark, d):
@@ -384,6 +450,63 @@ def crawl_outcome_stream(spark, d):
     return latest.withColumn("first_failure", F.unix_seconds("first_failure"))
 
 
+def _small_drops(spark, d, drops: int):
+    """The attempt log as a stream of many small batches."""
+    log = S.attempt_log(spark, d).select(*[F.col(f.name).cast(f.dataType) for f in ATTEMPTS])
+    path = new_path(spark, "attempts")
+    log.repartition(drops, "run", "url").write.parquet(path)
+    return live.stream_attempts(spark, path, files_per_trigger=1), path
+
+
+@query
+def crawl_rates_compacted(spark, d):
+    attempts, path = _small_drops(spark, d, 10)
+    live.write_ticks(attempts, f"{path}-ticks", f"{path}-state", available_now=True).awaitTermination()
+    while live.compact_ticks(spark, f"{path}-ticks", fan=3):
+        pass
+    return metrics.rate_points(metrics.counter_points(live.read_ticks(spark, f"{path}-ticks")))
+
+
+@query
+def crawl_outcome_compacted(spark, d):
+    attempts, path = _small_drops(spark, d, 10)
+    live.write_outcomes(attempts, f"{path}-out", f"{path}-state", available_now=True).awaitTermination()
+    live.compact_outcomes(spark, f"{path}-out", fan=4)
+    latest = live.latest_outcomes(spark, f"{path}-out")
+    return latest.withColumn("first_failure", F.unix_seconds("first_failure"))
+
+
+@query
+def retry_events(spark, d):
+    attempts, path = _stream(spark, d)
+    retries.watch_retries(attempts, f"{path}-events", f"{path}-state", 0, available_now=True).awaitTermination()
+    return retries.read_events(spark, f"{path}-events").withColumn("first_failure", F.unix_seconds("first_failure"))
+
+
+@query
+def converted_pages(spark, d):
+    # Pages arrive in three drops; the run after the last one finds nothing new.
+    path = new_path(spark, "cache")
+    found = staged(S.page_links(spark, d).select("page_id", "link_hash", "html"), "pages")
+    for drop in (0, 1, 2, None):
+        if drop is not None:
+            cache.write_page_files(found.filter(F.col("page_id") % 3 == drop), path)
+        stream = live_pages.stream_page_files(spark, path)
+        live_pages.convert_pages(stream, f"{path}-table", f"{path}-state", available_now=True).awaitTermination()
+    live_pages.compact_pages(spark, f"{path}-table", fan=2)
+    return live_pages.read_pages(spark, f"{path}-table").select("link_hash", F.md5("html_data").alias("html_data"))
+
+
+@query
+def training_stream(spark, d):
+    path = new_path(spark, "training")
+    tables.write_training(_training(spark, d), path)
+    rows = tables.stream_training(spark, path).filter("train").select("link", "link_hash", F.md5("response").alias("response"))
+    (rows.writeStream.format("parquet").option("checkpointLocation", f"{path}-state").trigger(availableNow=True)
+     .start(f"{path}-out").awaitTermination())
+    return spark.read.schema(rows.schema).parquet(f"{path}-out")
+
+
 # Sources and sinks: the given tables are written to the shared folder and read again.
 
 @query
@@ -404,18 +527,15 @@ def csv_recipes(spark, d):
 
 @query
 def page_files(spark, d):
-    path = new_path(spark, "page-text")
-    stored = S.stored_pages(spark, d)
-    stored.select(F.col("html").alias("value"), "link_hash").write.partitionBy("link_hash").text(path)
-    files = spark.read.text(path, wholetext=True)
-    return files.select(F.regexp_extract("_metadata.file_path", "link_hash=([^/]+)/", 1).alias("link_hash"),
-                        F.md5(F.regexp_replace("value", r"\n$", "")).alias("html"))
+    path = new_path(spark, "cache")
+    cache.write_page_files(S.page_links(spark, d), path)
+    return tables.read_page_files(spark, path).select("link_hash", F.md5("html").alias("html"))
 
 
 @query
 def page_table_roundtrip(spark, d):
     path = new_path(spark, "page-table")
-    tables.write_page_table(pages.page_table(S.stored_pages(spark, d)), path)
+    tables.write_page_table(pages.page_table(S.page_links(spark, d)), path)
     return tables.read_page_table(spark, path).select("link_hash", F.md5("html_data").alias("html_data"))
 
 

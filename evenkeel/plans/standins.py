@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from evenkeel.functions import links as L
 from evenkeel.operators import crawl
 from evenkeel.operators import links as link_ops
-from evenkeel.sources.tables import spread
 
 # Fixed values of the stand-ins.
 KINDS = {"error": "failed", "purchase": "saved"}
@@ -24,6 +23,8 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
               "props string",
 }
+# The days that the log covers.
+FIRST_DAY, DAYS = "2024-01-01", 30
 VERBS = ("are", "be", "is", "was")
 PARTICLES = ("at", "by", "for", "from", "in", "of", "on", "to", "with")
 
@@ -33,8 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table whose text is worked on: its few splits are spread."""
-    return spread(table(spark, sf_dir, name), key)
+    """A table whose text is worked on. The given files are a row group each, which one task reads: dealt by key."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +115,23 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select(run.alias("run"), "ts", "url", "attempt", "kind", "status", "bytes")
 
 
+def one_crawl(log: DataFrame) -> DataFrame:
+    """The tries of a year as one run, which is the whole log, each try a link of its own."""
+    return log.withColumn("url", F.concat_ws("#", "url", "run")).withColumn("run", F.substring("run", 1, 4))
+
+
+def daily(log: DataFrame) -> DataFrame:
+    """The tries of a day as one run, each try a link of its own."""
+    return log.withColumn("url", F.concat_ws("#", "url", "run")).withColumn("run", F.substring("run", 1, 10))
+
+
+def daily_backlog(plan: DataFrame) -> DataFrame:
+    """The plan's backlog dealt to the days of the log by the digest of a link."""
+    digits = F.conv(F.substring("crawl_order", 1, 4), 16, 10).cast("int")
+    day = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), digits % DAYS), "yyyy-MM-dd")
+    return plan.filter("status = 'backlog'").select(day.alias("run"), "url", "crawl_order")
+
+
 def crawl_sizes(log: DataFrame) -> DataFrame:
     """(run, pending, backlog): the URLs of a run are pending, a tenth as many wait."""
     urls = log.select("run", "url").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("pending"))

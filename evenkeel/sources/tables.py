@@ -32,15 +32,6 @@ ATTEMPTS = T.StructType([T.StructField("run", T.StringType()),
                          T.StructField("bytes", T.LongType())])
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a few unsplittable files, spread over the cores by key.
-
-    A table with splits enough, as any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def read_recipes(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                  multiline: bool = True, header: bool = True) -> DataFrame:
     """Source recipes from CSV.
@@ -78,6 +69,11 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_name").alias("file_name")))
 
 
+def page_listing(page_table: DataFrame) -> DataFrame:
+    """`file_name` of every page of a page table: the key column alone is read, no folder is listed."""
+    return page_table.select(L.page_file(F.col("link_hash")).alias("file_name"))
+
+
 def read_failed_log(spark: SparkSession, path: str) -> DataFrame:
     """Distinct URLs of the failed log, one per line; empty when there is no log."""
     try:

@@ -74,8 +74,19 @@ def test_dedup_of_a_dominant_response(spark):
 
 
 def test_dedup_combines_before_the_shuffle(spark):
-    plan = balance.deduplicate(sites(spark, {"a": 3}))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_min") == 1
+    marked = balance._marked(sites(spark, {"a": 3}), "link", "response", "website", 1 << 26)
+    plan = balance.repeated_responses(marked, "link", "website")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min") == 1 and plan.count("partial_count") >= 1
+
+
+def test_dedup_of_rows_repeated_whole(spark):
+    rows = [("1", "a", "same"), ("1", "a", "same"), ("1", "a", "same"), ("2", "b", "same"), ("2", "b", None),
+            ("2", "b", None), (None, "a", "x"), (None, "a", "x"), ("3", "b", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for limit in (1 << 26, 0):
+        got = sorted((tuple(r) for r in balance.deduplicate(df, broadcast_bytes=limit).collect()), key=str)
+        assert got == sorted([("2", "b", "same"), ("2", "b", None), (None, "a", "x"), ("3", "b", "")], key=str)
+    assert balance.deduplicate(df.filter("false")).count() == 0
 
 
 def test_split_report(spark):

@@ -169,13 +169,6 @@ def test_staging_without_a_setting(spark, monkeypatch):
         staging.shared_dir(Unset)
 
 
-def test_spread(spark):
-    one = spark.range(10).coalesce(1)
-    assert tables.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(10).repartition(7)
-    assert tables.spread(many, "id") is many
-
-
 def test_metric_points_by_run(spark, tmp_path):
     points = spark.createDataFrame([("r1", 60, 1, "t", 1.0), ("r2", 60, 1, "t", 2.0)],
                                    "run string, tick long, step long, tag string, value double")
