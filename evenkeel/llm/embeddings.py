@@ -24,9 +24,8 @@ THRESHOLD = 0.98
 # Vectors that the centres are fitted on, vectors a cell is meant for, and cells at most.
 SAMPLE, CELL, MAX_CELLS = 50_000, 1_024, 4_096
 ROUNDS = 8
-# A vector visits cells whose border is nearer than this. Unit vectors at cosine 0.98 are 0.2 apart;
-# 0.2 would find every pair, 0.08 finds those that do not differ mostly across a border.
-MARGIN = 0.08
+# Room for rounding where a vector's distance from a border is compared.
+ROUNDING = 1e-6
 # Rows of a block, and rows of a product that are held at a time.
 BLOCK, TILE = 4_096, 1_024
 
@@ -36,7 +35,17 @@ PLACED = ("label int, dim int, cell int, home int, visits array<int>, id bigint,
 LINKED = "id bigint, links bigint, root bigint"
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+def margin_of(threshold: float) -> float:
+    """How near a cell's border a vector visits the cell so that no pair is lost.
+
+    Unit vectors at the threshold are sqrt(2 - 2 * threshold) apart. If their
+    homes differ, they lie on the two sides of the border between these, so one
+    of them is within half that of it and visits the other's home.
+    """
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold))) / 2 + ROUNDING
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one vector of each component is kept, that of the smallest vec_id.
 
     `vectors` has vec_id, embedding and label. Vectors link inside a label at a
@@ -54,7 +63,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     marked = rows.withColumn("usable", usable)
     distinct = staged(marked.filter("usable").groupBy("label", "embedding").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
-    links = staged(_linked(_placed(distinct, margin), threshold), "vector-links")
+    links = staged(_linked(_placed(distinct, margin_of(threshold)), threshold), "vector-links")
     joined = components(links.select("id", "root"), "id", "root")
     counts = links.groupBy("id").agg(F.sum("links").alias("links"))
     known = staged(
