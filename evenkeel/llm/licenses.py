@@ -47,6 +47,9 @@ NOTICES = ("Licensed under {}", "Released under {}", "This work is licensed unde
            "This software is released under {}", "This project is licensed under {}",
            "This program is licensed under {}", "Available under {}")
 
+# Digests that a registry may hold: they are part of the plan.
+MAX_KNOWN = 20_000
+
 # Whole texts of short licences, without their copyright lines.
 TEXTS = {
     "MIT": """MIT License
@@ -73,6 +76,65 @@ IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR
 INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE.""",
+    "0BSD": """BSD Zero Clause License
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.""",
+    "MIT-0": """MIT No Attribution
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD-2-Clause": """BSD 2-Clause License
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """BSD 3-Clause License
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "Unlicense": """This is free and unencumbered software released into the public domain.
 
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
@@ -125,20 +187,33 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines and punctuation, one spelling, one space; lines stay apart."""
+    """Lower case, without copyright lines and punctuation, one spelling; two spaces between words, lines stay apart.
+
+    Each word has a space of its own on either side, so a spelling is found
+    however often it follows itself.
+    """
     lowered = F.lower(F.concat(F.lit("\n"), text))
-    words = F.regexp_replace(F.regexp_replace(lowered, COPYRIGHT_LINE, "\n"), r"[^\p{L}\p{N}\n]+", " ")
-    spread = F.concat(F.lit(" "), F.replace(words, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+    words = F.regexp_replace(F.regexp_replace(lowered, COPYRIGHT_LINE, "\n"), r"[^\p{L}\p{N}\n]+", "  ")
+    spread = F.concat(F.lit("  "), F.replace(words, F.lit("\n"), F.lit("  \n  ")), F.lit("  "))
     for kept, other in SPELLINGS:
-        spread = F.replace(spread, F.lit(f" {other} "), F.lit(f" {kept} "))
+        spread = F.replace(spread, F.lit(apart(other)), F.lit(apart(kept)))
     return F.trim(F.regexp_replace(spread, r" *\n *", "\n"))
 
 
+def apart(words: str) -> str:
+    """A spelling as it stands in a canonical text, with a space on either side."""
+    return f" {words.replace(' ', '  ')} "
+
+
 def whole_digest(lines: Column) -> Column:
     """Digest of a canonical text, its lines joined by single spaces."""
     return F.md5(F.trim(F.regexp_replace(lines, r"[ \n]+", " ")))
 
 
+def line_digests(lines: Column) -> Column:
+    return F.transform(F.split(lines, "\n"), lambda line: F.md5(F.replace(line, F.lit("  "), F.lit(" "))))
+
+
 def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """(digest, license) of known texts; equal texts keep the first identifier in order."""
     rows = spark.createDataFrame(texts or known_texts(), "license string, text string")
@@ -148,19 +223,22 @@ def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) ->
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(doc_id, digest, license, notices): what the whole text is, and what its lines are.
 
-    `known` is a registry: a fixed number of rows, broadcast. `license` is null
+    `known` is a registry of at most `MAX_KNOWN` rows: it is joined by
+    broadcast, and its digests are looked up line by line. `license` is null
     if the whole text is not known; `notices` are the sorted identifiers of
     known lines, joined by commas. A null text has a null digest and no
     notices; an empty one has the digest of nothing. Rows that repeat a doc_id
-    share their notices. Other columns of `docs` are not used. Documents move as
-    ids and digests alone, and only matches are grouped.
+    are looked up each. Other columns of `docs` are not used. A text is made
+    canonical once and never moved. Runs a job when called, over the registry.
     """
+    held = known.select("digest", "license").limit(MAX_KNOWN + 1).collect()
+    if len(held) > MAX_KNOWN:
+        raise ValueError(f"a registry has {MAX_KNOWN} digests at most")
     lines = docs.select("doc_id", canonical(F.col("text")).alias("lines"))
-    digests = F.transform(F.split("lines", "\n"), F.md5)
-    held = F.broadcast(known)
-    notices = (lines.select("doc_id", F.explode(digests).alias("digest")).join(held, "digest")
-               .groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
-               .withColumnRenamed("doc_id", "_doc_id"))
-    whole = lines.select("doc_id", whole_digest(F.col("lines")).alias("digest")).join(held, "digest", "left")
-    found = whole.join(notices, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
-    return found.select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
+    listed = [row["digest"] for row in held]
+    hits = F.filter(line_digests(F.col("lines")), lambda digest: digest.isin(listed))
+    found = lines.select("doc_id", whole_digest(F.col("lines")).alias("digest"), hits.alias("hits"))
+    names = F.create_map(*[F.lit(x) for row in held for x in (row["digest"], row["license"])]) if held else None
+    named = F.transform("hits", lambda digest: names[digest]) if held else F.array().cast("array<string>")
+    notices = F.coalesce(F.array_join(F.array_sort(F.array_distinct(named)), ","), F.lit(""))
+    return found.join(F.broadcast(known), "digest", "left").select("doc_id", "digest", "license", notices.alias("notices"))

@@ -11,29 +11,33 @@ def quoted(text: str) -> str:
 
 def _canonical(text: str) -> str:
     lowered = f"lower(chr(10) || {text})"
-    out = f"regexp_replace({lowered}, {_pattern(licenses.COPYRIGHT_LINE)}, chr(10), 'g')"
-    out = f"regexp_replace({out}, {_pattern(r'[^\p{L}\p{N}' + chr(92) + 'n]+')}, ' ', 'g')"
-    out = f"' ' || replace({out}, chr(10), ' ' || chr(10) || ' ') || ' '"
+    out = f"regexp_replace({lowered}, {quoted(licenses.COPYRIGHT_LINE)}, chr(10), 'g')"
+    out = f"regexp_replace({out}, {quoted(r'[^\p{L}\p{N}' + chr(92) + 'n]+')}, '  ', 'g')"
+    out = f"'  ' || replace({out}, chr(10), '  ' || chr(10) || '  ') || '  '"
     for kept, other in licenses.SPELLINGS:
-        out = f"replace({out}, ' {other} ', ' {kept} ')"
+        out = f"replace({out}, {quoted(licenses.apart(other))}, {quoted(licenses.apart(kept))})"
     return f"trim(regexp_replace({out}, ' *' || chr(10) || ' *', chr(10), 'g'), ' ')"
 
 
-def _pattern(pattern: str) -> str:
-    return quoted(pattern)
-
-
 def _digest(lines: str) -> str:
     return f"md5(trim(regexp_replace({lines}, '[ ' || chr(10) || ']+', ' ', 'g'), ' '))"
 
 
 def license_scan() -> str:
     known = ", ".join(f"({quoted(key)}, {quoted(text)})" for key, text in licenses.known_texts())
+    listed = ", ".join(quoted(text) for text in licenses.TEXTS.values())
     return f"""
 WITH texts(license, text) AS (VALUES {known}),
 known AS (SELECT {_digest(_canonical('text'))} AS digest, min(license) AS license FROM texts GROUP BY 1),
-canon AS (SELECT doc_id, {_canonical('text')} AS lines FROM documents),
-lines AS (SELECT DISTINCT doc_id, md5(unnest(string_split(lines, chr(10)))) AS digest FROM canon),
+spelled AS (SELECT doc_id, source, replace([{listed}][(doc_id // 40) % {len(licenses.TEXTS)} + 1], ' license ', ' licence ')
+                   AS text FROM documents WHERE doc_id % 40 = 0),
+changed AS (SELECT doc_id, source, CASE WHEN doc_id % 80 = 0 THEN upper(text) ELSE replace(text, ',', ' ;') END AS text
+            FROM spelled),
+scanned AS (SELECT doc_id, text FROM documents UNION ALL
+            SELECT -1 - doc_id, 'Copyright (c) 2020 ' || coalesce(source, '') || chr(10)
+                   || replace(text, chr(10), chr(13) || chr(10) || '  * ') FROM changed),
+canon AS (SELECT doc_id, {_canonical('text')} AS lines FROM scanned),
+lines AS (SELECT DISTINCT doc_id, md5(replace(unnest(string_split(lines, chr(10))), '  ', ' ')) AS digest FROM canon),
 notices AS (SELECT l.doc_id, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS notices
             FROM lines l JOIN known k USING (digest) GROUP BY l.doc_id)
 SELECT c.doc_id, {_digest('c.lines')} AS digest, k.license, coalesce(n.notices, '') AS notices
@@ -90,30 +94,41 @@ def _url_key(url: str) -> str:
 
 def revisit() -> str:
     """The captures of the query, then an as-of join."""
+    when = "1700000000 + page_id % 1000 * 3600"
+    again = "regexp_replace(url, '^https?://', 'HTTP://WWW.') || '#again'"
+    none = "NULL::VARCHAR"
+    # number, url, seconds later, kind, etag, modified, cache, length, payload
+    made = [
+        (0, "url", 0, "response", "md5(html)", none, none, "octet_length(encode(html))::VARCHAR", "html"),
+        (1, again, 90_000, "revisit", """'W/"' || md5(html) || '"'""", none, "'max-age=' || page_id % 7", none, none),
+        (2, "url", 0, "revisit", "md5(html)", none, "'max-age=1'", none, none),
+        (3, "url", 60, "revisit", "'stale-' || page_id", none, "'max-age=2'", none, none),
+        (4, "url", 93_600, "response", none, none, none, none, "html || '<!-- again -->'"),
+        (5, again, 108_000, "revisit", "md5(html)", none, "'max-age=' || page_id % 7", none, none),
+        (6, "url", 180_000, "response", none, "'day ' || page_id % 28", none, none, "html || '<!-- at last -->'"),
+        (7, "url", 190_000, "revisit", none, "'day ' || page_id % 14", "'max-age=3'", none, none)]
+    rows = " UNION ALL ".join(
+        f"SELECT 8 * page_id + {n} AS record_id, {url} AS url, {when} + {later} AS ts, '{kind}' AS kind, {etag} AS etag, "
+        f"{modified} AS modified, {cache} AS cache, {length} AS length, {payload} AS payload FROM pages"
+        for n, url, later, kind, etag, modified, cache, length, payload in made)
+    listed = ", ".join(f"'{name}=' || {value}" for name, value in (
+        ("cache-control", "cache"), ("content-length", "r_length"), ("content-type", "'text/html'"),
+        ("etag", "coalesce(etag, r_etag)"), ("last-modified", "coalesce(modified, r_modified)")))
     return f"""
-WITH captures AS (
-    SELECT 4 * page_id AS record_id, url, 1700000000 + page_id % 1000 * 3600 AS ts, 'response' AS kind,
-           md5(html) AS etag, NULL AS cache, html AS payload FROM pages
-    UNION ALL SELECT 4 * page_id + 1, regexp_replace(url, '^https?://', 'HTTP://WWW.') || '#again',
-           1700000000 + page_id % 1000 * 3600 + 90000, 'revisit', 'W/"' || md5(html) || '"',
-           'max-age=' || page_id % 7, NULL FROM pages
-    UNION ALL SELECT 4 * page_id + 2, url, 1700000000 + page_id % 1000 * 3600, 'revisit', md5(html),
-           'max-age=1', NULL FROM pages
-    UNION ALL SELECT 4 * page_id + 3, url, 1700000000 + page_id % 1000 * 3600 + 60, 'revisit',
-           'stale-' || page_id, 'max-age=2', NULL FROM pages),
+WITH captures AS ({rows}),
 keyed AS (SELECT *, {_url_key('url')} AS url_key FROM captures),
-responses AS (SELECT url_key, ts, max(record_id) AS response_id, arg_max(etag, record_id) AS etag,
-                     arg_max(payload, record_id) AS payload FROM keyed WHERE kind = 'response' GROUP BY 1, 2),
-met AS (SELECT v.record_id, v.ts, v.url_key, r.response_id, v.etag AS asked, r.etag AS stored, v.cache, r.payload
-        FROM (FROM keyed WHERE kind = 'revisit') v ASOF LEFT JOIN responses r
+responses AS (SELECT url_key, ts, max(record_id) AS response_id FROM keyed WHERE kind = 'response' GROUP BY 1, 2),
+met AS (SELECT v.*, r.response_id FROM (FROM keyed WHERE kind = 'revisit') v ASOF LEFT JOIN responses r
         ON v.url_key = r.url_key AND v.ts > r.ts),
-told AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
-                        WHEN regexp_replace(asked, '^W/|"', '', 'g') = stored THEN 'resolved'
-                        ELSE 'mismatch' END AS outcome FROM met)
+joined AS (SELECT m.* EXCLUDE (payload, length), r.etag AS r_etag, r.modified AS r_modified, r.length AS r_length, r.payload,
+                  coalesce(regexp_replace(m.etag, '^W/|"', '', 'g') = r.etag, m.modified = r.modified) AS agree
+           FROM met m LEFT JOIN keyed r ON r.record_id = m.response_id),
+told AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no_response' WHEN agree IS NULL THEN 'unchecked'
+                        WHEN agree THEN 'resolved' ELSE 'mismatch' END AS outcome FROM joined)
 SELECT record_id, ts, url_key, response_id, outcome,
-       CASE WHEN outcome = 'resolved' THEN 'cache-control=' || cache || ';content-length='
-            || octet_length(encode(payload)) || ';content-type=text/html;etag=' || asked END AS headers,
-       CASE WHEN outcome = 'resolved' THEN md5(payload) END AS payload_md5
+       CASE WHEN outcome IN ('resolved', 'unchecked')
+            THEN array_to_string(list_filter([{listed}], lambda x: x IS NOT NULL), ';') END AS headers,
+       CASE WHEN outcome IN ('resolved', 'unchecked') THEN md5(payload) END AS payload_md5
 FROM told"""
 
 

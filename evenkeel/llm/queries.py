@@ -106,17 +106,33 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(tables.documents(spark, sf_dir), licenses.registry(spark))
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text", "source")
+    return licenses.scan(docs.select("doc_id", "text").unionByName(dressed(docs)), licenses.registry(spark))
+
+
+def dressed(docs: DataFrame) -> DataFrame:
+    """For every 40th document a whole licence in other case, spelling, lines and punctuation, under its source's name."""
+    known = F.array(*[F.lit(text) for text in licenses.TEXTS.values()])
+    text = F.element_at(known, (F.floor(F.col("doc_id") / 40) % len(licenses.TEXTS) + 1).cast("int"))
+    spelled = F.replace(text, F.lit(" license "), F.lit(" licence "))
+    changed = F.when(F.col("doc_id") % 80 == 0, F.upper(spelled)).otherwise(F.replace(spelled, F.lit(","), F.lit(" ;")))
+    lines = F.replace(changed, F.lit("\n"), F.lit("\r\n  * "))
+    return docs.filter("doc_id % 40 = 0").select(
+        (-1 - F.col("doc_id")).alias("doc_id"),
+        F.concat(F.lit("Copyright (c) 2020 "), F.coalesce("source", F.lit("")), F.lit("\n"), lines).alias("text"))
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """Records made of each page: a response, and three later or simultaneous revisits."""
+    """Records made of each page: three responses over three days, and five revisits between them.
+
+    The second response has no validator, the third a modification time alone.
+    """
     when = F.lit(1_700_000_000) + F.col("page_id") % 1000 * 3600
     digest = F.md5("html")
 
     def record(number: int, url, ts, kind: str, payload, **fields):
         names = [x for name, value in fields.items() for x in (F.lit(name.replace("_", "-")), value)]
-        return F.struct((4 * F.col("page_id") + number).alias("record_id"), url.alias("url"),
+        return F.struct((8 * F.col("page_id") + number).alias("record_id"), url.alias("url"),
                         ts.cast("bigint").alias("ts"), F.lit(kind).alias("kind"),
                         F.create_map(*names).alias("headers"), payload.alias("payload"))
 
@@ -130,7 +146,13 @@ def captures(pages: DataFrame) -> DataFrame:
                Cache_Control=age, Content_Length=F.lit("0")),
         record(2, url, when, "revisit", none, etag=digest, Cache_Control=F.lit("max-age=1")),
         record(3, url, when + 60, "revisit", none, Cache_Control=F.lit("max-age=2"),
-               etag=F.concat(F.lit("stale-"), F.col("page_id").cast("string"))))
+               etag=F.concat(F.lit("stale-"), F.col("page_id").cast("string"))),
+        record(4, url, when + 93_600, "response", F.concat("html", F.lit("<!-- again -->")), Content_Type=F.lit("text/html")),
+        record(5, again, when + 108_000, "revisit", none, etag=digest, Cache_Control=age),
+        record(6, url, when + 180_000, "response", F.concat("html", F.lit("<!-- at last -->")),
+               Content_Type=F.lit("text/html"), Last_Modified=F.concat(F.lit("day "), (F.col("page_id") % 28).cast("string"))),
+        record(7, url, when + 190_000, "revisit", none, Cache_Control=F.lit("max-age=3"),
+               last_modified=F.concat(F.lit("day "), (F.col("page_id") % 14).cast("string"))))
     return pages.select(F.inline(rows))
 
 

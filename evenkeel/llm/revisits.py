@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Seconds of a bucket: within one, records of a URL are ordered by a task; buckets meet by their last response.
+from evenkeel.llm import tables
+from evenkeel.sources.staging import staged
+
+# Seconds of a bucket: within one, the seconds of a URL are ordered by a task; buckets meet by their last response.
 BUCKET = 86_400
 # Headers that describe the stored body or one connection, which a revisit may not change.
 STORED_ONLY = ("connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type",
@@ -54,31 +57,30 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     modification times, are both given and differ; `resolved` if they agree;
     `unchecked` if no validator is given by both. Headers and payload are null
     unless resolved or unchecked. A null url or ts finds no response. Revisits
-    that repeat a record_id stay; a response whose record_id repeats is taken
-    once. Records move as narrow rows; bodies are joined by the id that was found.
+    that repeat a record_id stay, each with its own headers; a response whose
+    record_id repeats is taken once. No records give no rows.
+
+    What is ordered is a row per URL and second, so a popular page adds no more
+    than the seconds of a day to a task. Revisits move as narrow rows with their
+    headers; bodies are read for the ids that were found, and joined last.
+    Runs jobs when called.
     """
-    keyed = records.select("record_id", "kind", F.col("ts").cast("bigint").alias("ts"), "headers", "payload",
-                           canonical_url(F.col("url")).alias("url_key"))
-    narrow = keyed.filter(F.col("kind").isin("response", "revisit")).select(
-        "record_id", "kind", "ts", "url_key", F.floor(F.col("ts") / bucket).alias("bucket"),
-        F.when(F.col("kind") == "response", F.struct("ts", "record_id")).alias("own"))
-    usable = narrow.filter(F.col("ts").isNotNull() & F.col("url_key").isNotNull())
-    # One row per URL and bucket carries the last response of the buckets before.
-    lasts = usable.groupBy("url_key", "bucket").agg(F.max("own").alias("last"))
-    earlier = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select("url_key", "bucket", F.max("last").over(earlier).alias("carried"))
-    # Range frames end before the row's own second: a response of that second is not earlier.
-    inside = Window.partitionBy("url_key", "bucket").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    ordered = usable.withColumn("inner", F.max("own").over(inside)).filter("kind = 'revisit'")
-    met = ordered.join(carried, ["url_key", "bucket"], "left").select(
-        "record_id", "ts", "url_key", F.coalesce("inner", "carried")["record_id"].alias("response_id"))
-    rest = narrow.filter((F.col("kind") == "revisit") & (F.col("ts").isNull() | F.col("url_key").isNull())).select(
-        "record_id", "ts", "url_key", F.lit(None).cast("bigint").alias("response_id"))
-    asked = keyed.filter("kind = 'revisit'").groupBy("record_id").agg(F.max_by("headers", "ts").alias("asked"))
-    bodies = keyed.filter("kind = 'response'").groupBy(F.col("record_id").alias("response_id")).agg(
+    keyed = records.filter(F.col("kind").isin("response", "revisit")).select(
+        "record_id", "kind", F.col("ts").cast("bigint").alias("ts"), "headers", "payload",
+        canonical_url(F.col("url")).alias("url_key"))
+    asked = staged(keyed.filter("kind = 'revisit'").select("record_id", "ts", "url_key", F.col("headers").alias("asked")),
+                   "revisits")
+    found = staged(_found(keyed, bucket), "found-responses")
+    met = staged(tables.spread_join(asked, found, ["url_key", "ts"]), "met-revisits")
+    wanted = met.select("response_id").filter("response_id is not null").distinct()
+    bodies = keyed.filter("kind = 'response'").select(F.col("record_id").alias("response_id"), "headers", "payload")
+    bodies = bodies.join(wanted, "response_id", "left_semi").groupBy("response_id").agg(
         F.first("headers").alias("stored"), F.first("payload").alias("payload"))
-    joined = (met.unionByName(rest).join(asked, "record_id", "left").join(bodies, "response_id", "left")
-              .withColumns({"asked": headers(F.col("asked")), "stored": headers(F.col("stored"))}))
+    # Revisits without response do not meet each other in the join.
+    alone = met.filter("response_id is null").withColumn("stored", F.lit(None).cast("map<string,string>")).withColumn(
+        "payload", F.lit(None).cast("string"))
+    joined = tables.spread_join(met.filter("response_id is not null"), bodies, ["response_id"]).unionByName(alone).withColumns(
+        {"asked": headers(F.col("asked")), "stored": headers(F.col("stored"))})
     tag = opaque(F.col("asked")["etag"]), opaque(F.col("stored")["etag"])
     time = F.col("asked")["last-modified"], F.col("stored")["last-modified"]
     agree = F.coalesce(tag[0] == tag[1], time[0] == time[1])
@@ -90,3 +92,20 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return joined.withColumn("outcome", outcome).select(
         "record_id", "ts", "url_key", "response_id", "outcome", F.when(full, merged).alias("headers"),
         F.when(full, F.col("payload")).alias("payload"))
+
+
+def _found(keyed: DataFrame, bucket: int) -> DataFrame:
+    """(url_key, ts, response_id) for each URL and second with a revisit: the last earlier response, if there is one."""
+    seconds = keyed.filter(F.col("ts").isNotNull() & F.col("url_key").isNotNull()).groupBy("url_key", "ts").agg(
+        F.max(F.when(F.col("kind") == "response", F.struct("ts", "record_id"))).alias("own"),
+        F.max(F.col("kind") == "revisit").alias("asked"))
+    placed = seconds.withColumn("bucket", F.floor(F.col("ts") / bucket))
+    # One row per URL and bucket carries the last response of the buckets before.
+    lasts = placed.groupBy("url_key", "bucket").agg(F.max("own").alias("last"))
+    earlier = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select("url_key", "bucket", F.max("last").over(earlier).alias("carried"))
+    # A response of the revisit's own second is not earlier.
+    inside = Window.partitionBy("url_key", "bucket").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = placed.withColumn("inner", F.max("own").over(inside)).filter("asked")
+    return ordered.join(carried, ["url_key", "bucket"], "left").select(
+        "url_key", "ts", F.coalesce("inner", "carried")["record_id"].alias("response_id"))

@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenkeel.sources.staging import BROADCAST_BYTES, ROW_OVERHEAD
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # A word is a run of bytes other than ASCII white space.
@@ -51,6 +53,33 @@ def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.col(key), F.lit(7)), key).limit(limit)
 
 
+def bounded(keys: DataFrame) -> DataFrame:
+    """A written table of narrow keys, to be broadcast if it is small: texts joined with it then stay where they are."""
+    return F.broadcast(keys) if keys.count() * (2 * ROW_OVERHEAD) <= BROADCAST_BYTES else keys
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], per_part: int = 4_096) -> DataFrame:
+    """`rows`, a written table of narrow rows, left joined with `facts`, a row per key, which may be wide.
+
+    Keys with many rows get a salt for each `per_part` of them, and as many
+    copies of their facts, so that no task gathers a popular key. Null keys are
+    not joined with each other.
+    """
+    name = F.xxhash64(*keys)
+    counts = rows.groupBy(name.alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
+    # A number per `per_part` rows at most.
+    large = F.broadcast(counts.filter(F.col("_n") > per_part).select(
+        "_name", F.ceil(F.col("_n") / per_part).cast("int").alias("_salts")))
+
+    def sized(side: DataFrame) -> DataFrame:
+        return side.withColumn("_name", name).join(large, "_name", "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c, kind in rows.dtypes if not kind.startswith("map")]), F.col("_salts"))
+    left = sized(rows).withColumn("_salt", salt.cast("int")).drop("_name", "_salts")
+    right = sized(facts).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_name", "_salts")
+    return left.join(right, [*keys, "_salt"], "left").drop("_salt")
+
+
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, score, predicted) of documents with a score from 0 to 1."""
     return docs.select("doc_id", held_out.alias("held_out"), "score",
