@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.llm import tokens
+from evenkeel.llm.spans import lean
 from evenkeel.sources.staging import staged
 
 CAPACITY = 1024
@@ -29,7 +30,7 @@ SLACK = 8
 # Bins that one group of a merge round holds, and rounds at most.
 FAN = 8
 # Texts that are encoded together.
-TEXTS, TEXT_CHARS = 512, 4_000_000
+TEXTS, TEXT_CHARS = 2_048, 4_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -57,11 +58,15 @@ def pieces(docs: DataFrame, tokenizer: Tokenizer, capacity: int = CAPACITY, end_
     packed little-endian unsigned 32-bit numbers. Every row is a document,
     whether its doc_id is null or repeats; other columns are not used.
     """
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer.vocabulary, tokenizer.ranks, tokenizer.pattern).encode
-        for batch in batches:
-            for doc_ids, texts in _portions(batch):
-                yield _cut(doc_ids, encode(texts), capacity, end_id)
+        try:
+            for batch in batches:
+                for doc_ids, texts in _portions(batch):
+                    yield _cut(doc_ids, encode(texts), capacity, end_id)
+        finally:
+            tokens.forget()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
 

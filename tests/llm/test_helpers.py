@@ -76,7 +76,27 @@ def test_ids_of_any_white_space(coder, texts):
 
 def test_known_pieces_start_anew(coder, monkeypatch):
     monkeypatch.setattr(tokens, "KEPT", 5)
-    same(coder, ["a b c d e f g", "h i j k l", "a b c"])
+    for texts in (["a b c d e f g"], ["h i j k l m n"], ["a b c", ""], ["o p q r s t u"], ["a b c h i", "b  c"]):
+        same(coder, texts)
+    assert "b" in coder[0].young and len(coder[0].young) + len(coder[0].old) < 20
+
+
+def test_an_encoder_is_forgotten():
+    names = packing.public_tokenizer()
+    first = tokens.encoder(names.vocabulary, names.ranks, names.pattern)
+    assert tokens.encoder(names.vocabulary, names.ranks, names.pattern) is first
+    tokens.forget()
+    assert tokens.encoder(names.vocabulary, names.ranks, names.pattern) is not first
+
+
+def test_a_task_gives_its_memory_back():
+    @spans.lean
+    def run(batches):
+        for batch in batches:
+            spans._power_tables(len(batch))
+            yield len(batch)
+
+    assert list(run(iter(["abc", "de"]))) == [3, 2] and not spans._powers
 
 
 def union_find(pairs):
