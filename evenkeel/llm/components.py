@@ -30,9 +30,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links, path = _write(pair.filter("u != v").distinct())
     before = _mark(links)
     for _ in range(MAX_ROUNDS):
-        large, large_path = _write(_large_star(links))
+        large, large_path = _large_star(links)
         delete(spark, path)
-        links, path = _write(_small_star(large))
+        links, path = _small_star(large)
         delete(spark, large_path)
         now = _mark(links)
         if now == before:
@@ -44,26 +44,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
 
 
-def _least(links: DataFrame) -> DataFrame:
+def _least(links: DataFrame) -> tuple[DataFrame, str]:
     """Smallest neighbour of each node that has a smaller one.
 
     Written, so that the join that follows shuffles both sides itself and
     Spark can split a node with very many neighbours.
     """
-    return _write(links.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x"))[0]
+    return _write(links.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x"))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame) -> tuple[DataFrame, str]:
     """Each larger neighbour of a node, linked with the smallest of node and neighbours."""
-    found = links.join(_least(links), F.col("v") == F.col("x"), "left")
-    return found.select("u", F.coalesce("m", "v").alias("v")).distinct()
+    least, path = _least(links)
+    found = links.join(least, F.col("v") == F.col("x"), "left")
+    out = _write(found.select("u", F.coalesce("m", "v").alias("v")).distinct())
+    delete(links.sparkSession, path)
+    return out
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame) -> tuple[DataFrame, str]:
     """The smaller neighbours of a node and itself, linked with the smallest of them."""
-    rows = links.join(_least(links), F.col("u") == F.col("x"))
+    least, path = _least(links)
+    rows = links.join(least, F.col("u") == F.col("x"))
     ends = F.explode(F.array("u", "v"))
-    return rows.select(ends.alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+    out = _write(rows.select(ends.alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
+    delete(links.sparkSession, path)
+    return out
 
 
 def _write(rows: DataFrame) -> tuple[DataFrame, str]:

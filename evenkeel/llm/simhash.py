@@ -3,7 +3,7 @@
 A fingerprint has a bit for each of 64 hash bits (times `planes`): 1 if the bit
 is set in more than half of the document's shingle hashes. Two fingerprints of
 B bytes that differ in at most k bits share at least B - k bytes at their
-positions. The index lists documents by the bytes at several positions at
+positions. The index lists documents by the bytes of two groups of positions at
 once: lists of one byte hold a 256th of all rows each, so that their pairs
 grow with the square of the table. For each pair met in a list the shared
 positional bytes are tallied; pairs below the minimum go, the rest are verified
@@ -24,14 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
-from evenkeel.llm.spans import LOWER, mix, slices, words
+from evenkeel.llm.spans import LOWER, lean, mix, slices, words
 from evenkeel.sources.staging import staged
 
 HASH_SEED = 42
 # Shingles whose hashes are counted at a time.
 BLOCK = 1 << 15
-# Standard errors of differing bits that candidates are allowed.
-ERRORS = 4
 # Parts of a list that have a star each.
 STAR_PARTS = 16
 _PLANE = np.uint64(0x9E3779B97F4A7C15)
@@ -47,35 +45,16 @@ class Index:
 
 
 def exact_index(max_bits: int, size: int = 8) -> Index:
-    """Every pair at `max_bits` or fewer: one list per choice of size - max_bits positions.
+    """Every pair at `max_bits` or fewer: one list per pair of groups of positions.
 
-    A list's members agree in all but `max_bits` bytes, so a list never holds
-    more than 256 ** max_bits distinct fingerprints.
+    Positions stand in `max_bits` + 2 groups, of which that many differing bits
+    leave two alike at least, so the two meet in a list. They share `size` -
+    `max_bits` bytes or more; a pair that merely meets is turned away by the
+    tally. For two bits these are six lists of four bytes each.
     """
-    shared = size - max_bits
-    return Index(tuple(combinations(range(size), shared)), shared, max_bits)
-
-
-def differing_share(similarity: float) -> float:
-    """Share of bits that differ on average: a Jaccard similarity of J is a cosine of 2J / (1 + J)."""
-    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-
-
-def banded_index(similarity: float, planes: int, min_shared: int = 2) -> Index:
-    """Candidates for shingle sets with a Jaccard similarity of `similarity` or more, by long fingerprints.
-
-    A Jaccard similarity of J between sets of like size is a cosine of
-    2J / (1 + J), and the share of differing bits estimates its angle over pi.
-    `ERRORS` standard errors of that estimate are allowed for, so candidates
-    are to be decided by their sets. Lists are of two bytes: each byte stands
-    with seven others, 224 lists at eight planes.
-    """
-    size = 8 * planes
-    share = differing_share(similarity)
-    error = np.sqrt(share * (1 - share) * size * 8)
-    ring = tuple((i, (i + step) % size) for step in (1, 7, 19) for i in range(size))
-    far = tuple((i, i + size // 2) for i in range(size // 2))
-    return Index(ring + far, min_shared, int(np.ceil(share * size * 8 + ERRORS * error)))
+    groups = np.array_split(np.arange(size), max_bits + 2)
+    lists = tuple(tuple(int(p) for p in (*a, *b)) for a, b in combinations(groups, 2))
+    return Index(lists, size - max_bits, max_bits)
 
 
 def fingerprint(text: Column, shingle: int, planes: int = 1) -> Column:
@@ -86,6 +65,7 @@ def fingerprint(text: Column, shingle: int, planes: int = 1) -> Column:
     the fingerprint zero. Repeated shingles count as often as they occur.
     """
     @F.arrow_udf("array<bigint>")
+    @lean
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [fp for _, data, offsets in slices(batch)
@@ -213,32 +193,48 @@ def star_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
     return first.filter((F.col("a") != F.col("b")) & _near(index, planes)).select("a", "b")
 
 
-def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
-    """(a, b): ids of fingerprints that differ in at most `max_bits` bits, each pair once.
+def met_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
+    """(list, a, fa, ga, b, fb, gb): what meets in the lists, of different groups only.
 
-    `distinct` has (id, fp), one row per fingerprint, and may have `group`: links
-    inside a group, known to be tied together already, are then left out. The
-    join is on the list and its key alone, so Spark can split a large list
-    between tasks. Tally and check are part of the join, which emits links
-    only, in the first list that a pair shares.
+    `distinct` has (id, fp), one row per fingerprint, and may have `group`, else
+    each is one. Lists of one group alone, as nearly all are, go first. In the
+    others the rows of all groups but the largest meet the whole list, so that
+    the mates of a large group are never compared with each other. The join is
+    on the list and its key alone, so Spark can split a large list between
+    tasks.
     """
     grouped = distinct if "group" in distinct.columns else distinct.withColumn("group", F.col("id"))
     rows = _listed(grouped.select("id", "fp", "group"), index)
-    one = rows.select("list", "key", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("group").alias("ga"))
-    two = rows.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("group").alias("gb"))
-    same = one.join(two, ["list", "key"]).filter(
-        (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb"))
-        & _near(index, planes) & ~_met_before(index, "fa", "fb"))
-    return same.select("a", "b", "ga", "gb")
+    sizes = rows.groupBy("list", "key", "group").agg(F.count(F.lit(1)).alias("n"))
+    held = sizes.groupBy("list", "key").agg(F.max(F.struct("n", "group"))["group"].alias("main"),
+                                            F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    met = staged(rows.join(held, ["list", "key"]).select(*rows.columns, "main"), "simhash-lists")
+    one = met.filter(F.col("group") != F.col("main")).select(
+        "list", "key", "main", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("group").alias("ga"))
+    two = met.select("list", "key", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("group").alias("gb"))
+    once = (F.col("gb") == F.col("main")) | (F.col("a") < F.col("b"))
+    return one.join(two, ["list", "key"]).filter((F.col("ga") != F.col("gb")) & once).drop("key", "main")
+
+
+def link_pairs(distinct: DataFrame, index: Index, planes: int = 1) -> DataFrame:
+    """(a, b, ga, gb): ids of fingerprints of different groups that differ in at most `max_bits` bits, each pair once.
+
+    Of the pairs that meet (`met_pairs`) the tally keeps those with the
+    guaranteed number of shared bytes; their bits decide. A pair is emitted in
+    the first list that it shares. Runs a job when called.
+    """
+    met = met_pairs(distinct, index, planes)
+    return met.filter(_near(index, planes) & ~_met_before(index, "fa", "fb")).select("a", "b", "ga", "gb")
 
 
 def _near(index: Index, planes: int) -> Column:
     """The tally of shared bytes and the check of bits for columns `fa` and `fb`."""
-    return ((differing_bits("fa", "fb", planes) <= index.max_bits)
-            & (shared_bytes("fa", "fb", planes) >= index.min_shared))
+    return ((shared_bytes("fa", "fb", planes) >= index.min_shared)
+            & (differing_bits("fa", "fb", planes) <= index.max_bits))
 
 
-def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1,
+                    also: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id that links reach, itself included.
 
     Runs jobs when called; what it writes is a fingerprint per document. Documents
@@ -248,9 +244,10 @@ def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1
     are searched, so that no group's pairs are ever listed. Rows that repeat a doc_id
     stay and share its component if their texts are alike; a null doc_id
     links with nothing and gets a null component. Columns of `docs` other than
-    doc_id and text are not used. No rows give no rows.
+    doc_id and text are not used; those named in `also`, narrow ones, are carried
+    along. No rows give no rows.
     """
-    prints = staged(docs.select("doc_id", fingerprint(F.col("text"), shingle, planes).alias("fp")), "simhash")
+    prints = staged(docs.select("doc_id", *also, fingerprint(F.col("text"), shingle, planes).alias("fp")), "simhash")
     known = prints.filter(F.col("doc_id").isNotNull())
     distinct = staged(known.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-distinct")
     tied = components(star_pairs(distinct, index, planes))
@@ -260,7 +257,7 @@ def near_duplicates(docs: DataFrame, shingle: int, index: Index, planes: int = 1
     roots = staged(grouped.join(joined, F.col("group") == F.col("node"), "left")
                    .select("fp", F.coalesce("component", "group").alias("component_id")), "simhash-roots")
     found = prints.join(roots, "fp", "left")
-    return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return found.select("doc_id", "fp", *also, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
                         .alias("component_id"))
 
 

@@ -78,26 +78,67 @@ def test_simhash_equals_brute_force(spark):
     assert {i: r.component_id for i, r in found.items()} == {i: top(i) for i in ids}
 
 
-@pytest.mark.parametrize("planes", [1, 8])
-def test_pairs_of_fingerprints(spark, planes):
+def fingerprints(planes, near):
     rng = random.Random(3)
-    index = simhash.exact_index(2) if planes == 1 else simhash.banded_index(0.8, 8)
     prints = []
     for _ in range(150):
         first = [rng.getrandbits(64) for _ in range(planes)]
         second = list(first)
-        for _ in range(rng.choice([1, 2, 3, 4] if planes == 1 else [2, 30, 50, 120])):
+        for _ in range(rng.choice(near)):
             bit = rng.randrange(64 * planes)
             second[bit // 64] ^= 1 << bit % 64
         prints += [first, second]
+    return prints
+
+
+def print_frame(spark, prints, groups=None):
     signed = [[x - (1 << 64) if x >> 63 else x for x in p] for p in prints]
-    frame = spark.createDataFrame(list(enumerate(signed)), "id bigint, fp array<bigint>")
-    found = [(r.a, r.b) for r in simhash.link_pairs(frame, index, planes).collect()]
-    expected = {(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints))
-                if sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)) <= index.max_bits}
-    assert len(found) == len(set(found))
-    assert set(found) <= expected
-    assert len(found) == len(expected) if planes == 1 else len(found) >= 0.97 * len(expected)
+    rows = [(i, p, i if groups is None else groups[i]) for i, p in enumerate(signed)]
+    return spark.createDataFrame(rows, "id bigint, fp array<bigint>, group bigint")
+
+
+def differ(prints, a, b):
+    return sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True))
+
+
+@pytest.mark.parametrize("planes, bits", [(1, 2), (1, 0), (1, 5), (2, 2)])
+def test_pairs_of_fingerprints(spark, planes, bits):
+    index = simhash.exact_index(bits, 8 * planes)
+    prints = fingerprints(planes, [1, 2, 3, 4, 5, 6])
+    found = [(min(r.a, r.b), max(r.a, r.b)) for r in simhash.link_pairs(print_frame(spark, prints), index, planes).collect()]
+    expected = {(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints)) if differ(prints, a, b) <= bits}
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_the_tally_turns_pairs_away(spark):
+    """Pairs meet in a list of four bytes; those that share fewer than six go by the tally, others by their bits."""
+    index = simhash.exact_index(2)
+    assert len(index.positions) == 6 and {len(p) for p in index.positions} == {4}
+    rng, prints = random.Random(4), []
+    for _ in range(60):
+        first = rng.getrandbits(64)
+        for wrong in (0, 1, 2, 3, 4):  # bytes that differ, all eight bits of each
+            value = first
+            for byte in range(wrong):
+                value ^= 255 << 8 * (7 - byte)
+            prints.append([value])
+    met = simhash.met_pairs(print_frame(spark, prints), index).withColumn("shared", simhash.shared_bytes("fa", "fb", 1))
+    shared = collections.Counter(r.shared for r in met.select("a", "b", "shared").distinct().collect())
+    assert set(shared) == {4, 5, 6, 7} and min(shared.values()) >= 60
+    assert simhash.link_pairs(print_frame(spark, prints), index).count() == 0
+
+
+def test_mates_of_a_large_group_do_not_meet(spark):
+    rng = random.Random(5)
+    base = rng.getrandbits(64)
+    prints = [[base ^ (1 << rng.randrange(32)) ^ (1 << rng.randrange(32))] for _ in range(400)] + [[base ^ 1 << 60]]
+    prints = [list(p) for p in dict.fromkeys(map(tuple, prints))]
+    size = len(prints) - 1
+    frame = print_frame(spark, prints, [0] * size + [size])
+    met = simhash.met_pairs(frame, simhash.exact_index(2))
+    assert 0 < met.select("a", "b").distinct().count() <= size
+    links = {(r.a, r.b) for r in simhash.link_pairs(frame, simhash.exact_index(2)).collect()}
+    assert {min(pair) for pair in links} == {i for i in range(size) if differ(prints, i, size) <= 2}
 
 
 def test_simhash_edges(spark, edges, nothing):
