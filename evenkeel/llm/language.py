@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.spans import slices
+from evenkeel.llm.spans import lean, slices
 
 UNKNOWN = "und"
 # Families of languages by ISO 639-1 code; any other code is a family of its own.
@@ -96,6 +96,7 @@ def predict(text: Column, model: Model) -> Column:
     the least certain decision.
     """
     @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @lean
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             names, scores = [], [np.zeros(0)]
@@ -179,6 +180,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, passes: int = PASSES)
     # One row per language, of which the model holds a table for each pair: few, and broadcast.
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(sizes), "lang").filter(draw * F.col("_rows") < per_language)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in slices(pc.utf8_lower(batch.column(2))):
@@ -194,8 +196,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, passes: int = PASSES)
                      pa.array(where, pa.binary()), pa.array(share, pa.binary())],
                     ["turn", "lang", "places", "shares"])
 
+    @lean
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [(code.as_py(), np.frombuffer(p.as_py(), "<i4"), np.frombuffer(s.as_py(), "<f4").astype(float))
+        seen = [(code.as_py(), np.frombuffer(p.as_buffer(), "<i4"), np.frombuffer(s.as_buffer(), "<f4"))
                 for batch in batches for code, p, s in zip(*batch.columns[1:], strict=True)]
         codes = sorted({code for code, _, _ in seen})
         yield _row("", "", np.zeros(0), 0.0, codes)
@@ -231,10 +234,11 @@ def _duels(codes: list[str]) -> list[tuple]:
 def machine(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, passes: int) -> tuple[np.ndarray, float]:
     """A linear support vector machine by dual coordinate ascent; rows are (places, values, +1 or -1)."""
     w, bias = np.zeros(size), 0.0
-    norms = [float(x @ x) + 1.0 for _, x, _ in rows]
+    norms = [float(x.astype(float) @ x.astype(float)) + 1.0 for _, x, _ in rows]
     dual = np.zeros(len(rows))
     for _ in range(passes):
-        for i, (p, x, y) in enumerate(rows):
+        for i, (p, shares, y) in enumerate(rows):
+            x = shares.astype(float)
             step = dual[i] - (y * (w[p] @ x + bias) - 1) / norms[i]
             step = min(max(step, 0.0), COST)
             if step != dual[i]:

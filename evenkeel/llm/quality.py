@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.spans import LOWER, SPACE, hash_spans, mix, slices, sums, words
+from evenkeel.llm.spans import LOWER, SPACE, hash_spans, lean, mix, slices, sums, words
 
 BITS = 18
 # Labelled texts that the model is fitted on, at most.
@@ -84,6 +84,7 @@ def _forms(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 def score(text: Column, model: Model) -> Column:
     """Probability of good quality, from 0 to 1, of a whole text; a null text is empty."""
     @F.arrow_udf("double")
+    @lean
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = [np.zeros(0)]
@@ -104,6 +105,7 @@ def fit(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> Model:
     of the hash. Rows without a label are not used; without any row, or with
     one class alone, the model is its bias.
     """
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             turn, label = batch.column(0), batch.column(1)
@@ -119,8 +121,9 @@ def fit(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> Model:
                     [turn.slice(row, size), label.slice(row, size), pa.array(where, pa.binary()),
                      pa.array(share, pa.binary())], ["turn", "label", "places", "shares"])
 
+    @lean
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(np.frombuffer(p.as_py(), "<i4"), np.frombuffer(s.as_py(), "<f4").astype(float), y.as_py())
+        rows = [(np.frombuffer(p.as_buffer(), "<i4"), np.frombuffer(s.as_buffer(), "<f4"), y.as_py())
                 for batch in batches for y, p, s in zip(*batch.columns[1:], strict=True)]
         if rows:
             weights, bias = follow_leader(rows, 1 << bits, epochs)
@@ -141,9 +144,10 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int,
                   epochs: int) -> tuple[np.ndarray, float]:
     """Weights and bias after `epochs` passes of per-coordinate FTRL with L1 and L2 terms."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = [(np.append(p, size), np.append(x, 1.0), y) for p, x, y in rows]
     for _ in range(epochs):
-        for p, x, y in rows:
+        for places, shares, y in rows:
+            # Made anew each time: the sample is held once, as it came.
+            p, x = np.append(places, size), np.append(shares.astype(float), 1.0)
             zp, root = z[p], np.sqrt(n[p])
             w = _leader(zp, root)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
