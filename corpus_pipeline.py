@@ -10,19 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import language, mixing, near_copies, packing, quality, tables
+from evenkeel.llm import language, mixing, packing, quality, simhash, tables
 from evenkeel.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A document goes if its language cannot be told, or the closest of the winner's duels is lost.
 MIN_CONFIDENCE = 0.5
 MIN_QUALITY = 0.5
-# Near copies share four fifths of their five-word shingles.
-SHINGLE, SIMILARITY, PLANES = 5, 0.8, 8
+# Near copies: fingerprints of three-word shingles that differ in at most two bits.
+SHINGLE, MAX_BITS = 3, 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; a null text, or one without letters, goes."""
+    """Documents whose language is known; a null text, or one without letters, goes.
+
+    Rows that repeat stay, null ids and sources as well; no rows give no rows.
+    """
     tables.ready(spark)
     docs = docs.select(*COLUMNS)
     model = language.fit(docs.filter(~tables.in_fold("doc_id", 4, 2)))
@@ -32,7 +35,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls good; it learns from the labels outside the held-out third."""
+    """Documents that the classifier calls good; it learns from the labels outside the held-out third.
+
+    A null text is scored like an empty one. Rows that repeat have one score
+    and stay or go together; without labels all stay; no rows give no rows.
+    """
     tables.ready(spark)
     docs = docs.select(*COLUMNS)
     learned = tables.labels(spark, sf_dir).filter(~tables.in_fold("doc_id", 3, 1))
@@ -43,41 +50,45 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies, or one without doc_id if none has.
 
-    Rows that share a doc_id are documents of their own if their shingles differ.
+    Each row is a document of its own, also where rows share a doc_id or have
+    none; rows that are alike in doc_id and text are one. A null text is an
+    empty one. No rows give no rows.
     """
     tables.ready(spark)
-    docs = docs.select(*COLUMNS)
-    found = staged(near_copies.near_copies(docs, SHINGLE, SIMILARITY, PLANES), "near-copies")
-    # Many rows of a document with one set of shingles are one here: (doc_id, node).
-    texts = staged(found.groupBy("component", "doc_id", "node").agg(F.count(F.lit(1)).alias("rows")), "documents")
-    first = texts.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
-    marked = staged(texts.join(first, "component").withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
-        .select("doc_id", "node", "rows", "kept"), "marked-documents")
-    # A doc_id that stands for one row tells whether it goes; for others the texts tell.
-    shared = staged(marked.filter("doc_id is not null").groupBy("doc_id").agg(F.sum("rows").alias("rows"))
-                    .filter("rows > 1").select("doc_id"), "shared-ids")
-    gone = staged(marked.filter("not kept and doc_id is not null").select("doc_id")
-                  .unionByName(shared).distinct(), "gone-documents")
-    alone = docs.filter("doc_id is not null").join(near_copies.bounded(gone), "doc_id", "left_anti")
-    unclear = docs.filter("doc_id is null").unionByName(docs.join(near_copies.bounded(shared), "doc_id", "left_semi")
-                                                        .select(*COLUMNS))
-    kept = marked.filter("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_kept"))
-    node = near_copies.sketch(F.col("text"), SHINGLE, PLANES)["node"]
-    one = unclear.withColumn("_node", node).dropDuplicates(["doc_id", "_node"])
-    same = one["doc_id"].eqNullSafe(kept["_id"]) & (one["_node"] == kept["_kept"])
-    return alone.select(*COLUMNS).unionByName(one.join(kept, same, "left_semi").select(*COLUMNS))
+    docs = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
+    known = docs.select(F.col("_row").alias("doc_id"), F.col("doc_id").alias("_id"), "text")
+    found = simhash.near_duplicates(known, SHINGLE, simhash.exact_index(MAX_BITS), also=("_id",))
+    rows = staged(found.groupBy("component_id", F.col("doc_id").alias("_row")).agg(
+        F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_rows")), "documents")
+    first = rows.groupBy("component_id").agg(
+        F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "_rows")).alias("first"))
+    kept = staged(first.select("first._row", "first._rows"), "kept-documents")
+    gone = staged(rows.join(kept, "_row", "left_anti").select("_row"), "gone-documents")
+    again = staged(kept.filter("_rows > 1").select("_row"), "repeated-documents")
+    left = docs.join(tables.bounded(gone), "_row", "left_anti")
+    if again.isEmpty():
+        return left.select(*COLUMNS)
+    again = tables.bounded(again)
+    one = left.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+    return left.join(again, "_row", "left_anti").select(*COLUMNS).unionByName(one.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's rate and its draw say."""
+    """Each document as often as its source's rate and its draw say.
+
+    A null text has no words and never adds to a source; rows that repeat are
+    drawn alike; a null source is one of its own; no rows give no rows.
+    """
     mixed = mixing.mix_sources(docs.select(*COLUMNS)).documents
     return mixing.repeat(mixed).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document with its sequence and its place there."""
+    """A row per piece of a document with its sequence and its place there.
+
+    A null text is an empty one: its end mark alone. Rows that repeat, as mixed
+    ones do, are packed each; no rows give no rows.
+    """
     tables.ready(spark)
     pieces = packing.pieces(docs, packing.public_tokenizer())
     placed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
