@@ -385,6 +385,8 @@ SQL: dict[str, str] = {
     "failed_log_roundtrip": f"""WITH {LINKS}, {OUTCOMES.strip()}
         SELECT url FROM outcomes WHERE outcome = 'failed_permanently'
         UNION SELECT 'http://' || link FROM pl WHERE page_id % 7 = 0""",
+    "shuffled_order": """SELECT doc_id, md5(text) AS text, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS position
+        FROM documents""",
     "points_roundtrip": f"WITH {POINTS} {stepped('points')}",
 }
 SQL |= {"prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"],

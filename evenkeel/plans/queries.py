@@ -25,7 +25,7 @@ from evenkeel.operators import (
 from evenkeel.operators import links as link_ops
 from evenkeel.plans import pipeline
 from evenkeel.plans import standins as S
-from evenkeel.sources import buckets, tables
+from evenkeel.sources import buckets, shuffled, tables
 from evenkeel.sources import page_files as cache
 from evenkeel.sources.staging import new_path, staged
 from evenkeel.sources.tables import ATTEMPTS
@@ -565,6 +565,14 @@ def training_roundtrip(spark, d):
         F.col("input.role").alias("role"), F.col("input.content").alias("content"))
 
 
+@query
+def shuffled_order(spark, d):
+    path = new_path(spark, "shuffled")
+    docs = S.table(spark, d, "documents").select("doc_id", F.md5("text").alias("text"))
+    shuffled.write_shuffled(docs, "doc_id", path, rows_per_file=100)
+    return shuffled.read_shuffled(spark, path, docs.schema)
+
+
 @query
 def points_roundtrip(spark, d):
     path = new_path(spark, "points")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.operators import crawl, statistics
-from evenkeel.sources import batches, buckets, files, page_files, tables
+from evenkeel.sources import batches, buckets, files, page_files, shuffled, tables
 from evenkeel.streaming import crawl as live
 from evenkeel.streaming import pages as live_pages
 from evenkeel.streaming import retries
@@ -205,6 +205,24 @@ def test_a_page_table_is_a_listing(spark):
     assert [r.file_name for r in tables.page_listing(table).collect()] == ["k1.html", "k2.html"]
 
 
+def test_files_in_name_order_are_the_order(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "concat('t', id) text").repartition(7)
+    shuffled.write_shuffled(rows, "id", f"{tmp_path}/one", rows_per_file=90)
+    shuffled.write_shuffled(rows.repartition(3), "id", f"{tmp_path}/two", rows_per_file=90)
+    folders = sorted((tmp_path / "one").glob("start=*"))
+    taken = [i for folder in folders for f in sorted(folder.glob("*.parquet")) for i in pq.ParquetFile(f).read()["id"].to_pylist()]
+    expected = sorted(range(1000), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    assert taken == expected and len(folders) > 8 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+    for name in ("one", "two"):
+        found = shuffled.read_shuffled(spark, f"{tmp_path}/{name}", rows.schema).collect()
+        assert [r.id for r in sorted(found, key=lambda r: r.position)] == expected
+    rest = shuffled.read_shuffled(spark, f"{tmp_path}/one", rows.schema, after=700)
+    assert sorted(r.position for r in rest.collect()) == list(range(701, 1001))
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(start" in plan  # earlier files are not read
+    assert shuffled.read_shuffled(spark, f"{tmp_path}/one", rows.schema, after=1000).count() == 0
+
+
 @pytest.mark.parametrize("path", ["file:{}", "file://{}", "{}"])
 def test_addresses_of_folders(tmp_path, path):
     system, folder = page_files._folder(path.format(tmp_path / "new"))
