@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm import tables
+from evenkeel.operators.membership import key_filter, with_maybe
 from evenkeel.sources.staging import staged
 
 # Seconds of a bucket: within one, the seconds of a URL are ordered by a task; buckets meet by their last response.
@@ -61,26 +62,41 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     record_id repeats is taken once. No records give no rows.
 
     What is ordered is a row per URL and second, so a popular page adds no more
-    than the seconds of a day to a task. Revisits move as narrow rows with their
-    headers; bodies are read for the ids that were found, and joined last.
-    Runs jobs when called.
+    than the seconds of a day to a task. Outcomes are told by headers alone; of
+    the bodies only those that a revisit gets are moved, once, and a popular one
+    is copied for each few thousand of its revisits. Runs jobs when called.
     """
     keyed = records.filter(F.col("kind").isin("response", "revisit")).select(
         "record_id", "kind", F.col("ts").cast("bigint").alias("ts"), "headers", "payload",
         canonical_url(F.col("url")).alias("url_key"))
     asked = staged(keyed.filter("kind = 'revisit'").select("record_id", "ts", "url_key", F.col("headers").alias("asked")),
                    "revisits")
-    found = staged(_found(keyed, bucket), "found-responses")
-    met = staged(tables.spread_join(asked, found, ["url_key", "ts"]), "met-revisits")
-    wanted = met.select("response_id").filter("response_id is not null").distinct()
-    bodies = keyed.filter("kind = 'response'").select(F.col("record_id").alias("response_id"), "headers", "payload")
-    bodies = bodies.join(wanted, "response_id", "left_semi").groupBy("response_id").agg(
-        F.first("headers").alias("stored"), F.first("payload").alias("payload"))
+    met = staged(tables.spread_join(asked, _found(keyed, bucket), ["url_key", "ts"]), "met-revisits")
+    # Of responses that repeat a record_id the one with the least digest counts.
+    digest = F.xxhash64(F.map_entries("headers"), "payload")
+    bodies = keyed.filter("kind = 'response'").select(F.col("record_id").alias("response_id"), "headers", "payload",
+                                                      digest.alias("_digest"))
+    heads = staged(bodies.groupBy("response_id").agg(
+        F.min_by("headers", "_digest").alias("stored"), F.min("_digest").alias("_digest"),
+        F.count(F.lit(1)).alias("_rows")), "response-headers")
     # Revisits without response do not meet each other in the join.
-    alone = met.filter("response_id is null").withColumn("stored", F.lit(None).cast("map<string,string>")).withColumn(
-        "payload", F.lit(None).cast("string"))
-    joined = tables.spread_join(met.filter("response_id is not null"), bodies, ["response_id"]).unionByName(alone).withColumns(
-        {"asked": headers(F.col("asked")), "stored": headers(F.col("stored"))})
+    alone = met.filter("response_id is null").select("*", F.lit(None).cast("map<string,string>").alias("stored"),
+                                                     F.lit(None).cast("bigint").alias("_digest"))
+    joined = tables.spread_join(met.filter("response_id is not null"), heads.drop("_rows"), ["response_id"])
+    told = staged(_told(joined.unionByName(alone)), "told-revisits")
+    full = told.filter(F.col("outcome").isin("resolved", "unchecked"))
+    wanted = key_filter(full, "response_id")
+    needed = with_maybe(bodies, wanted, "response_id", "_maybe").filter("_maybe").select("response_id", "_digest", "payload")
+    if not heads.filter("_rows > 1").isEmpty():
+        needed = needed.dropDuplicates(["response_id", "_digest"])
+    with_body = tables.spread_join(full, needed, ["response_id", "_digest"])
+    rest = told.filter(~F.col("outcome").isin("resolved", "unchecked")).withColumn("payload", F.lit(None).cast("string"))
+    return with_body.unionByName(rest).select("record_id", "ts", "url_key", "response_id", "outcome", "headers", "payload")
+
+
+def _told(joined: DataFrame) -> DataFrame:
+    """Outcome and merged headers of revisits with the headers that were asked and stored."""
+    joined = joined.withColumns({"asked": headers(F.col("asked")), "stored": headers(F.col("stored"))})
     tag = opaque(F.col("asked")["etag"]), opaque(F.col("stored")["etag"])
     time = F.col("asked")["last-modified"], F.col("stored")["last-modified"]
     agree = F.coalesce(tag[0] == tag[1], time[0] == time[1])
@@ -90,8 +106,7 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     merged = F.map_concat(F.map_filter("stored", lambda k, _: ~F.array_contains(F.map_keys(new), k)), new)
     full = F.col("outcome").isin("resolved", "unchecked")
     return joined.withColumn("outcome", outcome).select(
-        "record_id", "ts", "url_key", "response_id", "outcome", F.when(full, merged).alias("headers"),
-        F.when(full, F.col("payload")).alias("payload"))
+        "record_id", "ts", "url_key", "response_id", "_digest", "outcome", F.when(full, merged).alias("headers"))
 
 
 def _found(keyed: DataFrame, bucket: int) -> DataFrame:
