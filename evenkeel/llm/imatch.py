@@ -1,17 +1,18 @@
 """I-Match fingerprints: terms of a middle document frequency, hashed over randomised lexicons.
 
 The lexicon keeps the terms whose inverse document frequency lies in a band.
-Of a text's distinct terms in it, each of several random subsets of the lexicon
+Of a text's distinct terms in it, each of many random subsets of the lexicon
 takes those it holds, and their hash is one part of the fingerprint. Subsets
-come at rates of a half, a quarter, and so on; a text uses the three rates at
-which a subset holds about one of its terms, so that long and short texts keep
-like shares of their parts when they are edited.
+come at rates of 1/64, 1/128 and so on, 64 at each rate; a text uses the three
+rates at which a subset holds about one of its terms or less, so that texts of
+any length keep like shares of their parts when they are edited.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,14 @@ from evenkeel.llm.spans import LOWER, hash_spans, mix, slices, words
 from evenkeel.sources.staging import staged
 
 # Places of the table of document frequencies; its error follows the number of texts, as the band does.
-BITS = 20
+BITS = 22
 # Natural logarithms of texts over texts with the term.
 BAND = (2.3, 7.6)
-SUBSETS, LEVELS, DIGITS = 16, 3, 6
+# Subsets at a rate (a power of two), rates of a text, hexadecimal digits of a part.
+SUBSETS, LEVELS, DIGITS = 64, 3, 4
+LEAST = SUBSETS.bit_length() - 1
 NONE = "none"
-_SALTS = mix(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 % 2 ** 60))
+_SALT = 0x9E3779B97F4A7C15
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
@@ -96,38 +99,49 @@ def fingerprints(texts: pa.Array, kept: np.ndarray) -> list[str]:
 
 
 def _print(terms: np.ndarray) -> str:
-    """Level and parts of sorted distinct terms."""
+    """Level and parts of distinct terms; a subset without any of them has part 0."""
     if not len(terms):
         return NONE
-    level = max(1, len(terms).bit_length() - 1)
-    drawn = mix(terms[:, None] ^ _SALTS)
-    value = mix(terms)[:, None]
-    parts = []
-    for rate in range(level - 1, level + LEVELS - 1):
-        held = (drawn >> np.uint64(64 - rate)) == 0 if rate else np.ones(drawn.shape, bool)
-        total = mix(np.where(held, value, np.uint64(0)).sum(axis=0, dtype=np.uint64)) % np.uint64(16 ** DIGITS - 1)
-        parts += [f"{int(t) + 1:0{DIGITS}x}" if some else "0" * DIGITS
-                  for t, some in zip(total, held.any(axis=0), strict=True)]
-    return f"{level:02x}" + "".join(parts)
+    level = max(LEAST, len(terms).bit_length())
+    sums = np.zeros(LEVELS * SUBSETS, np.uint64)
+    held = np.zeros(LEVELS * SUBSETS, bool)
+    value = mix(terms)
+    for i in range(LEVELS):
+        rate = level + i
+        # Each rate deals the terms anew to 2^rate subsets, of which the first are used.
+        subset = mix(terms ^ np.uint64(rate * _SALT % 2 ** 64)) >> np.uint64(64 - rate)
+        used = subset < SUBSETS
+        place = subset[used].astype(np.int64) + i * SUBSETS
+        np.add.at(sums, place, value[used])
+        held[place] = True
+    parts = np.where(held, mix(sums) % np.uint64(16 ** DIGITS - 1) + np.uint64(1), np.uint64(0))
+    return f"{level:02x}" + parts.astype(">u2").tobytes().hex()
 
 
 def likeness(a: str, b: str) -> float:
-    """Share, from 0 to 1, of equal parts among those where either has terms, at the rates that both use."""
+    """Share, from 0 to 1, of their terms that two texts have in common, estimated from their parts.
+
+    At a rate at which a subset holds `u` terms of either text on average, `y`
+    of them in one text alone, a share exp(-u) of the subsets is empty in both
+    and a share exp(-y) is alike. So the two shares give `u` and `y`, and
+    2 (u - y) / (2 u - y) is what both hold of what each holds (Dice's measure).
+    """
     if a == b:
         return 1.0
     if NONE in (a, b):
         return 0.0
     own, other = _levels(a), _levels(b)
-    pairs = [(x, y) for rate in own.keys() & other.keys() for x, y in zip(own[rate], other[rate], strict=True)]
-    empty = "0" * DIGITS
-    some = sum(x != empty or y != empty for x, y in pairs)
-    return sum(x == y != empty for x, y in pairs) / some if some else 0.0
+    either = differing = 0.0
+    for rate in own.keys() & other.keys():
+        x, y = own[rate], other[rate]
+        either -= log(max(np.count_nonzero((x == 0) & (y == 0)), 0.5) / SUBSETS)
+        differing -= log(max(np.count_nonzero(x == y), 0.5) / SUBSETS)
+    return 2 * (either - differing) / (2 * either - differing) if either else 0.0
 
 
-def _levels(text: str) -> dict[int, list[str]]:
-    level, size = int(text[:2], 16), SUBSETS * DIGITS
-    rows = [text[2 + i * size:2 + (i + 1) * size] for i in range(LEVELS)]
-    return {level - 1 + i: [row[j:j + DIGITS] for j in range(0, size, DIGITS)] for i, row in enumerate(rows)}
+def _levels(text: str) -> dict[int, np.ndarray]:
+    parts = np.frombuffer(bytes.fromhex(text[2:]), ">u2").reshape(LEVELS, SUBSETS)
+    return {int(text[:2], 16) + i: row for i, row in enumerate(parts)}
 
 
 EDITS = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
