@@ -14,14 +14,27 @@ RX_WEBSITE = r"(?d)www\..*\.[a-z]{2,3}/"
 # Strict variant: the host part only.
 RX_WEBSITE_STRICT = r"www\.[^/\n]*\.[a-z]{2,3}/"
 
-# Script and style elements with their content, up to the end of the page if
-# they are never closed. Comments are matched first and kept (group 1), so
-# a tag named inside a comment removes nothing.
+# What a page is read as, in this order: comments, script and style elements,
+# elements whose content is text and no tags, and other tags. All but
+# scripts and styles are kept (group 1), so a tag named in a comment, in a title or in a
+# quoted value opens nothing, and a `>` in a quoted value ends no tag. What is
+# never closed goes up to the end of the page. The signs `++` and `*+`
+# (nothing is tried twice) are plain `+` and `*` where an engine never does.
+_VALUES = r"""(?:=[\t\n\f\r ]*+(?:"[^"]*"|'[^']*')|=|[^>=]++)*+"""
+_REST = rf"(?:[\t\n\f\r /]{_VALUES})?+(?:>|\z)"
+
+
+def _element(names: str) -> str:
+    return "|".join(rf"<{name}{_REST}.*?(?:</{name}(?:[\t\n\f\r /][^>]*+)?>|\z)" for name in names.split())
+
+
 RX_NONTEXT = (
-    r"(?is)(<!--.*?(?:-->|\z))"
-    r"|<script\b[^>]*>.*?(?:</script\b[^>]*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\b[^>]*>|\z)"
+    r"(?is)(<!--.*?(?:-->|\z)"
+    rf"|{_element('title textarea xmp iframe noembed noframes')})"
+    rf"|{_element('script style')}"
+    rf"|(</?[a-z][^\t\n\f\r />]*+{_REST})"
 )
+RX_NONTEXT_PLAIN = RX_NONTEXT.replace("++", "+").replace("*+", "*").replace("?+", "?")
 
 # Runs of newline, pipe, tab, no-break space and space become one space.
 RX_BLANKS = "[\n|\t\u00a0 ]+"

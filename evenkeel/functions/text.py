@@ -11,9 +11,12 @@ from evenkeel.functions import patterns as P
 
 
 def clean_html(html: Column, keep_pipes: bool = False) -> Column:
-    """Page without script and style elements, blanks collapsed to one space."""
+    """Page without script and style elements, blanks collapsed to one space.
+
+    The page is read tag by tag, each element that holds no tags as a whole (`RX_NONTEXT`).
+    """
     blanks = P.RX_BLANKS_KEEP_PIPES if keep_pipes else P.RX_BLANKS
-    return F.regexp_replace(F.regexp_replace(html, P.RX_NONTEXT, "$1"), blanks, " ")
+    return F.regexp_replace(F.regexp_replace(html, P.RX_NONTEXT, "$1$2"), blanks, " ")
 
 
 def strip_blank(text: Column) -> Column:

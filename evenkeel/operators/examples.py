@@ -15,6 +15,7 @@ from evenkeel.operators.ranking import BUCKET, ORDER, bucketed, seeded_positions
 BATCH_SIZE = 8
 SHUFFLE_SEED = 42
 SAMPLE_PAGES = 500
+SHARD_DIGITS = 15
 
 
 def decode_messages(df: DataFrame, column: str = "input") -> DataFrame:
@@ -92,41 +93,47 @@ def join_examples(df: DataFrame) -> DataFrame:
 
 
 def training_batches(df: DataFrame, key: str, size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED,
-                     pad_id: int = C.HASH_TOKENIZER.pad_id, side: str = "right") -> DataFrame:
+                     pad_id: int = C.HASH_TOKENIZER.pad_id, side: str = "right", per_shard: int = 1,
+                     before: str | None = None) -> DataFrame:
     """Rows in seeded order, in batches padded to their longest row.
 
     Adds `position` (from 1), `batch` (from 0) and `attention_mask`, and `labels`
     where `df` has a `prompt_size` instead: they are then made behind the
     shuffle. `key` must name one row. The keys alone are ranked first, to cut the order into shards
-    that start where a batch starts. The examples are then shuffled once, and
-    a batch finds its width inside its shard.
+    of `per_shard` batches (or of a digest bucket, if that has more). The examples are
+    then shuffled once, by shard, and sorted once: a batch finds its width among
+    the lengths around each row. `before` names a column for the number of rows before the shard.
     """
-    sharded = in_batch_shards(df, key, size, seed)
+    sharded = in_batch_shards(df, key, size, seed, per_shard).withColumn("_size", F.size("input_ids"))
     in_shard = Window.partitionBy("_shard").orderBy(ORDER, key)
-    placed = sharded.withColumn("position", F.col("_start") + F.row_number().over(in_shard) - 1)
-    batched = (placed.withColumn("batch", F.floor((F.col("position") - 1) / size))
-               .withColumn("_size", F.size("input_ids")))
-    width = F.max("_size").over(Window.partitionBy("_shard", "batch"))
+    around = F.collect_list(F.coalesce("_size", F.lit(0))).over(in_shard.rowsBetween(1 - size, size - 1))
+    placed = (sharded.select("*", F.row_number().over(in_shard).alias("_row"), around.alias("_around"))
+              .withColumn("position", F.col("_start") + F.col("_row") - 1)
+              .withColumn("batch", F.floor((F.col("position") - 1) / size)))
+    # The row's own place in `_around`, less those of its batch before it.
+    first = F.least("_row", F.lit(size)) - ((F.col("position") - 1) % size).cast("int")
+    labelled = placed.withColumn("_width", F.array_max(F.slice("_around", first, F.lit(size))))
     to = F.col("_width")
     ones = F.array_repeat(F.lit(1), F.col("_size"))
-    labelled = batched.withColumn("_width", width)
     if "labels" not in df.columns:
         labels = C.masked_labels(F.col("input_ids"), F.col("prompt_size"))
         labelled = labelled.withColumn("labels", labels).drop("prompt_size")
-    return (labelled.withColumn("attention_mask", C.padded(ones, to, 0, side))
-            .withColumn("input_ids", C.padded(F.col("input_ids"), to, pad_id, side))
-            .withColumn("labels", C.padded(F.col("labels"), to, P.IGNORED_LABEL, side))
-            .drop("_size", "_width", "_shard", "_start", ORDER))
+    padded = (labelled.withColumn("attention_mask", C.padded(ones, to, 0, side))
+              .withColumn("input_ids", C.padded(F.col("input_ids"), to, pad_id, side))
+              .withColumn("labels", C.padded(F.col("labels"), to, P.IGNORED_LABEL, side)))
+    if before:
+        padded = padded.withColumn(before, F.col("_shard"))
+    return padded.drop("_size", "_width", "_row", "_around", "_shard", "_start", ORDER)
 
 
-def in_batch_shards(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
-    """Add the digest order, `_shard` and the position `_start` of its first row.
+def in_batch_shards(df: DataFrame, key: str, size: int, seed: int, per_shard: int = 1) -> DataFrame:
+    """Add the digest order, `_shard` (the rows before it) and the position `_start` of its first row.
 
     A digest bucket starts a shard at its first row whose position opens
-    a batch; the rows before it belong to the shard before.
+    a batch, the first of `per_shard`; the rows before it belong to the shard before.
     """
     ranked = seeded_positions(df.select(key), key, seed)
-    opens = F.when((F.col("position") - 1) % size == 0, F.struct("position", ORDER))
+    opens = F.when((F.col("position") - 1) % (size * per_shard) == 0, F.struct("position", ORDER))
     starts = ranked.groupBy(BUCKET).agg(F.min(opens).alias("own"))
     # 65,536 buckets at most, in one small window and one broadcast.
     earlier = F.last("own", ignorenulls=True).over(
@@ -135,10 +142,15 @@ def in_batch_shards(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     first_of_own = F.col("own").isNotNull() & (F.col(ORDER) >= F.col("own")[ORDER])
     start = F.when(first_of_own, F.col("own.position")).otherwise(F.col("earlier.position"))
     return (bucketed(df, key, seed).join(F.broadcast(shards), BUCKET)
-            .withColumn("_start", start).withColumn("_shard", F.col("_start"))
+            .withColumn("_start", start).withColumn("_shard", shard_name(F.col("_start")))
             .drop("own", "earlier", BUCKET))
 
 
+def shard_name(start: Column) -> Column:
+    """The number of rows before a position as text that sorts like the number."""
+    return F.coalesce(F.lpad((start - 1).cast("string"), SHARD_DIGITS, "0"), F.lit(""))
+
+
 def token_stats(texts: DataFrame, text: Column, tokenizer: C.HashTokenizer = C.HASH_TOKENIZER,
                 first: int | None = None, key: str | None = None) -> DataFrame:
     """Max, mean and median token count with the rough attention size in bytes.

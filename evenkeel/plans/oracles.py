@@ -42,7 +42,7 @@ prepared AS (
   FROM keyed JOIN split USING (website) JOIN quota USING (train)
   QUALIFY row_number() OVER (PARTITION BY website ORDER BY md5('0:' || link), {ROW}) <= quota)"""
 
-CLEAN = f"""regexp_replace(regexp_replace(html, {text(P.RX_NONTEXT)}, '\\1', 'g'),
+CLEAN = f"""regexp_replace(regexp_replace(html, {text(P.RX_NONTEXT_PLAIN)}, '\\1\\2', 'g'),
              {text(P.RX_BLANKS)}, ' ', 'g')"""
 
 LISTING = """
@@ -389,7 +389,7 @@ SQL: dict[str, str] = {
         FROM documents""",
     "points_roundtrip": f"WITH {POINTS} {stepped('points')}",
 }
-SQL |= {"prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"],
+SQL |= {"ordered_batches": SQL["training_batches"], "prepared_roundtrip": SQL["prepared_dataset"], "training_roundtrip": SQL["training_table"],
         "scraped_only_filtered": SQL["scraped_only"], "crawl_rates_compacted": SQL["crawl_rates_stream"],
         "crawl_outcome_compacted": SQL["crawl_outcome_stream"], "converted_pages": SQL["page_table_roundtrip"],
         "training_stream": f"SELECT link, link_hash, md5(response) AS response FROM ({SQL['training_table']}) WHERE train"}

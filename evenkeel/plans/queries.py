@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.functions import chat as C
 from evenkeel.functions import links as L
@@ -392,13 +393,27 @@ def label_mask(spark, d):
 
 @query
 def training_batches(spark, d):
-    batches = examples.training_batches(examples.join_examples(_tokens(spark, d)), "doc_id")
+    return _batch_digests(examples.training_batches(examples.join_examples(_tokens(spark, d)), "doc_id"))
+
+
+def _batch_digests(batches):
     return batches.select(
         "doc_id", "position", "batch", F.size("input_ids").cast("bigint").alias("width"),
         F.md5(joined("input_ids")).alias("input_ids"), F.md5(joined("labels")).alias("labels"),
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("attended"))
 
 
+@query
+def ordered_batches(spark, d):
+    # Positions are the places of the rows in the files, in the order of their folders.
+    path = new_path(spark, "batches")
+    shuffled.write_ordered_batches(examples.join_examples(_tokens(spark, d)), "doc_id", path, per_file=20)
+    ids = {name: T.ArrayType(T.IntegerType()) for name in ("input_ids", "labels", "attention_mask")}
+    schema = T.StructType([T.StructField(name, kind) for name, kind in (
+        {"doc_id": T.LongType(), "batch": T.LongType()} | ids).items()])
+    return _batch_digests(shuffled.read_shuffled(spark, path, schema))
+
+
 @query
 def token_stats(spark, d):
     return examples.token_stats(S.texts(spark, d, "pages", "page_id"), F.col("html"))

@@ -1,14 +1,18 @@
 import json
 import random
 from collections import defaultdict
+from pathlib import Path
 from statistics import median
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.functions import chat as C
 from evenkeel.functions.order import seeded_order
 from evenkeel.operators import examples
+from evenkeel.sources import shuffled
 
 MESSAGES = "k int, input array<struct<role:string,content:string>>"
 
@@ -104,6 +108,25 @@ def test_examples_are_shuffled_once(spark):
     plan = examples.training_batches(df, "id")._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(_shard" in line]
     assert len(moved) == 1
+    wide = [line for line in plan.splitlines() if "Sort [_shard" in line]
+    assert len(wide) == 1
+
+
+def test_ordered_batches_are_written_where_they_are_made(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"k{i}", [i] * rng.randrange(1, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, input_ids array<int>").withColumn("labels", F.col("input_ids"))
+    path = f"{tmp_path}/b"
+    shuffled.write_ordered_batches(df, "k", path, per_file=7)
+    files = sorted(Path(path).glob("start=*/*.parquet"))
+    assert len(files) == len(set(f.parent for f in files)) == -(-500 // 56)
+    held = [r for f in files for r in pq.read_table(f, partitioning=None).to_pylist()]
+    assert [r["position"] for r in held] == list(range(1, 501))
+    expected = {r.k: r.asDict() for r in examples.training_batches(df, "k").collect()}
+    assert held == [expected[r["k"]] for r in held]
+    schema = T.StructType.fromDDL("k string, batch bigint, input_ids array<int>")
+    rest = shuffled.read_shuffled(spark, path, schema, after=60).orderBy("position").collect()
+    assert [(r.position, r.k, r.batch) for r in rest] == [(r["position"], r["k"], r["batch"]) for r in held[60:]]
 
 
 def test_token_stats(spark):

@@ -26,6 +26,15 @@ def test_clean_html(spark):
         "<scripty>kept</scripty>": "<scripty>kept</scripty>",
         "a<script>never closed": "a",
         "a<!-- never closed <script>1</script>": "a<!-- never closed <script>1</script>",
+        "<script-x>kept</script-x>": "<script-x>kept</script-x>",
+        "<a title='<script>'>kept</a><p>b</p>": "<a title='<script>'>kept</a><p>b</p>",
+        '<script data-a="x > y">gone</script>kept': "kept",
+        "<script>s = '<style>'; t = '<!--'</script>kept</style>": "kept</style>",
+        "<title>On <script> and <style></title><style>gone</style>": "<title>On <script> and <style></title>",
+        "<textarea><script>shown</script></textarea>": "<textarea><script>shown</script></textarea>",
+        "<a title=it's>b</a><script>'</script>c": "<a title=it's>b</a>c",
+        "1 < 2 <3 <script src=x": "1 < 2 <3 ",
+        "<p class='open>a</p><style>b</style>c": "<p class='open>a</p>c",
         "a\r\nb": "a\r b",
         "": "",
         None: None,
@@ -38,6 +47,8 @@ def test_clean_html_keeps_long_pages_whole(spark):
     body = "<p>x</p>" * 200_000
     page = "<script>" + "y" * 1_000_000 + "</script>" + body
     assert apply(spark, [page], X.clean_html) == [body]
+    values = "<img " + "".join(f"a{i}='{i}>' " for i in range(50_000)) + "src=data:" + "z" * 500_000 + "=>"
+    assert apply(spark, [values + page, page + values[:-1]], X.clean_html) == [values + body, body + values[:-1]]
 
 
 @settings(max_examples=20, deadline=None)
