@@ -23,23 +23,29 @@ from evenkeel.llm.charmodel import CharModel
 # The letters that a sign may stand for.
 SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "tl", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c", "*": "aeiou", "#": "aeiou",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c", "*": "aeioubcdfghjklmnpqrstvwxyz", "#": "aeiou",
     "%": "aeiou", "&": "aeiou", "?": "aeiou", "(": "c", "<": "c",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ԁ": "d",
     "α": "a", "ο": "o", "ε": "e", "ι": "i", "ı": "i",
 }
 APART = set(" .-_*~·•'`,/\\:;+=​‌‍­")
 # Costs of the channel: a sign read as a letter, a sign or gap kept, a gap dropped, a run of three or more
-# shortened, a double letter made one.
-AS_LETTER, KEPT, DROPPED, SHORTENED, HALVED = 0.7, 1.5, 0.3, 0.2, 6.0
+# shortened, a double letter made one, and the same where a word has several double letters.
+AS_LETTER, KEPT, DROPPED, SHORTENED, HALVED, HALVED_OFTEN = 0.7, 1.5, 0.3, 0.2, 6.0, 2.0
+# What a word must gain by taking a sign at its edge for a letter.
+GAIN = 2.0
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&-_/\\=~`"
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)")
+# Letters that stand apart: by a few blanks, or by any white space that is the same between all of them.
+_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)|(?<!\S)\S(\s+)\S(?:\1\S)+(?!\S)")
 # What every row of letters apart contains.
-_MAYBE_SPACED = re.compile(r"[ \t]\S[ \t]{1,3}\S(?!\S)")
+_MAYBE_SPACED = re.compile(r"\s\S\s+\S(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
+_DOUBLES = re.compile(r"(.)\1.*(.)\2")
 _LOOKALIKES = frozenset(c for c in SIGNS if c.isalpha())
 # Edge signs that may be the first letter of a word.
 _OPENING = frozenset("!|")
+# Edge signs that are a letter where the word is likelier with it than without.
+_MAYBE_OPENING, _MAYBE_CLOSING = frozenset("*#%&?(<"), frozenset("*#%&")
 # Tokens whose reading a worker keeps; beyond, it starts anew.
 KEPT_TOKENS = 300_000
 
@@ -63,21 +69,35 @@ class Decoder:
         if token and token[0] in _OPENING and bare:
             before = token[:token.index(bare)][-1:]
             bare = before + bare if before in _OPENING else bare
-        if not bare or plain(bare) or not any(map(str.isalpha, bare)):
+        if not bare or not any(map(str.isalpha, bare)):
             return bare
-        found = self.read.get(bare)
+        edged = edges(token, bare)
+        if edged == bare and plain(bare):
+            return bare
+        found = self.read.get(edged)
         if found is None:
             if len(self.read) >= KEPT_TOKENS:
                 self.read = {}
-            found = self.read[bare] = self.viterbi(bare) if disguised(bare) else bare
+            found = self.read[edged] = self._read(edged, bare)
         return found
 
+    def _read(self, edged: str, bare: str) -> str:
+        if edged == bare:
+            return self.viterbi(bare) if disguised(bare) else bare
+        without, reading = self.decode(bare)
+        with_sign, other = self.decode(edged)
+        return other if with_sign + GAIN < without else reading
+
     def spaced(self, text: str) -> str:
         """The reading of letters that stand apart."""
         return self.viterbi(text)
 
     def viterbi(self, text: str) -> str:
-        """The path of least cost through the lattice of `text`."""
+        """The reading on the path of least cost through the lattice of `text`."""
+        return self.decode(text)[1]
+
+    def decode(self, text: str) -> tuple[float, str]:
+        """The least cost and its reading."""
         cost = self.model.cost
         paths: dict[int, tuple[float, bytes]] = {0x202020: (0.0, b"")}
         for choices in lattice(text):
@@ -97,13 +117,20 @@ class Decoder:
             paths = following
         ended = min((total + (cost(last, 0x20) if last & 0xFF != 0x20 else 0.0), out)
                     for last, (total, out) in paths.items())
-        return ended[1].decode("utf-8", "ignore").strip()
+        return ended[0], ended[1].decode("utf-8", "ignore").strip()
+
+
+def edges(token: str, bare: str) -> str:
+    """`bare` with the signs next to it in `token` that may be letters."""
+    at = token.index(bare)
+    before, after = token[:at][-1:], token[at + len(bare):][:1]
+    return (before if before in _MAYBE_OPENING else "") + bare + (after if after in _MAYBE_CLOSING else "")
 
 
 def plain(word: str) -> bool:
-    """True if a word has one reading: letters alone, none of them a lookalike or three times in a row."""
+    """True if a word has one reading: letters alone, none a lookalike or three times in a row, one double at most."""
     return (word.isalpha() and (word.isascii() or _LOOKALIKES.isdisjoint(word))
-            and not _RUN.search(word))
+            and not _RUN.search(word) and not _DOUBLES.search(word))
 
 
 def spaced(text: str) -> Iterator[re.Match]:
@@ -112,13 +139,14 @@ def spaced(text: str) -> Iterator[re.Match]:
 
 
 def disguised(token: str) -> bool:
-    """True if a token has signs for letters, gaps between letters or a letter three times."""
-    return any(c in SIGNS or c in APART for c in token) or bool(_RUN.search(token))
+    """True if a token has signs for letters, gaps between letters, a letter three times or several doubles."""
+    return any(c in SIGNS or c in APART for c in token) or bool(_RUN.search(token) or _DOUBLES.search(token))
 
 
 def lattice(text: str) -> list[list[tuple[float, bytes]]]:
     """For each place, in order, its readings with the cost of the channel."""
     out: list[list[tuple[float, bytes]]] = []
+    halved = HALVED_OFTEN if _DOUBLES.search(text) else HALVED
     at = 0
     while at < len(text):
         sign = text[at]
@@ -134,8 +162,8 @@ def lattice(text: str) -> list[list[tuple[float, bytes]]]:
                 readings.append((price, one))
             else:
                 long = end - at > 2
-                readings += [(price + (SHORTENED if long else HALVED), one), (price + SHORTENED * long, 2 * one)]
-        if sign in APART:
+                readings += [(price + (SHORTENED if long else halved), one), (price + SHORTENED * long, 2 * one)]
+        if sign in APART or sign.isspace():
             readings += [(DROPPED, b""), (KEPT, b" ")]
         elif not letters or sign in SIGNS:
             readings.append((KEPT, b" "))
@@ -212,6 +240,9 @@ class Evidence(dict):
         self.decoder, self.odds = decoder, odds
         # What a word with any feature begins with.
         self.heads = {name.partition(":")[2][:PREFIXES[0]] for name in odds}
+        # Whole words that may be written in chunks, and what they begin with.
+        self.words = {name[2:] for name in odds if name.startswith("w:")}
+        self.begun = {word[:n] for word in self.words for n in range(1, len(word))}
 
     def __missing__(self, token: str) -> dict[str, float] | None:
         if len(self) >= KEPT_TOKENS:
@@ -228,12 +259,29 @@ class Evidence(dict):
                     found[word] = best
         return found or None
 
+    def chunked(self, parts: list[str]) -> Iterator[str]:
+        """Known words that neighbouring parts make up, where the lattice of all of them is read as that word."""
+        for at, part in enumerate(parts):
+            if part not in self.begun:
+                continue
+            word, end = part, at + 1
+            while end < len(parts) and word in self.begun:
+                last = parts[end].strip(_EDGE)
+                word, end = word + last, end + 1
+                if word in self.words and self.decoder.viterbi(" ".join([*parts[at:end - 1], last])) == word:
+                    yield word
+                if last != parts[end - 1]:
+                    break
+
     def top(self, text: str) -> list[float]:
         """The highest log odds among the distinct words of the restored text, in falling order."""
         lowered = text.lower()
         words: dict[str, float] = {}
-        for found in filter(None, map(self.__getitem__, set(lowered.split()))):
+        parts = lowered.split()
+        for found in filter(None, map(self.__getitem__, set(parts))):
             words.update(found)
+        for word in self.chunked(parts):
+            words.update(self.of(word) or {})
         for match in spaced(lowered):
             words.update(self.of(self.decoder.spaced(match.group())) or {})
         return (sorted(words.values(), reverse=True) + [0.0] * TOP)[:TOP]
