@@ -36,9 +36,18 @@ def chat_render(df: DataFrame, messages: str = "input",
 
 def tokenize_examples(df: DataFrame, tokenizer: C.HashTokenizer = C.HASH_TOKENIZER) -> DataFrame:
     """Add `prompt_ids`, and `response_ids` that end with the end token."""
+    return tokenize_responses(tokenize_prompts(df, tokenizer), tokenizer)
+
+
+def tokenize_prompts(df: DataFrame, tokenizer: C.HashTokenizer = C.HASH_TOKENIZER) -> DataFrame:
+    """Add `prompt_ids`. Where several answers share a prompt, tokenize it before they are joined to it."""
+    return df.withColumn("prompt_ids", tokenizer.ids(F.col("prompt")))
+
+
+def tokenize_responses(df: DataFrame, tokenizer: C.HashTokenizer = C.HASH_TOKENIZER) -> DataFrame:
+    """Add `response_ids` that end with the end token."""
     end = F.array(F.lit(tokenizer.eos_id))
-    return (df.withColumn("prompt_ids", tokenizer.ids(F.col("prompt")))
-            .withColumn("response_ids", F.concat(tokenizer.ids(F.col("response")), end)))
+    return df.withColumn("response_ids", F.concat(tokenizer.ids(F.col("response")), end))
 
 
 def model_token_ids(load_tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]]):

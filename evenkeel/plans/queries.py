@@ -365,18 +365,15 @@ def chat_json_roundtrip(spark, d):
         first["role"].alias("role"), first["content"].alias("content"))
 
 
-def _rendered(spark, d):
-    """A prompt per document, made of its page, with the text as the answer."""
+def _tokens(spark, d):
+    """Ids per document: the prompt is its page, which is tokenized once, and the text is the answer."""
     docs = S.texts(spark, d, "documents", "doc_id").select(
         "doc_id", S.page_of_document(spark, d).alias("link_hash"), F.col("text").alias("response"))
-    cleaned = pages.page_table(S.table(spark, d, "pages").withColumnRenamed("page_id", "link_hash"))
+    cleaned = pages.page_table(S.texts(spark, d, "pages", "page_id").withColumnRenamed("page_id", "link_hash"))
     prompts = examples.chat_render(cleaned.select(
-        "link_hash", F.array(C.message("user", F.col("html_data"))).alias("input"))).drop("input")
-    return docs.join(prompts, "link_hash").drop("link_hash")
-
-
-def _tokens(spark, d):
-    return examples.tokenize_examples(_rendered(spark, d)).drop("prompt", "response")
+        "link_hash", F.array(C.message("user", F.col("html_data"))).alias("input")))
+    prompt_ids = examples.tokenize_prompts(prompts).select("link_hash", "prompt_ids")
+    return examples.tokenize_responses(docs).drop("response").join(prompt_ids, "link_hash").drop("link_hash")
 
 
 @query
