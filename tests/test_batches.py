@@ -150,6 +150,29 @@ def test_retry_events_of_late_and_repeated_files(spark, tmp_path):
     assert due == {(r.url, r.first_failure) for r in batch.filter("outcome = 'retry_pending'").collect()} != set()
 
 
+def test_links_of_a_bucket_share_a_state(spark, tmp_path):
+    rng = random.Random(7)
+    kinds = ["failed", "saved", "responded", None]
+    items = [(f"u{rng.randrange(150)}", rng.choice([1, 2, None]), rng.choice(kinds), rng.randrange(900)) for _ in range(300)]
+    whole = attempts(spark, [*items, *[(f"v{i}", 1, "responded", i) for i in range(400)]]).select(
+        F.when(F.col("url") != "u1", "r").alias("run"), "ts", F.when(F.col("url") != "u2", F.col("url")).alias("url"),
+        "attempt", "kind", "status", "bytes")
+    whole.repartition(3, "ts").write.parquet(f"{tmp_path}/log")
+    query = retries.watch_retries(live.stream_attempts(spark, f"{tmp_path}/log"), f"{tmp_path}/out", f"{tmp_path}/state", 0,
+                                  available_now=True, buckets=4)
+    query.awaitTermination()
+    # A state per bucket and its timers, whatever the number of links.
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 4 * 3
+    found = [tuple(r) for r in retries.read_events(spark, f"{tmp_path}/out").collect()]
+    states = crawl.outcome_states(whole.withColumn("kind", F.coalesce("kind", F.lit("")))).na.fill(False)
+    due = states.filter("failed_once and not saved and not retried")
+    failed = states.filter("failed_twice and not saved")
+    expected = {(r.run, r.url, event, r.first_failure) for event, rows in ((retries.DUE, due), (retries.FAILED, failed))
+                for r in rows.collect()}
+    assert len(found) == len(expected) and set(found) == expected
+    assert {event for _, _, event, _ in found} == {retries.DUE, retries.FAILED}
+
+
 def test_points_at_each_hundredth_save(spark, tmp_path):
     items = [(f"u{i}", 1, "saved" if i % 5 else "failed", i) for i in range(700)]
     for i in range(0, 700, 140):
