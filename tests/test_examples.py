@@ -129,6 +129,17 @@ def test_ordered_batches_are_written_where_they_are_made(spark, tmp_path):
     assert [(r.position, r.k, r.batch) for r in rest] == [(r["position"], r["k"], r["batch"]) for r in held[60:]]
 
 
+def test_ids_are_joined_without_a_string_each(spark):
+    from evenkeel.plans import queries
+
+    df = spark.createDataFrame([([1, 20, -100],), ([],), (None,), ([7],)], "ids array<int>")
+    got = df.select(queries.joined_ids("ids"), queries.joined("ids")).collect()
+    assert [a for a, _ in got] == [b for _, b in got] == ["1,20,-100", "", None, "7"]
+    for name in ("training_batches", "ordered_batches", "tokenize_examples", "label_mask"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_join(cast" not in plan
+
+
 def test_token_stats(spark):
     texts = ["a b c", "a", "a b", "", None, "a b c d e f"]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
