@@ -8,6 +8,7 @@ reading, themselves. The score comes from the words of the restored text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -120,6 +121,33 @@ class Decoder:
         return ended[0], ended[1].decode("utf-8", "ignore").strip()
 
 
+# The last decoder of a worker, by the digest of its counts, and the evidence of its last model.
+_KEPT: dict[bytes, Decoder] = {}
+_EVIDENCE: dict[bytes, Evidence] = {}
+
+
+def kept_decoder(totals: np.ndarray) -> Decoder:
+    """The decoder of these counts, which a worker's later tasks go on using: a token is read once a worker."""
+    name = _digest(totals)
+    if name not in _KEPT:
+        _KEPT.clear()
+        _EVIDENCE.clear()
+        _KEPT[name] = Decoder(CharModel(totals))
+    return _KEPT[name]
+
+
+def kept_evidence(model: Model) -> Evidence:
+    """The evidence of a model, kept in the same way."""
+    decoder, name = kept_decoder(model.totals), _digest(model.totals)
+    if name not in _EVIDENCE or _EVIDENCE[name].odds != model.odds:
+        _EVIDENCE[name] = Evidence(decoder, model.odds)
+    return _EVIDENCE[name]
+
+
+def _digest(totals: np.ndarray) -> bytes:
+    return hashlib.blake2b(np.ascontiguousarray(totals), digest_size=16).digest()
+
+
 def edges(token: str, bare: str) -> str:
     """`bare` with the signs next to it in `token` that may be letters."""
     at = token.index(bare)
@@ -207,7 +235,7 @@ def restore(text: Column, totals: np.ndarray) -> Column:
     """The restored text: lower case, disguised words read, white space as it was; null stays null."""
     @F.arrow_udf("string")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decoder = Decoder(CharModel(totals))
+        decoder = kept_decoder(totals)
         for batch in batches:
             yield pa.array([None if t is None else restored(t, decoder) for t in map(pa.Scalar.as_py, batch)],
                            pa.string())
@@ -219,8 +247,7 @@ def score(text: Column, model: Model) -> Column:
     """Probability, from 0 to 1, that a whole text is toxic; a null text is empty."""
     @F.arrow_udf("double")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decoder = Decoder(CharModel(model.totals))
-        known = Evidence(decoder, model.odds)
+        known = kept_evidence(model)
         for batch in batches:
             yield pa.array([_logistic(known.top(text.as_py() or ""), model.weights) for text in batch], pa.float64())
 
@@ -296,7 +323,7 @@ def fit(rows: DataFrame, totals: np.ndarray) -> Model:
     own share taken out of the counts. Without both classes the score is 0.
     """
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(CharModel(totals))
+        decoder = kept_decoder(totals)
         for batch in batches:
             found = [sorted({f for word in tokens(t.as_py() or "", decoder) for f in features(word)})
                      for t in batch.column(1)]
@@ -316,7 +343,7 @@ def fit(rows: DataFrame, totals: np.ndarray) -> Model:
     seen = dict(zip(table["feature"], zip(table["toxic"], table["clean"], strict=True), strict=True))
 
     def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(CharModel(totals))
+        decoder = kept_decoder(totals)
         for batch in batches:
             rows = []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
