@@ -25,8 +25,6 @@ SIZE = STARTS[2] + (1 << 20)
 _TURN = 0x9E3779B1
 # Bytes that are counted at a time; more than the largest table has places.
 SLICE = 1 << 22
-# Windows whose cost is kept; beyond, it starts anew.
-KEPT_COSTS = 500_000
 # Weight of the shorter window, in counts.
 BACK_OFF = 2.0
 _LETTER = np.zeros(256, bool)
@@ -89,8 +87,6 @@ class CharModel:
         window = (last & 0xFFFFFF) << 8 | byte
         found = self.known.get(window)
         if found is None:
-            if len(self.known) >= KEPT_COSTS:
-                self.known = {}
             found = self.known[window] = self._cost(window)
         return found
 
