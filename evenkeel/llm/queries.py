@@ -128,7 +128,8 @@ def captures(pages: DataFrame) -> DataFrame:
     The second response has no validator, the third a modification time alone.
     """
     when = F.lit(1_700_000_000) + F.col("page_id") % 1000 * 3600
-    digest = F.md5("html")
+    pages = pages.select("page_id", "url", "html", F.md5("html").alias("digest"),
+                         F.concat(F.regexp_replace("url", "^https?://", "HTTP://WWW."), F.lit("#again")).alias("again"))
 
     def record(number: int, url, ts, kind: str, payload, **fields):
         names = [x for name, value in fields.items() for x in (F.lit(name.replace("_", "-")), value)]
@@ -136,9 +137,8 @@ def captures(pages: DataFrame) -> DataFrame:
                         ts.cast("bigint").alias("ts"), F.lit(kind).alias("kind"),
                         F.create_map(*names).alias("headers"), payload.alias("payload"))
 
-    url, none = F.col("url"), F.lit(None).cast("string")
+    url, again, digest, none = F.col("url"), F.col("again"), F.col("digest"), F.lit(None).cast("string")
     age = F.concat(F.lit("max-age="), (F.col("page_id") % 7).cast("string"))
-    again = F.concat(F.regexp_replace(url, "^https?://", "HTTP://WWW."), F.lit("#again"))
     rows = F.array(
         record(0, url, when, "response", F.col("html"), ETag=digest, Content_Type=F.lit("text/html"),
                Content_Length=F.octet_length("html").cast("string")),

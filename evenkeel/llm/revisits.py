@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import tables
 from evenkeel.operators.membership import key_filter, with_maybe
-from evenkeel.sources.staging import staged
+from evenkeel.sources.staging import discard, staged
 
 # Seconds of a bucket: within one, the seconds of a URL are ordered by a task; buckets meet by their last response.
 BUCKET = 86_400
@@ -36,9 +36,13 @@ def canonical_url(url: Column) -> Column:
 
 def headers(column: Column) -> Column:
     """Header names in lower case; of names that repeat the last value counts. Null is no header."""
+    names = F.transform(F.map_keys(column), F.lower)
     entries = F.transform(F.map_entries(column), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]))
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+    # Names that repeat are rare: only they are looked for among those that follow.
+    lowered = (F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, F.map_values(column)))
+               .otherwise(F.map_from_entries(last)))
+    return F.coalesce(lowered, F.create_map().cast("map<string,string>"))
 
 
 def opaque(tag: Column) -> Column:
@@ -69,16 +73,17 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     keyed = records.filter(F.col("kind").isin("response", "revisit")).select(
         "record_id", "kind", F.col("ts").cast("bigint").alias("ts"), "headers", "payload",
         canonical_url(F.col("url")).alias("url_key"))
-    asked = staged(keyed.filter("kind = 'revisit'").select("record_id", "ts", "url_key", F.col("headers").alias("asked")),
-                   "revisits")
-    met = staged(tables.spread_join(asked, _found(keyed, bucket), ["url_key", "ts"]), "met-revisits")
     # Of responses that repeat a record_id the one with the least digest counts.
     digest = F.xxhash64(F.map_entries("headers"), "payload")
-    bodies = keyed.filter("kind = 'response'").select(F.col("record_id").alias("response_id"), "headers", "payload",
-                                                      digest.alias("_digest"))
-    heads = staged(bodies.groupBy("response_id").agg(
+    # Records are made, and their URLs and bodies read, once for all that follows but the bodies.
+    narrow = staged(keyed.select("record_id", "kind", "ts", "url_key", "headers",
+                                 F.when(F.col("kind") == "response", digest).alias("_digest")), "records")
+    asked = narrow.filter("kind = 'revisit'").select("record_id", "ts", "url_key", F.col("headers").alias("asked"))
+    met = staged(tables.spread_join(asked, _found(narrow, bucket), ["url_key", "ts"]), "met-revisits")
+    heads = staged(narrow.filter("kind = 'response'").groupBy(F.col("record_id").alias("response_id")).agg(
         F.min_by("headers", "_digest").alias("stored"), F.min("_digest").alias("_digest"),
         F.count(F.lit(1)).alias("_rows")), "response-headers")
+    bodies = keyed.filter("kind = 'response'").select(F.col("record_id").alias("response_id"), "payload", digest.alias("_digest"))
     # Revisits without response do not meet each other in the join.
     alone = met.filter("response_id is null").select("*", F.lit(None).cast("map<string,string>").alias("stored"),
                                                      F.lit(None).cast("bigint").alias("_digest"))
@@ -89,6 +94,9 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     needed = with_maybe(bodies, wanted, "response_id", "_maybe").filter("_maybe").select("response_id", "_digest", "payload")
     if not heads.filter("_rows > 1").isEmpty():
         needed = needed.dropDuplicates(["response_id", "_digest"])
+    # What was told holds all that is needed of them; the bodies find their room free.
+    for table in (narrow, met, heads):
+        discard(table)
     with_body = tables.spread_join(full, needed, ["response_id", "_digest"])
     rest = told.filter(~F.col("outcome").isin("resolved", "unchecked")).withColumn("payload", F.lit(None).cast("string"))
     return with_body.unionByName(rest).select("record_id", "ts", "url_key", "response_id", "outcome", "headers", "payload")
@@ -99,11 +107,14 @@ def _told(joined: DataFrame) -> DataFrame:
     joined = joined.withColumns({"asked": headers(F.col("asked")), "stored": headers(F.col("stored"))})
     tag = opaque(F.col("asked")["etag"]), opaque(F.col("stored")["etag"])
     time = F.col("asked")["last-modified"], F.col("stored")["last-modified"]
-    agree = F.coalesce(tag[0] == tag[1], time[0] == time[1])
+    # Columns of their own, so that they are computed once a row.
+    joined = joined.withColumns({"agree": F.coalesce(tag[0] == tag[1], time[0] == time[1]),
+                                 "new": F.map_filter("asked", lambda k, _: ~k.isin(*STORED_ONLY))})
+    joined = joined.withColumn("names", F.map_keys("new"))
+    agree = F.col("agree")
     outcome = (F.when(F.col("response_id").isNull(), "no_response").when(agree.isNull(), "unchecked")
                .when(agree, "resolved").otherwise("mismatch"))
-    new = F.map_filter("asked", lambda k, _: ~k.isin(*STORED_ONLY))
-    merged = F.map_concat(F.map_filter("stored", lambda k, _: ~F.array_contains(F.map_keys(new), k)), new)
+    merged = F.map_concat(F.map_filter("stored", lambda k, _: ~F.array_contains("names", k)), "new")
     full = F.col("outcome").isin("resolved", "unchecked")
     return joined.withColumn("outcome", outcome).select(
         "record_id", "ts", "url_key", "response_id", "_digest", "outcome", F.when(full, merged).alias("headers"))
@@ -111,12 +122,17 @@ def _told(joined: DataFrame) -> DataFrame:
 
 def _found(keyed: DataFrame, bucket: int) -> DataFrame:
     """(url_key, ts, response_id) for each URL and second with a revisit: the last earlier response, if there is one."""
+    # Numbers and flags alone, so that nothing is sorted to be counted.
+    answered = F.col("kind") == "response"
     seconds = keyed.filter(F.col("ts").isNotNull() & F.col("url_key").isNotNull()).groupBy("url_key", "ts").agg(
-        F.max(F.when(F.col("kind") == "response", F.struct("ts", "record_id"))).alias("own"),
+        F.max(answered).alias("answered"), F.max(F.when(answered, F.col("record_id"))).alias("record_id"),
         F.max(F.col("kind") == "revisit").alias("asked"))
-    placed = seconds.withColumn("bucket", F.floor(F.col("ts") / bucket))
+    placed = seconds.withColumns({"bucket": F.floor(F.col("ts") / bucket),
+                                  "own": F.when(F.col("answered"), F.struct("ts", "record_id"))})
     # One row per URL and bucket carries the last response of the buckets before.
-    lasts = placed.groupBy("url_key", "bucket").agg(F.max("own").alias("last"))
+    last = F.when(F.col("answered"), F.col("ts"))
+    lasts = placed.groupBy("url_key", "bucket").agg(F.max(last).alias("ts"), F.max_by("record_id", last).alias("record_id"))
+    lasts = lasts.select("url_key", "bucket", F.when(F.col("ts").isNotNull(), F.struct("ts", "record_id")).alias("last"))
     earlier = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = lasts.select("url_key", "bucket", F.max("last").over(earlier).alias("carried"))
     # A response of the revisit's own second is not earlier.

@@ -61,6 +61,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table that `staged` wrote, once nothing reads it any more."""
+    for path in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        delete(table.sparkSession, path)
+
+
 def staged_with_facts(df: DataFrame, label: str, *facts: Column) -> tuple[DataFrame, dict]:
     """`staged`, with aggregates that are taken while the table is written.
 

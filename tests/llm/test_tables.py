@@ -205,6 +205,21 @@ def test_revisits_with_one_record_id_keep_their_headers(spark):
         (1, "resolved", "1"), (2, "mismatch", None), (2, "resolved", "2")]
 
 
+def test_records_are_read_once_and_not_sorted_to_be_counted(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(url):
+        read.add(1)
+        return url
+
+    rows = [(i, f"a.b/{i % 3}", i // 2, "revisit" if i % 4 else "response", {"ETag": "1", "Date": "2"}, "x") for i in range(40)]
+    frame = spark.createDataFrame(rows, RECORDS)
+    assert revisits.resolve(frame.withColumn("url", F.udf(seen, "string")("url"))).count() == 30
+    assert read.value == len(rows)
+    found = revisits._found(frame.withColumn("url_key", F.col("url")), 50)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_popular_keys_are_spread(spark):
     rows = spark.range(3000).selectExpr("if(id % 3 = 0, id, 7) k", "id")
     facts = spark.range(0, 3000, 2).selectExpr("id k", "concat('f', id) fact").unionByName(
