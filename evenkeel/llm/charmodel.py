@@ -78,8 +78,8 @@ class CharModel:
     def __init__(self, totals: np.ndarray):
         self.totals = totals
         pairs = totals[:1 << 16].reshape(256, 256)
-        self.before, self.single = pairs.sum(axis=1), pairs.sum(axis=0)
-        self.sum = max(int(self.single.sum()), 1)
+        self.before, self.single = pairs.sum(axis=1).tolist(), pairs.sum(axis=0).tolist()
+        self.sum = max(sum(self.single), 1)
         self.known: dict[int, float] = {}
 
     def cost(self, last: int, byte: int) -> float:
@@ -93,10 +93,10 @@ class CharModel:
     def _cost(self, window: int) -> float:
         byte, two, three = window & 0xFF, window & 0xFFFF, window & 0xFFFFFF
         p = (self.single[byte] + 0.1) / (self.sum + 25.6)
-        p = (self.totals[two] + BACK_OFF * p) / (self.before[two >> 8] + BACK_OFF)
+        p = (self.totals.item(two) + BACK_OFF * p) / (self.before[two >> 8] + BACK_OFF)
         p = (self._n(three, 3) + BACK_OFF * p) / (max(self._n(three, 3), self._n(three >> 8, 2)) + BACK_OFF)
         p = (self._n(window, 4) + BACK_OFF * p) / (max(self._n(window, 4), self._n(window >> 8, 3)) + BACK_OFF)
-        return -log(float(p))
+        return -log(p)
 
     def _n(self, window: int, order: int) -> int:
-        return int(self.totals[place(window, order)])
+        return self.totals.item(place(window, order))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import log, sqrt
 
 import numpy as np
@@ -39,6 +40,7 @@ _EDGE = ".,;:!?\"'()[]{}<>|*#%&-_/\\=~`"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)|(?<!\S)\S(\s+)\S(?:\1\S)+(?!\S)")
 # What every row of letters apart contains.
 _MAYBE_SPACED = re.compile(r"\s\S\s+\S(?!\S)")
+_DOUBLE = re.compile(r"(.)\1")
 _RUN = re.compile(r"(.)\1\1")
 _DOUBLES = re.compile(r"(.)\1.*(.)\2")
 _LOOKALIKES = frozenset(c for c in SIGNS if c.isalpha())
@@ -46,6 +48,7 @@ _LOOKALIKES = frozenset(c for c in SIGNS if c.isalpha())
 _OPENING = frozenset("!|")
 # Edge signs that are a letter where the word is likelier with it than without.
 _MAYBE_OPENING, _MAYBE_CLOSING = frozenset("*#%&?(<"), frozenset("*#%&")
+_BYTES = [bytes((byte,)) for byte in range(256)]
 # Tokens whose reading a worker keeps; beyond, it starts anew.
 KEPT_TOKENS = 300_000
 
@@ -65,6 +68,8 @@ class Decoder:
 
     def token(self, token: str) -> str:
         """The reading of a lowered token without white space."""
+        if token.isalpha() and plain(token):
+            return token
         bare = token.strip(_EDGE)
         if token and token[0] in _OPENING and bare:
             before = token[:token.index(bare)][-1:]
@@ -98,7 +103,7 @@ class Decoder:
 
     def decode(self, text: str) -> tuple[float, str]:
         """The least cost and its reading."""
-        cost = self.model.cost
+        cost, known = self.model.cost, self.model.known
         paths: dict[int, tuple[float, bytes]] = {0x202020: (0.0, b"")}
         for choices in lattice(text):
             following: dict[int, tuple[float, bytes]] = {}
@@ -108,9 +113,11 @@ class Decoder:
                     for byte in letters:
                         if byte == 0x20 and state & 0xFF == 0x20:
                             continue
-                        sum_ += cost(state, byte)
-                        state = (state << 8 | byte) & 0xFFFFFF
-                        written += bytes((byte,))
+                        window = state << 8 | byte
+                        spent = known.get(window)
+                        sum_ += cost(state, byte) if spent is None else spent
+                        state = window & 0xFFFFFF
+                        written += _BYTES[byte]
                     best = following.get(state)
                     if best is None or (sum_, written) < best:
                         following[state] = (sum_, written)
@@ -130,7 +137,7 @@ def edges(token: str, bare: str) -> str:
 def plain(word: str) -> bool:
     """True if a word has one reading: letters alone, none a lookalike or three times in a row, one double at most."""
     return (word.isalpha() and (word.isascii() or _LOOKALIKES.isdisjoint(word))
-            and not _RUN.search(word) and not _DOUBLES.search(word))
+            and not (_DOUBLE.search(word) and (_RUN.search(word) or _DOUBLES.search(word))))
 
 
 def spaced(text: str) -> Iterator[re.Match]:
@@ -143,6 +150,26 @@ def disguised(token: str) -> bool:
     return any(c in SIGNS or c in APART for c in token) or bool(_RUN.search(token) or _DOUBLES.search(token))
 
 
+@lru_cache(maxsize=1 << 16)
+def _readings(sign: str, run: int, halved: float) -> list[tuple[float, bytes]]:
+    """Readings of a sign that stands `run` times, three for more; the list is shared."""
+    readings = []
+    letters = sign if sign.isalpha() and sign not in SIGNS else SIGNS.get(sign, "")
+    price = 0.0 if sign == letters else AS_LETTER
+    for letter in letters:
+        one = letter.encode()
+        if run == 1:
+            readings.append((price, one))
+        else:
+            long = run > 2
+            readings += [(price + (SHORTENED if long else halved), one), (price + SHORTENED * long, 2 * one)]
+    if sign in APART or sign.isspace():
+        readings += [(DROPPED, b""), (KEPT, b" ")]
+    elif not letters or sign in SIGNS:
+        readings.append((KEPT, b" "))
+    return readings
+
+
 def lattice(text: str) -> list[list[tuple[float, bytes]]]:
     """For each place, in order, its readings with the cost of the channel."""
     out: list[list[tuple[float, bytes]]] = []
@@ -153,21 +180,7 @@ def lattice(text: str) -> list[list[tuple[float, bytes]]]:
         end = at + 1
         while end < len(text) and text[end] == sign:
             end += 1
-        readings = []
-        letters = sign if sign.isalpha() and sign not in SIGNS else SIGNS.get(sign, "")
-        price = 0.0 if sign == letters else AS_LETTER
-        for letter in letters:
-            one = letter.encode()
-            if end - at == 1:
-                readings.append((price, one))
-            else:
-                long = end - at > 2
-                readings += [(price + (SHORTENED if long else halved), one), (price + SHORTENED * long, 2 * one)]
-        if sign in APART or sign.isspace():
-            readings += [(DROPPED, b""), (KEPT, b" ")]
-        elif not letters or sign in SIGNS:
-            readings.append((KEPT, b" "))
-        out.append(readings)
+        out.append(_readings(sign, min(end - at, 3), halved))
         at = end
     return out
 
@@ -247,7 +260,10 @@ class Evidence(dict):
     def __missing__(self, token: str) -> dict[str, float] | None:
         if len(self) >= KEPT_TOKENS:
             self.clear()
-        found = self[token] = self.of(self.decoder.token(token))
+        reading = self.decoder.token(token)
+        # A single word that begins like none with a feature needs no more.
+        none = " " not in reading and reading[:PREFIXES[0]] not in self.heads
+        found = self[token] = None if none else self.of(reading)
         return found
 
     def of(self, reading: str) -> dict[str, float] | None:
@@ -261,11 +277,10 @@ class Evidence(dict):
 
     def chunked(self, parts: list[str]) -> Iterator[str]:
         """Known words that neighbouring parts make up, where the lattice of all of them is read as that word."""
-        for at, part in enumerate(parts):
-            if part not in self.begun:
-                continue
-            word, end = part, at + 1
-            while end < len(parts) and word in self.begun:
+        begun = self.begun
+        for at in [at for at, part in enumerate(parts) if part in begun]:
+            word, end = parts[at], at + 1
+            while end < len(parts) and word in begun:
                 last = parts[end].strip(_EDGE)
                 word, end = word + last, end + 1
                 if word in self.words and self.decoder.viterbi(" ".join([*parts[at:end - 1], last])) == word:

@@ -9,7 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from evenkeel.llm import packing, spans, tokens
+from evenkeel.llm import packing, spans, tokens, toxicity
+from evenkeel.llm.charmodel import SIZE, CharModel
 from evenkeel.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -132,3 +133,12 @@ def test_components(spark, shape):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_plain_words_and_readings_cost_nothing_twice(monkeypatch):
+    assert toxicity.lattice("ab")[0] is toxicity.lattice("cab")[1]
+    model = CharModel(np.zeros(SIZE, np.int64))
+    assert isinstance(model.cost(0x202020, 0x61), float) and isinstance(model.single[0x61], int)
+    decoder = toxicity.Decoder(model)
+    monkeypatch.setattr(toxicity, "edges", None)
+    assert [decoder.token(t) for t in ("plain", "letter", "éa")] == ["plain", "letter", "éa"]
