@@ -80,23 +80,32 @@ class CharModel:
         pairs = totals[:1 << 16].reshape(256, 256)
         self.before, self.single = pairs.sum(axis=1).tolist(), pairs.sum(axis=0).tolist()
         self.sum = max(sum(self.single), 1)
-        self.known: dict[int, float] = {}
+        self.known = Costs(self)
 
     def cost(self, last: int, byte: int) -> float:
         """Minus log probability of `byte` after the three bytes of `last`."""
-        window = (last & 0xFFFFFF) << 8 | byte
-        found = self.known.get(window)
-        if found is None:
-            found = self.known[window] = self._cost(window)
-        return found
+        return self.known[(last & 0xFFFFFF) << 8 | byte]
 
-    def _cost(self, window: int) -> float:
+    def of(self, window: int) -> float:
+        """Minus log probability of the last of four bytes."""
+        n = self.totals.item
         byte, two, three = window & 0xFF, window & 0xFFFF, window & 0xFFFFFF
         p = (self.single[byte] + 0.1) / (self.sum + 25.6)
-        p = (self.totals.item(two) + BACK_OFF * p) / (self.before[two >> 8] + BACK_OFF)
-        p = (self._n(three, 3) + BACK_OFF * p) / (max(self._n(three, 3), self._n(three >> 8, 2)) + BACK_OFF)
-        p = (self._n(window, 4) + BACK_OFF * p) / (max(self._n(window, 4), self._n(window >> 8, 3)) + BACK_OFF)
+        p = (n(two) + BACK_OFF * p) / (self.before[two >> 8] + BACK_OFF)
+        found = n(place(three, 3))
+        p = (found + BACK_OFF * p) / (max(found, n(three >> 8)) + BACK_OFF)
+        found = n(place(window, 4))
+        p = (found + BACK_OFF * p) / (max(found, n(place(window >> 8, 3))) + BACK_OFF)
         return -log(p)
 
-    def _n(self, window: int, order: int) -> int:
-        return self.totals.item(place(window, order))
+
+class Costs(dict):
+    """Window of four bytes to the cost of its last, counted once."""
+
+    def __init__(self, model: CharModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, window: int) -> float:
+        found = self[window] = self.model.of(window)
+        return found

@@ -38,19 +38,23 @@ GAIN = 2.0
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&-_/\\=~`"
 # Letters that stand apart: by a few blanks, or by any white space that is the same between all of them.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)|(?<!\S)\S(\s+)\S(?:\1\S)+(?!\S)")
-# What every row of letters apart contains.
-_MAYBE_SPACED = re.compile(r"\s\S\s+\S(?!\S)")
+# What every row of letters apart contains, after white space.
+_MAYBE_SPACED = re.compile(r"\s\S\s+\S\s+\S(?!\S)")
 _DOUBLE = re.compile(r"(.)\1")
 _RUN = re.compile(r"(.)\1\1")
 _DOUBLES = re.compile(r"(.)\1.*(.)\2")
+# Letters, of which the second group is what all readings begin with, and at most one sign, at the end.
+_ENDS_IN_SIGN = re.compile(r"(((?:([^\W\d_])(?!\3))++)[^\W\d_]*+)(?:([\W\d_])\4*+)?+[.,;:]*+")
 _LOOKALIKES = frozenset(c for c in SIGNS if c.isalpha())
 # Edge signs that may be the first letter of a word.
 _OPENING = frozenset("!|")
 # Edge signs that are a letter where the word is likelier with it than without.
 _MAYBE_OPENING, _MAYBE_CLOSING = frozenset("*#%&?(<"), frozenset("*#%&")
-_BYTES = [bytes((byte,)) for byte in range(256)]
+_MAYBE = _OPENING | _MAYBE_OPENING | _MAYBE_CLOSING
+# Paths through a lattice before its first place: their last three bytes to the cost and the letters so far.
+_START = {0x202020: (0.0, b"")}
 # Tokens whose reading a worker keeps; beyond, it starts anew.
-KEPT_TOKENS = 300_000
+KEPT_TOKENS = 500_000
 
 PREFIXES = (4, 5, 6)
 MAX_TRAINING = 12_000
@@ -68,9 +72,11 @@ class Decoder:
 
     def token(self, token: str) -> str:
         """The reading of a lowered token without white space."""
-        if token.isalpha() and plain(token):
+        if plain(token):
             return token
         bare = token.strip(_EDGE)
+        if plain(bare) and _MAYBE.isdisjoint(token):
+            return bare
         if token and token[0] in _OPENING and bare:
             before = token[:token.index(bare)][-1:]
             bare = before + bare if before in _OPENING else bare
@@ -89,8 +95,11 @@ class Decoder:
     def _read(self, edged: str, bare: str) -> str:
         if edged == bare:
             return self.viterbi(bare) if disguised(bare) else bare
-        without, reading = self.decode(bare)
-        with_sign, other = self.decode(edged)
+        paths = self._paths(lattice(bare), _START)
+        without, reading = self._ended(paths)
+        # A sign at the end alone goes on from the same paths.
+        with_sign, other = (self._ended(self._paths(lattice(edged[len(bare):]), paths)) if edged.startswith(bare)
+                            else self.decode(edged))
         return other if with_sign + GAIN < without else reading
 
     def spaced(self, text: str) -> str:
@@ -103,28 +112,53 @@ class Decoder:
 
     def decode(self, text: str) -> tuple[float, str]:
         """The least cost and its reading."""
-        cost, known = self.model.cost, self.model.known
-        paths: dict[int, tuple[float, bytes]] = {0x202020: (0.0, b"")}
-        for choices in lattice(text):
+        return self._ended(self._paths(lattice(text), _START))
+
+    def _paths(self, places: list[list[tuple[float, bytes]]],
+               paths: dict[int, tuple[float, bytes]]) -> dict[int, tuple[float, bytes]]:
+        """The path of least cost to each state after `places`, which follow `paths`."""
+        known = self.model.known
+        at = 0
+        if len(paths) == 1:
+            # As long as there is one path, there is nothing to compare.
+            [(state, (total, out))] = paths.items()
+            for choices in places:
+                if len(choices) > 1:
+                    break
+                extra, letters = choices[0]
+                at += 1
+                total += extra
+                if letters == b" " and state & 0xFF == 0x20:
+                    continue
+                for byte in letters:
+                    window = state << 8 | byte
+                    total += known[window]
+                    state = window & 0xFFFFFF
+                out += letters
+            paths = {state: (total, out)}
+        for choices in places[at:]:
             following: dict[int, tuple[float, bytes]] = {}
             for last, (total, out) in paths.items():
                 for extra, letters in choices:
                     state, sum_, written = last, total + extra, out
-                    for byte in letters:
-                        if byte == 0x20 and state & 0xFF == 0x20:
-                            continue
-                        window = state << 8 | byte
-                        spent = known.get(window)
-                        sum_ += cost(state, byte) if spent is None else spent
-                        state = window & 0xFFFFFF
-                        written += _BYTES[byte]
+                    if letters != b" " or state & 0xFF != 0x20:
+                        for byte in letters:
+                            window = state << 8 | byte
+                            sum_ += known[window]
+                            state = window & 0xFFFFFF
+                        written += letters
                     best = following.get(state)
-                    if best is None or (sum_, written) < best:
+                    if best is None or sum_ < best[0] or sum_ == best[0] and written < best[1]:
                         following[state] = (sum_, written)
             paths = following
-        ended = min((total + (cost(last, 0x20) if last & 0xFF != 0x20 else 0.0), out)
-                    for last, (total, out) in paths.items())
-        return ended[0], ended[1].decode("utf-8", "ignore").strip()
+        return paths
+
+    def _ended(self, paths: dict[int, tuple[float, bytes]]) -> tuple[float, str]:
+        """The least cost of whole paths and its reading."""
+        known = self.model.known
+        total, out = min((total + (known[last << 8 | 0x20] if last & 0xFF != 0x20 else 0.0), out)
+                         for last, (total, out) in paths.items())
+        return total, out.decode("utf-8", "ignore").strip()
 
 
 def edges(token: str, bare: str) -> str:
@@ -142,7 +176,7 @@ def plain(word: str) -> bool:
 
 def spaced(text: str) -> Iterator[re.Match]:
     """The rows of letters that stand apart in a lowered text."""
-    return _SPACED.finditer(text) if _MAYBE_SPACED.search(text) else iter(())
+    return _SPACED.finditer(text) if _MAYBE_SPACED.search(" " + text) else iter(())
 
 
 def disguised(token: str) -> bool:
@@ -202,9 +236,14 @@ def restored(text: str, decoder: Decoder) -> str:
     return re.sub(r"\S+", lambda m: decoder.token(m.group()), lowered)
 
 
-def features(word: str) -> list[str]:
-    """A word, and what longer words begin with."""
-    return [f"w:{word}", *(f"{n}:{word[:n]}" for n in PREFIXES if len(word) >= n)]
+def features(words: set[str]) -> list[str]:
+    """The distinct features of distinct words: a word, and what longer words begin with."""
+    found = ["w:" + word for word in words]
+    for n in reversed(PREFIXES):
+        # What is shorter begins like what is longer.
+        words = {word[:n] for word in words if len(word) >= PREFIXES[0]}
+        found += [f"{n}:{word}" for word in words if len(word) == n]
+    return found
 
 
 @dataclass(frozen=True)
@@ -246,60 +285,105 @@ def _logistic(values: list[float], weights: tuple[float, ...]) -> float:
 
 
 class Evidence(dict):
-    """Token to the log odds of its words, or None; tokens without any are kept as well."""
+    """Token to the word that it is read as and its log odds, or None; tokens without any are kept as well."""
 
     def __init__(self, decoder: Decoder, odds: dict[str, float]):
         super().__init__()
-        self.decoder, self.odds = decoder, odds
-        # What a word with any feature begins with.
-        self.heads = {name.partition(":")[2][:PREFIXES[0]] for name in odds}
-        # Whole words that may be written in chunks, and what they begin with.
-        self.words = {name[2:] for name in odds if name.startswith("w:")}
-        self.begun = {word[:n] for word in self.words for n in range(1, len(word))}
-
-    def __missing__(self, token: str) -> dict[str, float] | None:
-        if len(self) >= KEPT_TOKENS:
-            self.clear()
-        reading = self.decoder.token(token)
-        # A single word that begins like none with a feature needs no more.
-        none = " " not in reading and reading[:PREFIXES[0]] not in self.heads
-        found = self[token] = None if none else self.of(reading)
-        return found
-
-    def of(self, reading: str) -> dict[str, float] | None:
-        found = {}
-        for word in reading.split():
-            if word[:PREFIXES[0]] in self.heads:
-                best = max(self.odds.get(f, 0.0) for f in features(word))
-                if best > 0:
-                    found[word] = best
-        return found or None
-
-    def chunked(self, parts: list[str]) -> Iterator[str]:
-        """Known words that neighbouring parts make up, where the lattice of all of them is read as that word."""
-        begun = self.begun
-        for at in [at for at, part in enumerate(parts) if part in begun]:
+        self.decoder = decoder
+        # The odds of whole words, and the highest odds of what longer words begin with.
+        self.words: dict[str, float] = {}
+        self.starts: dict[str, float] = {}
+        for name, value in sorted(odds.items()):
+            # Shorter beginnings come first, whole words last.
+            kind, _, word = name.partition(":")
+            if (best := max(value, self.begins(word))) > 0:
+                (self.words if kind == "w" else self.starts)[word] = best
+        # Beginnings of whole words, which may be written in chunks, with the highest odds of these words; then with the
+        # words themselves.
+        self.begun: dict[str, float] = {}
+        for word, value in self.words.items():
+            for n in range(1, len(word)):
+                self.begun[word[:n]] = max(value, self.begun.get(word[:n], 0.0))
+        self.grown = self.begun | {word: max(value, self.begun.get(word, 0.0)) for word, value in self.words.items()}
+        # All that may go on to have log odds.
+        self.heads = self.grown.keys() | {start[:n] for start in self.starts for n in range(1, len(start) + 1)}
+        # Tokens read as several words with log odds.
+        self.several: dict[str, dict[str, float]] = {}
+
+    def __missing__(self, token: str) -> tuple[str, float] | None:
+        reading = token if plain(token) else "" if self.vain(token) else self.decoder.token(token)
+        if " " in reading:
+            found = self.of(reading)
+            if len(found) > 1:
+                self.several[token] = found
+            pair = next(iter(found.items()), None)
+        else:
+            value = self.value(reading)
+            pair = (reading, value) if value else None
+        self[token] = pair
+        return pair
+
+    def vain(self, token: str) -> bool:
+        """True if a token is read as one word, whose beginning alone shows that it has no log odds."""
+        found = _ENDS_IN_SIGN.fullmatch(token)
+        if found is None:
+            return False
+        letters, start = found.group(1, 2)
+        return (start not in self.heads and not self.begins(start) and letters.isalpha()
+                and (letters.isascii() or _LOOKALIKES.isdisjoint(letters)))
+
+    def begins(self, word: str) -> float:
+        """The highest log odds of what a word begins with, or 0."""
+        known = self.starts.get
+        return known(word[:PREFIXES[2]]) or known(word[:PREFIXES[1]]) or known(word[:PREFIXES[0]]) or 0.0
+
+    def value(self, word: str) -> float:
+        """The log odds of a word, or 0."""
+        return self.words.get(word) or self.begins(word)
+
+    def of(self, reading: str) -> dict[str, float]:
+        return {word: value for word in reading.split() if (value := self.value(word))}
+
+    def chunked(self, parts: list[str], distinct: set[str], above: float) -> Iterator[str]:
+        """Known words with log odds above a value that neighbouring parts make up, the lattice of all being read so."""
+        begun, grown = self.begun.get, self.grown.get
+        first = {part for part in self.begun.keys() & distinct if self.begun[part] > above}
+        # Most neighbours begin nothing together.
+        for at in [at for at, (part, after) in enumerate(zip(parts, parts[1:]))
+                   if part in first and grown(part + after.strip(_EDGE), 0.0) > above]:
             word, end = parts[at], at + 1
-            while end < len(parts) and word in begun:
+            while end < len(parts) and begun(word, 0.0) > above:
                 last = parts[end].strip(_EDGE)
                 word, end = word + last, end + 1
-                if word in self.words and self.decoder.viterbi(" ".join([*parts[at:end - 1], last])) == word:
+                if (self.words.get(word, 0.0) > above
+                        and self.decoder.viterbi(" ".join([*parts[at:end - 1], last])) == word):
                     yield word
                 if last != parts[end - 1]:
                     break
 
-    def top(self, text: str) -> list[float]:
-        """The highest log odds among the distinct words of the restored text, in falling order."""
+    def top(self, text: str, chunks: bool = True) -> list[float]:
+        """The highest log odds among the distinct words of the restored text, in falling order; words in chunks too."""
+        if len(self) >= KEPT_TOKENS:
+            self.clear()
+            self.several.clear()
         lowered = text.lower()
-        words: dict[str, float] = {}
         parts = lowered.split()
-        for found in filter(None, map(self.__getitem__, set(parts))):
-            words.update(found)
-        for word in self.chunked(parts):
-            words.update(self.of(word) or {})
+        distinct = set(parts)
+        words: dict[str, float] = dict(filter(None, map(self.__getitem__, distinct)))
+        if not self.several.keys().isdisjoint(distinct):
+            for token in self.several.keys() & distinct:
+                words.update(self.several[token])
+        if chunks:
+            # A word that is not above the least of the highest would change nothing.
+            for word in self.chunked(parts, distinct, _highest(words)[-1]):
+                words[word] = self.words[word]
         for match in spaced(lowered):
-            words.update(self.of(self.decoder.spaced(match.group())) or {})
-        return (sorted(words.values(), reverse=True) + [0.0] * TOP)[:TOP]
+            words.update(self.of(self.decoder.spaced(match.group())))
+        return _highest(words)
+
+
+def _highest(words: dict[str, float]) -> list[float]:
+    return (sorted(words.values(), reverse=True) + [0.0] * TOP)[:TOP]
 
 
 def fit(rows: DataFrame, totals: np.ndarray) -> Model:
@@ -313,8 +397,7 @@ def fit(rows: DataFrame, totals: np.ndarray) -> Model:
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(CharModel(totals))
         for batch in batches:
-            found = [sorted({f for word in tokens(t.as_py() or "", decoder) for f in features(word)})
-                     for t in batch.column(1)]
+            found = [features(tokens(t.as_py() or "", decoder)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))],
                                              ["label", "features"])
 
@@ -332,15 +415,13 @@ def fit(rows: DataFrame, totals: np.ndarray) -> Model:
 
     def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(CharModel(totals))
+        # The evidence without a toxic text, a clean text, and a text of another label.
+        without = {(x, y): Evidence(decoder, {f: _odds(a - x, b - y, toxic - x, clean - y)
+                                              for f, (a, b) in seen.items() if b >= y})
+                   for x, y in ((True, False), (False, True), (False, False))}
         for batch in batches:
-            rows = []
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                values = []
-                for word in tokens(text.as_py() or "", decoder):
-                    pairs = [seen[f] for f in features(word) if f in seen]
-                    values.append(max((_odds(a - (label == 1), b - (label == 0), toxic - (label == 1),
-                                             clean - (label == 0)) for a, b in pairs), default=0.0))
-                rows.append((sorted((v for v in values if v > 0), reverse=True) + [0.0] * TOP)[:TOP])
+            rows = [without[label == 1, label == 0].top(text.as_py() or "", chunks=False) for label, text in
+                    zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))],
                                              ["label", "values"])
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from evenkeel.llm import packing, spans, tokens, toxicity
-from evenkeel.llm.charmodel import SIZE, CharModel
+from evenkeel.llm.charmodel import SIZE, CharModel, count_windows
 from evenkeel.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -142,3 +142,65 @@ def test_plain_words_and_readings_cost_nothing_twice(monkeypatch):
     decoder = toxicity.Decoder(model)
     monkeypatch.setattr(toxicity, "edges", None)
     assert [decoder.token(t) for t in ("plain", "letter", "éa")] == ["plain", "letter", "éa"]
+
+
+# Evidence
+
+PATTERN = "the bad idea died; a dead bee did abide. bade added idiot aid beaded " * 3
+
+
+def small_decoder():
+    totals = np.zeros(SIZE, np.int64)
+    data = np.frombuffer(PATTERN.encode(), np.uint8)
+    count_windows(data, np.array([0, len(data)]), totals)
+    return toxicity.Decoder(CharModel(totals))
+
+
+def plain_top(text, decoder, odds):
+    """The three highest log odds of all words that are read, nothing left out."""
+    parts, known = text.lower().split(), {f[2:] for f in odds if f.startswith("w:")}
+    words = {w for part in parts for w in decoder.token(part).split()}
+    for match in toxicity._SPACED.finditer(text.lower()):
+        words |= set(decoder.viterbi(match.group()).split())
+    for at in range(len(parts)):
+        for end in range(at + 1, len(parts)):
+            last = parts[end].strip(toxicity._EDGE)
+            joined = "".join(parts[at:end]) + last
+            if joined in known and decoder.viterbi(" ".join([*parts[at:end], last])) == joined:
+                words.add(joined)
+            if last != parts[end]:
+                break
+    found = [max([odds.get(f"w:{w}", 0.0)] + [odds.get(f"{n}:{w[:n]}", 0.0) for n in (4, 5, 6) if len(w) >= n])
+             for w in words]
+    return (sorted(found, reverse=True) + [0.0] * 3)[:3]
+
+
+NAMES = st.one_of(st.text("abdei", min_size=1, max_size=8).map("w:".__add__),
+                  *(st.text("abdei", min_size=n, max_size=n).map(f"{n}:".__add__) for n in (4, 5, 6)))
+PIECES = st.one_of(st.text("abdei", min_size=1, max_size=8), st.text("aabdei1$%*!&.,~²іaé", max_size=8),
+                   st.sampled_from(["idiot", "id iot", "iddioott", "bad$$$", "idea%", "b a d", "d\ne\na\nd", "*dead", "!!idea."]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.dictionaries(NAMES, st.integers(1, 9).map(float), max_size=12), st.lists(PIECES, max_size=12),
+       st.sampled_from([" ", "\n", "  "]), st.integers(0, 6))
+def test_evidence_leaves_nothing_out(odds, pieces, blank, whole):
+    # Some of the text's own words and beginnings count.
+    for piece in filter(None, pieces[:whole]):
+        odds = odds | {f"w:{piece}": 5.0, f"w:{piece[:3]}": 2.5} | ({f"4:{piece[:4]}": 1.5} if len(piece) > 3 else {})
+    decoder, text = small_decoder(), blank.join(pieces)
+    assert toxicity.Evidence(decoder, odds).top(text) == plain_top(text, decoder, odds)
+
+
+def test_tokens_without_evidence_are_not_decoded(monkeypatch):
+    known = toxicity.Evidence(small_decoder(), {"w:idiot": 3.0, "w:abide": 1.0, "4:dead": 2.0, "w:beaded": 2.5})
+    monkeypatch.setattr(known.decoder, "decode", None)
+    # "ab ide" is below the three that the text has already.
+    text = "zachzu% thbleerre, ouinha$$$ idiot beaded deadly ab ide"
+    assert known.top(text) == [3.0, 2.5, 2.0]
+
+
+def test_a_sign_at_the_end_goes_on_from_the_word(monkeypatch):
+    decoder, seen, lattice = small_decoder(), [], toxicity.lattice
+    monkeypatch.setattr(toxicity, "lattice", lambda text: seen.append(text) or lattice(text))
+    assert decoder.token("idea%") == "idea" and seen == ["idea", "%"]
