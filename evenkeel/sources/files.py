@@ -38,7 +38,18 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     stream = system.create(part, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    if not system.exists(target) and system.rename(part, target):
+    if publish(spark, str(part), path):
         return True
     system.delete(part, False)
     return False
+
+
+def publish(spark: SparkSession, part: str, path: str) -> bool:
+    """Move a file that is whole to its name; False if the name is taken, and both files then stay."""
+    system, target = _at(spark, path)
+    return not system.exists(target) and system.rename(_at(spark, part)[1], target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _at(spark, path)
+    system.mkdirs(target)
