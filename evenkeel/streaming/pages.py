@@ -47,7 +47,8 @@ def stream_page_files(spark: SparkSession, path: str, files_per_trigger: int = F
 
     Runs a job when called: the files are listed in the folder (`page_files`), and
     the stream follows the lists, so the driver knows a name per list and not per page. A
-    stream that goes on lists again when it is idle. `path` is a folder that all
+    stream that goes on lists again when it is idle. Lists are kept for all streams of a
+    folder: those of before keep their size, and pages deleted since are passed over. `path` is a folder that all
     executors reach by the same name, or an address that Arrow's file systems know; another
     address, or a pattern, is left to Spark's own file source, which keeps every file in the driver's memory.
     """

@@ -1,5 +1,6 @@
 """A stream of page files follows lists of their names; the driver does not know each page."""
 
+import os
 import time
 
 import pyarrow as pa
@@ -76,8 +77,6 @@ def test_another_process_lists_as_well(spark, cache, monkeypatch):
 
 
 def test_oldest_pages_first(spark, cache):
-    import os
-
     put(cache, *"abcd")
     for age, key in enumerate("cadb"):
         os.utime(cache / f"{key}.html", (1e9 - age, 1e9 - age))
@@ -118,6 +117,15 @@ def test_a_checkpoint_that_names_pages_is_refused(spark, cache, tmp_path):
         convert(spark, cache, tmp_path)
 
 
+def test_a_new_stream_meets_old_lists(spark, cache, tmp_path):
+    put(cache, "a", "b", "c")
+    assert len(convert(spark, cache, tmp_path)) == 3
+    (cache / "b.html").unlink()
+    put(cache, "d")
+    (tmp_path / "again").mkdir()
+    assert [key for key, _ in convert(spark, cache, tmp_path / "again")] == ["a", "c", "d"]
+
+
 def test_a_pattern_is_left_to_spark(spark, cache, tmp_path):
     put(cache, "a", "b")
     assert not page_files.is_listable(f"{tmp_path}/ca*") and not page_files.is_listable("viewfs://store/cache")
