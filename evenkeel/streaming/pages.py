@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,7 +96,7 @@ def _require_lists(spark: SparkSession, checkpoint: str) -> None:
     """Stop if a checkpoint names pages of a folder that is followed by lists now."""
     log = f"{checkpoint}/sources/0"
     for name in [n for n in files.names(spark, log) if not n.startswith(".")][:1]:
-        first = json.loads(files.read_text(spark, f"{log}/{name}").split("\n")[1] or "{}").get("path", "")
-        folder, _, file = unquote(first).rpartition("/")
-        if file.endswith(".html") and files.exists(spark, f"{folder}/{page_files.LISTS}"):
-            raise ValueError(f"{checkpoint} names each page, as before lists were kept; convert into a new table")
+        for line in spark.read.text(f"{log}/{name}").head(2):
+            page = re.search(r'"path":"([^"]*)/[^"/]*\.html"', line.value)
+            if page and files.exists(spark, f"{unquote(page[1])}/{page_files.LISTS}"):
+                raise ValueError(f"{checkpoint} names each page, as before lists were kept; convert into a new table")
